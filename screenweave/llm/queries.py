@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from screenweave.llm import language_id, license_scan, transport_stream
+from screenweave.llm import language_id, license_scan, string_tiling, token_attribution, transport_stream, warc
 
 QUERIES = {
     "op1_language_id": language_id.query,
     "op3_license_scan": license_scan.query,
     "op4_transport_stream": transport_stream.query,
+    "op6_string_tiling": string_tiling.query,
+    "op7_warc_transactions": warc.query,
+    "op9_token_attribution": token_attribution.query,
 }
 
 ORACLES = {
     "op3_license_scan": license_scan.oracle(),
+    "op7_warc_transactions": warc.ORACLE,
 }
