@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from screenweave.llm import language_id, license_scan, string_tiling, token_attribution, transport_stream, warc
+from screenweave.llm import context_tree, language_id, license_scan, string_tiling, token_attribution, transport_stream, warc
 
 QUERIES = {
     "op1_language_id": language_id.query,
     "op3_license_scan": license_scan.query,
     "op4_transport_stream": transport_stream.query,
+    "op5_context_tree": context_tree.query,
     "op6_string_tiling": string_tiling.query,
     "op7_warc_transactions": warc.query,
     "op9_token_attribution": token_attribution.query,
