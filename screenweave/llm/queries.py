@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from screenweave.llm import context_tree, language_id, license_scan, string_tiling, token_attribution, transport_stream, warc
+from screenweave.llm import context_tree, language_id, license_scan, ngram_join, string_tiling, token_attribution, transport_stream, warc
 
 QUERIES = {
     "op1_language_id": language_id.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_context_tree": context_tree.query,
     "op6_string_tiling": string_tiling.query,
     "op7_warc_transactions": warc.query,
+    "op8_ngram_jaccard": ngram_join.query,
     "op9_token_attribution": token_attribution.query,
 }
 

@@ -96,13 +96,18 @@ def shingles(texts, n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(few):
         short = []
         for d in few:
-            x = np.uint64(count[d])
+            x = np.array([count[d]], dtype=np.uint64)
             for k in range(first[d], first[d + 1]):
                 x = x * np.uint64(_STEP) + h[k]
             short.append(x)
-        doc, value = np.concatenate([doc, few]), np.concatenate([value, mix64(np.array(short, dtype=np.uint64) ^ np.uint64(0x5BD1E995))])
-    order = np.lexsort((value, doc))
-    doc, value = doc[order], value[order]
+        doc, value = np.concatenate([doc, few]), np.concatenate([value, mix64(np.concatenate(short) ^ np.uint64(0x5BD1E995))])
+    if len(few):
+        order = np.argsort(doc, kind="stable")
+        doc, value = doc[order], value[order]
+    cut = np.searchsorted(doc, np.arange(w.n_docs + 1))
+    for lo, hi in zip(cut[:-1], cut[1:]):
+        if hi - lo > 1:
+            value[lo:hi].sort()
     keep = np.ones(len(doc), dtype=bool)
     keep[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
     return doc[keep], value[keep]
