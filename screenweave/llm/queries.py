@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from screenweave.llm import context_tree, language_id, license_scan, ngram_join, string_tiling, token_attribution, transport_stream, warc
+from screenweave.llm import context_tree, language_id, license_scan, ngram_join, source_mixing, string_tiling, token_attribution, toxicity, transport_stream, warc
 
 QUERIES = {
     "op1_language_id": language_id.query,
+    "op2_source_mixing": source_mixing.query,
     "op3_license_scan": license_scan.query,
     "op4_transport_stream": transport_stream.query,
     "op5_context_tree": context_tree.query,
@@ -13,6 +14,7 @@ QUERIES = {
     "op7_warc_transactions": warc.query,
     "op8_ngram_jaccard": ngram_join.query,
     "op9_token_attribution": token_attribution.query,
+    "op10_toxicity": toxicity.query,
 }
 
 ORACLES = {
