@@ -217,7 +217,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dim: int = 1024
     if len(found) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     found.sort(key=lambda r: r["lang"])
-    vectors = np.array([[x["v"] for x in r["kv"]] for r in found], dtype=np.float64).reshape(len(found), -1)
+    vectors = np.array([[x["v"] for x in r["kv"]] for r in found], dtype=np.float64).reshape(len(found), dim)
     norm = np.sqrt((vectors**2).sum(axis=1, keepdims=True))
     return Profiles([r["lang"] for r in found], (vectors / np.maximum(norm, 1e-9)).astype(np.float32), dim, seed)
 

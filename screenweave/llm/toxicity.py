@@ -256,8 +256,8 @@ class Model:
         return udf(text)
 
 
-def train(texts: list[str], labels: np.ndarray, share: float, per_text: int = 10, warm: int = 3, rounds: int = 4, batch: int = 512, drop: float = 0.3, decay: float = 1e-4, seed: int = 11) -> Model:
-    """A network from labelled texts. `warm` epochs over up to per_text random windows of each, then `rounds` over each text's highest windows."""
+def train(texts: list[str], labels: np.ndarray, share: float, per_text: int = 10, warm: int = 3, rounds: int = 4, steps: int = 60, drop: float = 0.3, decay: float = 1e-4, seed: int = 11) -> Model:
+    """A network from labelled texts. `warm` epochs over up to per_text random windows of each, then `rounds` over each text's highest windows. An epoch has about `steps` steps of 32 to 512 windows."""
     if len(set(labels.tolist())) < 2:
         return Model(None, share)
     r, model = np.random.Generator(np.random.PCG64(seed)), Model(Network(), share)
@@ -268,7 +268,7 @@ def train(texts: list[str], labels: np.ndarray, share: float, per_text: int = 10
     weight = np.where(positive, 0.5 / max(positive.sum(), 1), 0.5 / max((keep & ~positive).sum(), 1)) * keep.sum()
 
     def learn(chosen: np.ndarray, each: np.ndarray) -> float:
-        total = 0.0
+        total, batch = 0.0, min(512, max(32, len(chosen) // steps))
         for k in range(0, len(chosen), batch):
             at = chosen[k : k + batch]
             used, where = np.unique(token[at], return_inverse=True)
