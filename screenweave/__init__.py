@@ -1,0 +1 @@
+"""A Spark-native engine for pooled-screen analytics and for preparing training text."""
