@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from screenweave.plans import registry
+from screenweave.plans import quality, registry  # noqa: F401
 from screenweave.plans.dag import Graph, Step
 from screenweave.sources import arrays, tables
 from screenweave.streaming import queries as streams
