@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -9,10 +10,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts of a batch are handled in chunks of about so many characters, so that working arrays stay small.
-CHUNK_CHARS = 1_500_000
+CHUNK_CHARS = 500_000
+#: Bytes of an Arrow batch between the JVM and Python: a batch is held on both sides, and once more as strings.
+BATCH_BYTES = 8 << 20
+
+
+def bounded(spark: SparkSession) -> None:
+    """Bounds Arrow batches by their bytes, as texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def tidy() -> None:
+    """Gives freed memory back to the system: Python workers live on between tasks, beside an executor's heap."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -25,13 +25,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from screenweave.llm.common import chunks, fold, fresh, table
+from screenweave.llm.common import bounded, chunks, fold, fresh, table, tidy
 from screenweave.llm.textarrays import Words, mix64, words
 
 WINDOW, STEP, HIDDEN, WIDTH = 32, 16, 8, 8
 WORD_BITS, GRAM_BITS, GRAM_SIZES = 15, 16, (3, 4, 5)
 #: Bounds of the training sample: rows of each label, and characters in total.
-MAX_ROWS, MAX_CHARS = 2500, 20_000_000
+MAX_ROWS, MAX_CHARS = 2500, 10_000_000
 THRESHOLD = 0.5
 
 _PUNCTUATION = np.zeros(256, dtype=bool)
@@ -221,7 +221,7 @@ class Model:
         doc, first, size = cut(w.counts())
         at = np.arange(WINDOW)
         mask = at[None, :] < size[:, None]
-        return w, doc, np.where(mask, first[:, None] + at[None, :], 0), mask
+        return w, doc, np.where(mask, first[:, None].astype(np.int32) + at[None, :].astype(np.int32), 0), mask
 
     def logits(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(document, logit) of all windows of a batch."""
@@ -252,11 +252,12 @@ class Model:
         def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for s in batches:
                 yield pd.Series(model.scores(s.tolist()))
+                tidy()
 
         return udf(text)
 
 
-def train(texts: list[str], labels: np.ndarray, share: float, per_text: int = 10, warm: int = 3, rounds: int = 4, steps: int = 60, drop: float = 0.3, decay: float = 1e-4, seed: int = 11) -> Model:
+def train(texts: list[str], labels: np.ndarray, share: float, per_text: int = 10, warm: int = 5, rounds: int = 4, steps: int = 60, drop: float = 0.5, decay: float = 1e-3, seed: int = 11) -> Model:
     """A network from labelled texts. `warm` epochs over up to per_text random windows of each, then `rounds` over each text's highest windows. An epoch has about `steps` steps of 32 to 512 windows."""
     if len(set(labels.tolist())) < 2:
         return Model(None, share)
@@ -303,9 +304,11 @@ def train(texts: list[str], labels: np.ndarray, share: float, per_text: int = 10
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> Model:
     """Trains on a bounded sample of the documents that have a label."""
+    bounded(docs.sparkSession)
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).dropna().where("y in (0, 1)")
     given = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).dropna()
-    rows = given.join(known, "k")
+    # hashes and lengths are worked out before the join, so that no text is shuffled
+    rows = given.select("k", F.length("t").alias("n"), F.xxhash64("t").alias("g"), F.xxhash64("t", F.lit(1)).alias("h")).join(known, "k")
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     share = counts.get(1, 0) / total if total else 0.0
@@ -313,11 +316,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     picked = None
     for y in (0, 1):
         part = max(1, -(-counts.get(y, 0) // (2 * max_rows)))
-        some = rows.where((F.col("y") == y) & (F.pmod(F.xxhash64("t"), F.lit(part)) == 0)).select(F.xxhash64("t", F.lit(1)).alias("h"), "y", F.length("t").alias("n"), "k").orderBy("h", "k").limit(max_rows)
+        some = rows.where((F.col("y") == y) & (F.pmod(F.col("g"), F.lit(part)) == 0)).select("h", "y", "n", "k").orderBy("h", "k").limit(max_rows)
         picked = some if picked is None else picked.unionAll(some)
     picked = picked.withColumn("sum", F.sum("n").over(W.orderBy("h", "k").rowsBetween(W.unboundedPreceding, 0))).where(F.col("sum") <= max_chars).select("k", "y").distinct()
     sample = given.join(F.broadcast(picked), "k").select("t", "y").toPandas().sort_values(["t", "y"])
-    return train(sample["t"].tolist(), sample["y"].to_numpy(), share)
+    model = train(sample["t"].tolist(), sample["y"].to_numpy(), share)
+    tidy()
+    return model
 
 
 def trained(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
