@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenweave.llm.common import chunks, fold, table, written
+from screenweave.llm.common import bounded, chunks, fold, table, tidy, written
 from screenweave.llm.textarrays import words
 
 DEPTH = 5
@@ -280,7 +280,7 @@ def scored(docs: DataFrame, learn, text: str = "text", key: str = "doc_id", shar
 
     Columns: doc_id, learned, n_tokens, n_known, train_tokens, base_score, score (log10), n_bytes, bits_per_byte.
     """
-    spark = docs.sparkSession
+    bounded(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
@@ -300,6 +300,7 @@ def scored(docs: DataFrame, learn, text: str = "text", key: str = "doc_id", shar
                 at = order[cut[s] : cut[s + 1]]
                 if len(at):
                     out.append((name, s, int(block["block"].iloc[0]), pack(keys[at], counts[at].astype(np.uint32))))
+        tidy()
         return pd.DataFrame(out, columns=["kind", "shard", "block", "data"])
 
     asked = written(rows.groupBy("block").applyInPandas(ask, "kind string, shard int, block int, data binary"), "asked")
@@ -364,6 +365,7 @@ def scored(docs: DataFrame, learn, text: str = "text", key: str = "doc_id", shar
                     if not hit.all():
                         got[~hit] = (tree or _empty()).chance(want[~hit], top)
                 out.append((requests["kind"].iloc[0], block, pack(want, got)))
+        tidy()
         return pd.DataFrame(out, columns=["kind", "block", "data"])
 
     salted = asked.withColumn("salt", F.col("block") % salts)
@@ -390,6 +392,7 @@ def scored(docs: DataFrame, learn, text: str = "text", key: str = "doc_id", shar
             n_known[part] = np.bincount(doc, weights=c > 0, minlength=n) + (sums > 0)
             base[part] = np.bincount(doc, weights=np.log10(c + 1) - log_all, minlength=n) + np.log10(sums + 1) - log_all
         out = {"doc_id": block["doc_id"], "learned": block["learn"], "n_tokens": n_tokens.astype(np.int64), "n_known": n_known.astype(np.int64), "train_tokens": train_tokens, "base_score": base, "score": total, "n_bytes": size.astype(np.int64), "bits_per_byte": -total * LN10 / LN2 / np.maximum(size, 1)}
+        tidy()
         return pd.DataFrame(out)
 
     schema = f"doc_id {kind}, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenweave.llm.common import chunks, fold, fresh, table
+from screenweave.llm.common import bounded, chunks, fold, fresh, table, tidy
 
 UND = "und"
 _BLANK = 32
@@ -44,13 +44,13 @@ class Encoder:
         self.table = _letters()
         self.letter: dict[int, np.ndarray] = {}
         self.known: dict[int, int] = {}
-        self.rows = np.zeros((0, dim), dtype=np.float32)
+        self.rows = np.zeros((0, dim), dtype=np.int8)
 
     def _vector(self, c: int) -> np.ndarray:
         v = self.letter.get(c)
         if v is None:
             bits = np.random.Generator(np.random.PCG64([self.seed, c])).integers(0, 2, self.dim)
-            v = self.letter[c] = (bits * 2 - 1).astype(np.float32)
+            v = self.letter[c] = (bits * 2 - 1).astype(np.int8)
         return v
 
     def vectors(self, codes: np.ndarray) -> np.ndarray:
@@ -60,13 +60,13 @@ class Encoder:
             self.known, self.rows, new = {}, self.rows[:0], [int(c) for c in codes]
         if new:
             mask = (1 << 21) - 1
-            made = np.empty((len(new), self.dim), dtype=np.float32)
+            made = np.empty((len(new), self.dim), dtype=np.int8)
             for k, c in enumerate(new):
                 made[k] = np.roll(self._vector(c >> 42), 2) * np.roll(self._vector(c >> 21 & mask), 1) * self._vector(c & mask)
             base = len(self.known)
             self.known.update((c, base + k) for k, c in enumerate(new))
             self.rows = np.concatenate([self.rows, made])
-        return self.rows[[self.known[int(c)] for c in codes]]
+        return self.rows[[self.known[int(c)] for c in codes]].astype(np.float32)
 
     def trigrams(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, code, count) of the distinct trigrams of each text, sorted by code and document."""
@@ -115,7 +115,7 @@ class Encoder:
 
     @staticmethod
     def _counted(key: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-        if top <= 40_000_000:
+        if top <= 8_000_000:
             n = np.bincount(key, minlength=1)
             at = np.flatnonzero(n)
             return at, n[at]
@@ -179,6 +179,7 @@ class Profiles:
         def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             for s in batches:
                 yield model.predict(s.tolist())
+                tidy()
 
         return udf(text)
 
@@ -208,9 +209,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dim: int = 1024
                     part_sum = weight[:, k : k + _PIECE] @ encoder.vectors(code[first[k : k + _PIECE]]).astype(np.float64)
                     for name, v in zip(names, part_sum):
                         sums[name] = sums.get(name, 0) + v
+        tidy()
         for name, v in sums.items():
             yield pd.DataFrame({"lang": name, "k": np.arange(dim, dtype=np.int32), "v": np.round(v * 1e6).astype(np.int64)})
 
+    bounded(docs.sparkSession)
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).dropna()
     summed = rows.mapInPandas(bundle, "lang string, k int, v long").groupBy("lang", "k").agg(F.sum("v").alias("v"))
     found = summed.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "v"))).alias("kv")).limit(max_languages + 1).collect()

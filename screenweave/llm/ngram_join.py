@@ -32,12 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from screenweave.llm.common import chunks, fresh, table, written
+from screenweave.llm.common import bounded, chunks, table, tidy, written
 from screenweave.llm.graph import components
 from screenweave.llm.textarrays import mix64, shingles
 
 #: Frequent shingles whose order by frequency is kept; what the driver gets of them is 16 bytes each at most.
-ORDERED = 200_000
+ORDERED = 50_000
 #: Sets of ids up to this size are sent to all tasks as a hash table; larger ones are joined by a shuffle.
 SENT_IDS = 500_000
 GROUP, BLOCK = 4096, 256
@@ -128,9 +128,10 @@ def profile(docs: DataFrame, words_: int) -> DataFrame:
                 f = fingerprints(value, at), fingerprints(value, at, 0x3C6EF372FE94F82B)
                 yield pd.DataFrame({"id": ids[part], "n": n, "f1": f[0], "f2": f[1], "shingle": pd.array([None] * m, dtype="Int64"), "count": pd.array([None] * m, dtype="Int64")})
                 waiting.append(value)
-                if sum(map(len, waiting)) > 3_000_000:
+                if sum(map(len, waiting)) > 2_000_000:
                     flush()
         flush()
+        tidy()
         for u, c in kept:
             none = pd.array([None] * len(u), dtype="Int64")
             yield pd.DataFrame({"id": none, "n": none, "f1": none, "f2": none, "shingle": u.view(np.int64), "count": c})
@@ -177,6 +178,7 @@ def prefixes(docs: DataFrame, frequent: pd.DataFrame, words_: int, percent: int)
                 if sketch:
                     cols = [np.concatenate(x) for x in out]
                     yield pd.DataFrame({"shingle": cols[0].view(np.int64), "id": cols[1], "n": cols[2], "place": cols[3], "sketch": sketch})
+            tidy()
 
     return docs.mapInPandas(run, "shingle long, id long, n long, place int, sketch binary")
 
@@ -234,6 +236,7 @@ def candidates(posts: DataFrame, percent: int) -> DataFrame:
                     for x in of[good]:
                         forest.unite(int(index[i]), int(index[x]))
         e = np.array(forest.united, dtype=np.int64).reshape(-1, 2)
+        tidy()
         return pd.DataFrame({"a": own[e[:, 0]], "b": own[e[:, 1]]})
 
     return tiled.groupBy("task").applyInPandas(run, "a long, b long")
@@ -286,6 +289,7 @@ def links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         for r, c in zip(*np.nonzero(good)):
             forest.unite(int(index[r]), int(index[len(ids[0]) + c]))
         e = np.array(forest.united, dtype=np.int64).reshape(-1, 2)
+        tidy()
         edges = pd.DataFrame({"a": own[e[:, 0]], "b": pd.array(own[e[:, 1]], dtype="Int64"), "n": 0})
         return pd.concat([counts[counts["n"] > 0], edges])
 
@@ -303,13 +307,14 @@ def packed(docs: DataFrame, words_: int) -> DataFrame:
                 n = len(texts[part])
                 at = _slices(doc, n)
                 yield pd.DataFrame({"id": fingerprints(value, at), "data": [value[at[k] : at[k + 1]].tobytes() for k in range(n)]})
+            tidy()
 
     return docs.mapInPandas(run, "id long, data binary")
 
 
 def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, n_links, component_id) of every row. n_links counts the other documents that link with it, copies included."""
-    spark = docs.sparkSession
+    bounded(docs.sparkSession)
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     found = written(profile(texts, words_), "profile")
     rows = found.where("shingle is null").select("id", "n", "f1", "f2")
@@ -336,6 +341,18 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(table(spark, sf_dir, "documents"))
 
 
+#: The same in DuckDB's SQL, by counting all common shingles.
+ORACLE = r"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT row, doc_id, unnest(CASE WHEN len(w) >= 4 THEN [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM t),
+n AS (SELECT row, count(*) AS n FROM s GROUP BY 1),
+o AS (SELECT a.row AS a, b.row AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.row <> b.row GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON x.row = a JOIN n y ON y.row = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
+r(row, root) AS (SELECT row, doc_id FROM t UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.row),
+c AS (SELECT row, min(root) AS component_id FROM r GROUP BY 1)
+SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT count(*) FROM l WHERE l.a = t.row) AS n_links, c.component_id FROM t LEFT JOIN n USING (row) JOIN c USING (row)"""
+
+
 #: Near duplicates in the pipeline: five words and a similarity of 0.8.
 STAGE_WORDS, STAGE_PERCENT = 5, 80
 

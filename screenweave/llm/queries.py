@@ -20,4 +20,5 @@ QUERIES = {
 ORACLES = {
     "op3_license_scan": license_scan.oracle(),
     "op7_warc_transactions": warc.ORACLE,
+    "op8_ngram_jaccard": ngram_join.ORACLE,
 }

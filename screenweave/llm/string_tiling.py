@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenweave.llm.common import chunks, fresh, table
+from screenweave.llm.common import bounded, chunks, fresh, table, tidy
 from screenweave.llm.textarrays import windows, words
 
 SEED, THRESHOLD, BLOCK_WORDS = 4, 0.5, 2_000_000
@@ -125,6 +125,7 @@ class Index:
 
 def indexes(items: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS, text: str = "text", key: str = "item_id") -> Iterator[Index]:
     """Index blocks of at most block_words words each, or of one item that is longer. The items reach the driver one block at a time."""
+    bounded(items.sparkSession)
     rows = items.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).dropna().distinct()
     size = F.greatest(F.size(F.split(F.trim("text"), r"[ \t-\r]+")), F.lit(1))
     total = rows.agg(F.sum(size).alias("n")).first()["n"] or 0
@@ -146,6 +147,7 @@ def matched(index: Index, text: Column, threshold: float = THRESHOLD) -> Column:
             for part in chunks(texts):
                 out += [[dict(zip(names, m)) for m in ms] for ms in index.matches(texts[part], threshold)]
             yield pd.Series(out, dtype=object)
+            tidy()
 
     return udf(text)
 
