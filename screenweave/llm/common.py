@@ -55,8 +55,6 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 

@@ -25,7 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
             return linked.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         return linked.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionAll(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
-    given = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).dropna()
+    # written first, as it is read twice: for the nodes and for the rounds
+    given = written(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).dropna().distinct(), "given")
     nodes = given.select(F.col("a").alias("node")).unionAll(given.select(F.col("b").alias("node"))).distinct()
     now = written(given.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     seal = None

@@ -11,7 +11,7 @@ Two classes link when 100 * intersection >= PERCENT * union.
 3. Within a shingle's classes, a pair is a candidate if sizes, places and a histogram of the shingle hashes all allow a
    sufficient overlap (each is an upper bound, so no link is lost). Of the candidates only a spanning forest is emitted,
    never all pairs. Shingles of more than GROUP classes are dealt over several tasks as pairs of parts.
-4. Components of these forests are clusters. Each cluster's classes are cut into blocks of BLOCK rows by size; for each
+4. Components of these forests are clusters. Each cluster's classes are cut into blocks of about BLOCK rows by size; for each
    two blocks whose sizes allow links, the product of their incidence blocks accumulates the overlap counts, and pairs
    below the bound are discarded. A product emits each class's number of links, and a spanning forest of the links.
 5. Components of the links give component_id, and sums give n_links; both go from classes to their documents.
@@ -250,10 +250,16 @@ def product(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     value = np.concatenate([*left, *right])
     row = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in [*left, *right]])
     column = np.unique(value, return_inverse=True)[1]
-    for begin in range(0, int(column.max()) + 1, 8192):
-        part = (column >= begin) & (column < begin + 8192)
-        dense = np.zeros((len(left) + len(right), 8192), dtype=np.float32)
-        dense[row[part], column[part] - begin] = 1
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    # a shingle of one set adds nothing
+    shared = np.bincount(column)[column] > 1
+    row, column = row[shared], np.cumsum(np.diff(column[shared], prepend=-1) != 0) - 1
+    n = int(column[-1]) + 1 if len(column) else 0
+    for begin in range(0, n, 4096):
+        lo, hi = np.searchsorted(column, [begin, begin + 4096])
+        dense = np.zeros((len(left) + len(right), min(4096, n - begin)), dtype=np.float32)
+        dense[row[lo:hi], column[lo:hi] - begin] = 1
         out += np.rint(dense[: len(left)] @ dense[len(left) :].T).astype(np.int64)
     return out
 
@@ -263,11 +269,16 @@ def links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
     members: (id, cluster, n, of), of being the number of documents in the class.
     """
-    by_size = W.partitionBy("cluster").orderBy("n", "id")
-    blocked = members.withColumn("part", F.floor((F.row_number().over(by_size) - 1) / BLOCK).cast("int"))
+    # a cluster of up to BLOCK classes is one part; larger ones are cut by bands of sizes, and bands by a hash
+    many = members.groupBy("cluster", F.floor(F.log("n") / F.log(F.lit(1.1))).cast("int").alias("band")).agg(F.count("*").alias("c"))
+    total = many.groupBy("cluster").agg(F.sum("c").alias("all")).where(F.col("all") > BLOCK)
+    cuts = many.join(total, "cluster").select("cluster", "band", F.ceil(F.col("c") / BLOCK).alias("cuts"))
+    banded = members.withColumn("band", F.floor(F.log("n") / F.log(F.lit(1.1))).cast("int")).join(cuts, ["cluster", "band"], "left")
+    part = F.when(F.col("cuts").isNull(), F.lit(0)).otherwise((F.col("band") + 1) * (1 << 32) + F.pmod(F.xxhash64("id"), F.col("cuts"))).cast("long")
+    blocked = banded.withColumn("part", part).drop("band", "cuts")
     ranges = blocked.groupBy("cluster", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     x, y = ranges.alias("x"), ranges.alias("y")
-    tiles = x.join(y, (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.part") <= F.col("y.part")) & (F.col("y.low") * percent <= F.col("x.high") * 100)).select("x.cluster", F.col("x.part").alias("i"), F.col("y.part").alias("j"))
+    tiles = x.join(y, (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.part") <= F.col("y.part")) & (F.col("y.low") * percent <= F.col("x.high") * 100) & (F.col("x.low") * percent <= F.col("y.high") * 100)).select("x.cluster", F.col("x.part").alias("i"), F.col("y.part").alias("j"))
     ends = tiles.withColumn("part", F.explode(F.array_distinct(F.array("i", "j"))))
     rows = blocked.join(ends, ["cluster", "part"]).join(sets, "id").select("cluster", "i", "j", "part", "id", "of", "data")
 

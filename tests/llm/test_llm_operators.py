@@ -435,6 +435,14 @@ def test_jaccard_join_awkward(spark):
     assert ngram_join.joined(docs.limit(0)).count() == 0
 
 
+def test_product_counts_overlaps():
+    r = np.random.default_rng(2)
+    sets = [np.unique(r.integers(0, 30_000, n)).astype(np.uint64) for n in (1, 5, 3000, 9000, 20_000, 20_000)]
+    got = ngram_join.product(sets[:4], sets[2:])
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[2:]] for a in sets[:4]]
+    assert ngram_join.product(sets[:2], []).shape == (2, 0)
+
+
 def test_bounds_lose_nothing():
     r = np.random.default_rng(1)
     for _ in range(200):
