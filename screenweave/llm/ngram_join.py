@@ -273,6 +273,9 @@ def links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     many = members.groupBy("cluster", F.floor(F.log("n") / F.log(F.lit(1.1))).cast("int").alias("band")).agg(F.count("*").alias("c"))
     total = many.groupBy("cluster").agg(F.sum("c").alias("all")).where(F.col("all") > BLOCK)
     cuts = many.join(total, "cluster").select("cluster", "band", F.ceil(F.col("c") / BLOCK).alias("cuts"))
+    # one row for each band of the few large clusters: sent to all tasks if the table is small, so that no cluster meets in one
+    cuts = written(cuts, "cuts")
+    cuts = F.broadcast(cuts) if cuts.count() <= SENT_IDS else cuts
     banded = members.withColumn("band", F.floor(F.log("n") / F.log(F.lit(1.1))).cast("int")).join(cuts, ["cluster", "band"], "left")
     part = F.when(F.col("cuts").isNull(), F.lit(0)).otherwise((F.col("band") + 1) * (1 << 32) + F.pmod(F.xxhash64("id"), F.col("cuts"))).cast("long")
     blocked = banded.withColumn("part", part).drop("band", "cuts")
