@@ -7,7 +7,9 @@ gives its score. A text's score is the largest of its windows'. All windows of a
 
 Training: windows first carry the label of their text; then, as a text is toxic if any part of it is, the text's
 highest window alone carries the label (multiple-instance learning). The sample of labelled rows is bounded by MAX_ROWS
-for each label and MAX_CHARS in total; the rows come in the order of a hash of the text. Seeds are fixed.
+and MAX_CHARS / 2 for each label; the rows come in the order of a hash of the text. Where the rows of a label have more
+characters together, the longest are learned from in pieces, all cut to the one length with which they fit: no row is
+left out for its length or another's. Scores always read whole texts. Seeds are fixed.
 
 Defined results: null texts and texts without words get the share of label 1 among the sampled rows' population. Without
 labels of both kinds every text gets that share (0 without any). Ties don't matter: equal texts get equal scores.
@@ -23,15 +25,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from screenweave.llm.common import bounded, chunks, fold, fresh, table, tidy
 from screenweave.llm.textarrays import Words, mix64, words
 
 WINDOW, STEP, HIDDEN, WIDTH = 32, 16, 8, 8
 WORD_BITS, GRAM_BITS, GRAM_SIZES = 15, 16, (3, 4, 5)
-#: Bounds of the training sample: rows of each label, and characters in total.
-MAX_ROWS, MAX_CHARS = 2500, 10_000_000
+#: Bounds of the training sample: rows of each label, and characters in total, half of them for each label.
+MAX_ROWS, MAX_CHARS = 2500, 20_000_000
+#: Pieces of a text that is too long to be learned from whole.
+PIECES = 16
 THRESHOLD = 0.5
 
 _PUNCTUATION = np.zeros(256, dtype=bool)
@@ -88,6 +91,25 @@ def vocabulary(w: Words) -> tuple[Vocabulary, np.ndarray]:
     return Vocabulary((mix64(own) >> _U(64 - WORD_BITS)).astype(np.int64), grams, np.maximum(count, 1)), index
 
 
+def lexicon(texts) -> tuple[Words, np.ndarray, np.ndarray]:
+    """The distinct words of the texts, each token's index among them, and the texts' numbers of words. Works by chunks: the tokens' bytes and places are never held for all texts at once."""
+    data, sizes, hashes, tokens, counts, base = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)], [np.zeros(0, _U)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+    for part in chunks(texts):
+        w = split(texts[part])
+        own, first, index = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        size = w.end[first] - w.start[first]
+        data.append(w.data[np.repeat(w.start[first] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))])
+        sizes.append(size)
+        hashes.append(own)
+        tokens.append((index + base).astype(np.int32))
+        counts.append(w.counts())
+        base += len(own)
+    _, first, to = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    end = np.cumsum(np.concatenate(sizes))
+    start = end - np.concatenate(sizes)
+    return Words(np.concatenate(data), start[first], end[first], np.zeros(len(first), np.int64), 1), to.astype(np.int32)[np.concatenate(tokens)], np.concatenate(counts)
+
+
 def cut(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, first token in the batch, length) of all windows of documents with these word counts."""
     n = np.where(counts > 0, 1 + np.maximum(0, -(-(counts - WINDOW) // STEP)), 0)
@@ -97,6 +119,14 @@ def cut(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, base + k * STEP, np.minimum(WINDOW, counts[doc] - k * STEP)
 
 
+def placed(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, tokens, which of them are words) of all windows of documents with these word counts."""
+    doc, first, size = cut(counts)
+    at = np.arange(WINDOW)
+    mask = at[None, :] < size[:, None]
+    return doc, np.where(mask, first[:, None].astype(np.int32) + at[None, :].astype(np.int32), 0), mask
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
@@ -218,10 +248,7 @@ class Model:
 
     def _windows(self, texts):
         w = split(texts)
-        doc, first, size = cut(w.counts())
-        at = np.arange(WINDOW)
-        mask = at[None, :] < size[:, None]
-        return w, doc, np.where(mask, first[:, None].astype(np.int32) + at[None, :].astype(np.int32), 0), mask
+        return w, *placed(w.counts())
 
     def logits(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(document, logit) of all windows of a batch."""
@@ -263,7 +290,8 @@ def train(texts: list[str], labels: np.ndarray, share: float, per_text: int = 10
         return Model(None, share)
     r, model = np.random.Generator(np.random.PCG64(seed)), Model(Network(), share)
     adam = Adam(model.net.p)
-    w, doc, token, mask = model._windows(texts)
+    w, word, counts = lexicon(texts)
+    doc, token, mask = placed(counts)
     keep = np.bincount(doc, minlength=len(texts)) > 0
     positive = (labels == 1) & keep
     weight = np.where(positive, 0.5 / max(positive.sum(), 1), 0.5 / max((keep & ~positive).sum(), 1)) * keep.sum()
@@ -272,7 +300,7 @@ def train(texts: list[str], labels: np.ndarray, share: float, per_text: int = 10
         total, batch = 0.0, min(512, max(32, len(chosen) // steps))
         for k in range(0, len(chosen), batch):
             at = chosen[k : k + batch]
-            used, where = np.unique(token[at], return_inverse=True)
+            used, where = np.unique(word[token[at]], return_inverse=True)
             part = Words(w.data, w.start[used], w.end[used], w.doc[used], w.n_docs)
             v, index = vocabulary(part)
             kept = [(r.random(n) >= drop).astype(np.float32) / np.float32(1 - drop) for n in (len(v.slots), *(len(x[0]) for x in v.grams))]
@@ -302,9 +330,25 @@ def train(texts: list[str], labels: np.ndarray, share: float, per_text: int = 10
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> Model:
-    """Trains on a bounded sample of the documents that have a label."""
-    bounded(docs.sparkSession)
+def level(sizes: list[int], room: int) -> int | None:
+    """The one length to which longer texts are cut so that all fit in `room` characters; None if they fit whole."""
+    n = np.sort(np.asarray(sizes, dtype=np.int64))
+    if n.sum() <= room:
+        return None
+    share = (room - (np.cumsum(n) - n)) // np.arange(len(n), 0, -1)
+    return max(1, int(share[np.argmax(n > share)]))
+
+
+def excerpt(text: Column, limit: Column) -> Column:
+    """The text, or if it is longer than a limit that isn't null, PIECES pieces of it from its start to its end, evenly spread."""
+    n, size = F.length(text), F.greatest(F.floor(limit / PIECES), F.lit(1)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda k: F.substring(text, (1 + F.floor(k * (n - size) / (PIECES - 1))).cast("int"), size))
+    return F.when(n > limit, F.array_join(pieces, "\n")).otherwise(text)
+
+
+def sampled(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> tuple[DataFrame, float]:
+    """(t, y) of the labelled rows to learn from, and the share of label 1 among all of them."""
+    spark = docs.sparkSession
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).dropna().where("y in (0, 1)")
     given = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).dropna()
     # hashes and lengths are worked out before the join, so that no text is shuffled
@@ -313,13 +357,22 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     total = sum(counts.values())
     share = counts.get(1, 0) / total if total else 0.0
     # a share of the rows by hash, somewhat larger than the bound, and then the bound
-    picked = None
+    picked, limit = [], F.lit(None).cast("int")
     for y in (0, 1):
         part = max(1, -(-counts.get(y, 0) // (2 * max_rows)))
-        some = rows.where((F.col("y") == y) & (F.pmod(F.col("g"), F.lit(part)) == 0)).select("h", "y", "n", "k").orderBy("h", "k").limit(max_rows)
-        picked = some if picked is None else picked.unionAll(some)
-    picked = picked.withColumn("sum", F.sum("n").over(W.orderBy("h", "k").rowsBetween(W.unboundedPreceding, 0))).where(F.col("sum") <= max_chars).select("k", "y").distinct()
-    sample = given.join(F.broadcast(picked), "k").select("t", "y").toPandas().sort_values(["t", "y"])
+        some = rows.where((F.col("y") == y) & (F.pmod(F.col("g"), F.lit(part)) == 0)).select("k", "y", "n", "h").orderBy("h", "k").limit(max_rows)
+        found = some.collect()
+        picked += found
+        limit = F.when(F.col("y") == y, F.lit(level([r["n"] for r in found], max_chars // 2)).cast("int")).otherwise(limit)
+    chosen = spark.createDataFrame(picked, some.schema).select("k", "y").distinct()
+    return given.join(F.broadcast(chosen), "k").select(excerpt(F.col("t"), limit).alias("t"), "y"), share
+
+
+def fit(docs: DataFrame, labels: DataFrame, **how) -> Model:
+    """Trains on a bounded sample of the documents that have a label."""
+    bounded(docs.sparkSession)
+    rows, share = sampled(docs, labels, **how)
+    sample = rows.toPandas().sort_values(["t", "y"])
     model = train(sample["t"].tolist(), sample["y"].to_numpy(), share)
     tidy()
     return model

@@ -581,3 +581,22 @@ def test_toxicity_awkward(spark):
     assert out[0] == out[1] == out[2] == model.share and out[5] == out[6]
     assert toxicity.fit(docs, labels.limit(0)).scores(["a"]).tolist() == [0.0]
     assert toxicity.fit(docs.limit(0), labels).scores(["a"]).tolist() == [0.0]
+
+
+def test_toxicity_long_text_leaves_all_rows(spark):
+    texts, labels = toxic_set(80)
+    texts = [f"{'calm water ' * 40_000}vilex the end", *texts]
+    docs, known = documents(spark, texts), spark.createDataFrame([(k, int(y)) for k, y in enumerate([1, *labels])], "doc_id long, toxic int")
+    rows, share = toxicity.sampled(docs, known, max_chars=60_000)
+    got = [(r["t"], r["y"]) for r in rows.collect()]
+    assert len(got) == 81 and share == 21 / 81
+    assert {t for t, _ in got} >= set(texts[1:])
+    (cut,) = {t for t, _ in got} - set(texts)
+    assert cut.startswith("calm water") and cut.endswith("the end") and 10_000 < len(cut) < 30_100
+    assert toxicity.fit(docs, known, max_chars=60_000).net is not None
+
+
+def test_toxicity_level_of_lengths():
+    assert toxicity.level([5, 5], 10) is None and toxicity.level([], 10) is None
+    assert toxicity.level([1, 2, 100, 100], 23) == 10 and toxicity.level([100], 10) == 10
+    assert toxicity.MAX_ROWS == 2500 and toxicity.level([2617] * toxicity.MAX_ROWS, toxicity.MAX_CHARS // 2) is None
