@@ -6,9 +6,9 @@ the next, go through gated recurrent units in both directions; attention weighs
 gives its score. A text's score is the largest of its windows'. All windows of all texts are scored.
 
 Training: windows first carry the label of their text; then, as a text is toxic if any part of it is, the text's
-highest window alone carries the label (multiple-instance learning). The sample of labelled rows is bounded by MAX_ROWS
-and MAX_CHARS / 2 for each label; the rows come in the order of a hash of the text. Where the rows of a label have more
-characters together, the longest are learned from in pieces, all cut to the one length with which they fit: no row is
+highest window alone carries the label (multiple-instance learning). The sample is of different texts (copies with one label count once) and
+bounded by MAX_ROWS and MAX_CHARS / 2 for each label; the texts come in the order of a hash. Where those of a label have
+more characters together, the longest are learned from in pieces, all cut to the one length with which they fit: none is
 left out for its length or another's. Scores always read whole texts. Seeds are fixed.
 
 Defined results: null texts and texts without words get the share of label 1 among the sampled rows' population. Without
@@ -31,7 +31,7 @@ from screenweave.llm.textarrays import Words, mix64, words
 
 WINDOW, STEP, HIDDEN, WIDTH = 32, 16, 8, 8
 WORD_BITS, GRAM_BITS, GRAM_SIZES = 15, 16, (3, 4, 5)
-#: Bounds of the training sample: rows of each label, and characters in total, half of them for each label.
+#: Bounds of the training sample: different texts of each label, and characters in total, half of them for each label.
 MAX_ROWS, MAX_CHARS = 2500, 20_000_000
 #: Pieces of a text that is too long to be learned from whole.
 PIECES = 16
@@ -347,25 +347,28 @@ def excerpt(text: Column, limit: Column) -> Column:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> tuple[DataFrame, float]:
-    """(t, y) of the labelled rows to learn from, and the share of label 1 among all of them."""
+    """(t, y) of the different labelled texts to learn from, and the share of label 1 among all labelled rows."""
     spark = docs.sparkSession
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).dropna().where("y in (0, 1)")
     given = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).dropna()
     # hashes and lengths are worked out before the join, so that no text is shuffled
     rows = given.select("k", F.length("t").alias("n"), F.xxhash64("t").alias("g"), F.xxhash64("t", F.lit(1)).alias("h")).join(known, "k")
-    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    total = sum(counts.values())
-    share = counts.get(1, 0) / total if total else 0.0
-    # a share of the rows by hash, somewhat larger than the bound, and then the bound
+    own = rows.groupBy("y", "g", "h").agg(F.min("k").alias("k"), F.first("n").alias("n"), F.count("*").alias("of"))
+    counts = {r["y"]: r for r in own.groupBy("y").agg(F.sum("of").alias("rows"), F.count("*").alias("texts")).collect()}
+    total = sum(r["rows"] for r in counts.values())
+    share = counts[1]["rows"] / total if 1 in counts else 0.0
+    # a share of the texts by hash, somewhat larger than the bound, and then the bound
     picked, limit = [], F.lit(None).cast("int")
     for y in (0, 1):
-        part = max(1, -(-counts.get(y, 0) // (2 * max_rows)))
-        some = rows.where((F.col("y") == y) & (F.pmod(F.col("g"), F.lit(part)) == 0)).select("k", "y", "n", "h").orderBy("h", "k").limit(max_rows)
+        part = max(1, -(-counts[y]["texts"] // (2 * max_rows))) if y in counts else 1
+        some = own.where((F.col("y") == y) & (F.pmod(F.col("g"), F.lit(part)) == 0)).select("k", "y", "n", "g", "h").orderBy("h", "g").limit(max_rows)
         found = some.collect()
         picked += found
         limit = F.when(F.col("y") == y, F.lit(level([r["n"] for r in found], max_chars // 2)).cast("int")).otherwise(limit)
-    chosen = spark.createDataFrame(picked, some.schema).select("k", "y").distinct()
-    return given.join(F.broadcast(chosen), "k").select(excerpt(F.col("t"), limit).alias("t"), "y"), share
+    chosen = spark.createDataFrame(picked, some.schema).drop("n")
+    # by hash as well: a repeated id may have other texts; of equal rows, one
+    hashed = given.withColumns({"g": F.xxhash64("t"), "h": F.xxhash64("t", F.lit(1))}).join(F.broadcast(chosen), ["k", "g", "h"])
+    return hashed.select("g", "h", "y", excerpt(F.col("t"), limit).alias("t")).dropDuplicates(["g", "h", "y"]).select("t", "y"), share
 
 
 def fit(docs: DataFrame, labels: DataFrame, **how) -> Model:

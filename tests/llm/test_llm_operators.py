@@ -600,3 +600,20 @@ def test_toxicity_level_of_lengths():
     assert toxicity.level([5, 5], 10) is None and toxicity.level([], 10) is None
     assert toxicity.level([1, 2, 100, 100], 23) == 10 and toxicity.level([100], 10) == 10
     assert toxicity.MAX_ROWS == 2500 and toxicity.level([2617] * toxicity.MAX_ROWS, toxicity.MAX_CHARS // 2) is None
+
+
+def test_toxicity_samples_different_texts(spark):
+    few, hot = [f"vilex {k}" for k in range(3)], "one text of many copies"
+    clean = [f"water runs {k}" for k in range(10)]
+    texts = [*few * 400, *[hot] * 300, *clean]
+    docs, known = documents(spark, texts), spark.createDataFrame([(k, int(k < 1200)) for k in range(len(texts))], "doc_id long, toxic int")
+    rows, share = toxicity.sampled(docs, known, max_rows=20)
+    assert sorted((r["t"], r["y"]) for r in rows.collect()) == sorted([(hot, 0), *((t, 0) for t in clean), *((t, 1) for t in few)])
+    assert share == 1200 / len(texts)
+
+
+def test_toxicity_sample_of_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "c d"), (2, "e")], "doc_id long, text string")
+    known = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    rows, _ = toxicity.sampled(docs, known)
+    assert sorted((r["t"], r["y"]) for r in rows.collect()) == [("a b", 1), ("c d", 1), ("e", 0)]
