@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from screenweave.llm.common import bounded, chunks, table, tidy, written
+from screenweave.llm.common import bounded, chunks, fresh, table, tidy, written
 from screenweave.llm.graph import components
 from screenweave.llm.textarrays import mix64, shingles
 
@@ -106,7 +106,8 @@ def fingerprints(value: np.ndarray, at: np.ndarray, seed: int = 0x6A09E667F3BCC9
 
 
 def profile(docs: DataFrame, words_: int) -> DataFrame:
-    """One table with a row (id, n, f1, f2, null, null) for each document, and rows (null, ..., shingle, count) of shingles that a task met twice or more."""
+    """One table with a row (id, n, f1, f2, null, null) for each document, and rows (null, ..., shingle, count) of shingles that a task met twice or more. A column `hash` of the documents goes along."""
+    hashed = "hash" in docs.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
@@ -126,7 +127,8 @@ def profile(docs: DataFrame, words_: int) -> DataFrame:
                 n = np.bincount(doc, minlength=m)
                 at = np.concatenate([[0], np.cumsum(n)])
                 f = fingerprints(value, at), fingerprints(value, at, 0x3C6EF372FE94F82B)
-                yield pd.DataFrame({"id": ids[part], "n": n, "f1": f[0], "f2": f[1], "shingle": pd.array([None] * m, dtype="Int64"), "count": pd.array([None] * m, dtype="Int64")})
+                none = pd.array([None] * m, dtype="Int64")
+                yield pd.DataFrame({"id": ids[part], "n": n, "f1": f[0], "f2": f[1], "shingle": none, "count": none} | ({"hash": b["hash"].to_numpy()[part]} if hashed else {}))
                 waiting.append(value)
                 if sum(map(len, waiting)) > 2_000_000:
                     flush()
@@ -134,9 +136,9 @@ def profile(docs: DataFrame, words_: int) -> DataFrame:
         tidy()
         for u, c in kept:
             none = pd.array([None] * len(u), dtype="Int64")
-            yield pd.DataFrame({"id": none, "n": none, "f1": none, "f2": none, "shingle": u.view(np.int64), "count": c})
+            yield pd.DataFrame({"id": none, "n": none, "f1": none, "f2": none, "shingle": u.view(np.int64), "count": c} | ({"hash": none} if hashed else {}))
 
-    return docs.mapInPandas(run, "id long, n long, f1 long, f2 long, shingle long, count long")
+    return docs.mapInPandas(run, "id long, n long, f1 long, f2 long, shingle long, count long" + (", hash long" if hashed else ""))
 
 
 def _of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -326,12 +328,12 @@ def packed(docs: DataFrame, words_: int) -> DataFrame:
     return docs.mapInPandas(run, "id long, data binary")
 
 
-def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, n_links, component_id) of every row. n_links counts the other documents that link with it, copies included."""
+def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int = 4, percent: int = 85, hashed: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, n_links, component_id) of every row. n_links counts the other documents that link with it, copies included. If `hashed`, also the hash of the row's text, and a name of its component (null for rows without id or shingles) that no other component has, which component_id is only if ids are unique."""
     bounded(docs.sparkSession)
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *[F.xxhash64(F.col(text).cast("string")).alias("hash")] * hashed)
     found = written(profile(texts, words_), "profile")
-    rows = found.where("shingle is null").select("id", "n", "f1", "f2")
+    rows = found.where("shingle is null").select("id", "n", "f1", "f2", *["hash"] * hashed)
     frequent = found.where("shingle is not null").groupBy("shingle").agg(F.sum("count").alias("count"))
     ordered = frequent.orderBy(F.desc("count"), "shingle").limit(ORDERED).toPandas().sort_values(["count", "shingle"]).reset_index(drop=True)
     classes = written(rows.where("n > 0 and id is not null").groupBy("n", "f1", "f2").agg(F.min("id").alias("first"), F.count("*").alias("of")), "classes")
@@ -345,10 +347,10 @@ def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int
     grouped = classes.join(groups.withColumnRenamed("node", "f1"), "f1", "left").withColumn("component", F.coalesce("component", "f1"))
     least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
     by_class = grouped.join(least, "component").join(counts, "f1", "left")
-    by_class = by_class.select("n", "f1", "f2", "component_id", (F.coalesce("links", F.lit(0)) + F.col("of") - 1).alias("n_links"))
+    by_class = by_class.select("n", "f1", "f2", *["component"] * hashed, "component_id", (F.coalesce("links", F.lit(0)) + F.col("of") - 1).alias("n_links"))
     whole = rows.join(by_class, ["n", "f1", "f2"], "left")
     alone = F.col("component_id").isNull() | F.col("id").isNull()
-    return whole.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(alone, 0).otherwise(F.col("n_links")).alias("n_links"), F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    return whole.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(alone, 0).otherwise(F.col("n_links")).alias("n_links"), F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"), *["hash", F.when(~alone, F.col("component")).alias("component")] * hashed)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,7 +374,17 @@ STAGE_WORDS, STAGE_PERCENT = 5, 80
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates, the one with the smallest id (of repeated ids, all its rows); rows without id stay."""
-    found = joined(docs, words_=STAGE_WORDS, percent=STAGE_PERCENT)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    """Keeps one row of each group of near duplicates, the one with the smallest id (of rows with that id, the smallest hash of the text; of rows equal in both, the smallest); rows without id or shingles stay."""
+    found = joined(docs, words_=STAGE_WORDS, percent=STAGE_PERCENT, hashed=True).where("component is not null")
+    keys = written(found.groupBy("component", "doc_id", "hash").agg(F.count("*").alias("of")), "keys")
+    own = F.struct("doc_id", "hash")
+    first = keys.groupBy("component").agg(F.min(own).alias("first"), F.count("*").alias("keys")).where("keys > 1").drop("keys")
+    gone = keys.join(first, "component").where(own != F.col("first"))
+    i, h = fresh(docs, "id_as_long", "text_hash")
+    named = lambda rows: rows.select(F.col("doc_id").alias(i), F.col("hash").alias(h))
+    kept = docs.withColumns({i: F.col("doc_id").cast("long"), h: F.xxhash64(F.col("text").cast("string"))}).join(named(gone), [i, h], "left_anti")
+    equal = named(keys.where("of > 1"))
+    if equal.isEmpty():
+        return kept.select(*docs.columns)
+    least = kept.join(equal, [i, h], "left_semi").groupBy(i, h).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return kept.join(equal, [i, h], "left_anti").select(*docs.columns).unionAll(least.select("row.*"))

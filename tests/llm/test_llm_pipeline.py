@@ -59,6 +59,18 @@ def test_stages(spark, folder):
             assert kept == set(ids)
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    x, y, z = prose(1, 30), prose(2, 30), prose(3, 30)
+    rows = [(3, y), (7, x), (7, y), (9, x), (5, z), (5, z), (5, z), (4, z + " more"), (11, prose(4, 30)), (11, prose(5, 30)), (None, x), (6, ""), (6, "")]
+    docs = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    out = ngram_join.stage(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted(((r["doc_id"] or 0, r["text"]) for r in out.collect()))
+    assert got == sorted([(3, y), (7, x), (4, z + " more"), *rows[8:10], (0, x), *rows[11:]])
+    again = ngram_join.stage(spark, docs.where("doc_id = 5"), "").collect()
+    assert [(r["doc_id"], r["text"], r["block"]) for r in again] == [(5, z, 7)]
+
+
 def test_run_and_empty(spark, folder, tmp_path):
     out = corpus_pipeline.run(spark, folder)
     assert out.count() > 0 and "doc_id" in out.columns
