@@ -24,11 +24,15 @@ def median_transform(values: np.ndarray) -> np.ndarray:
 
     A channel that is never the brightest has a unit column; a singular matrix gives the identity.
     """
-    n = values.shape[1]
-    top, mixing = values.argmax(axis=1), np.zeros((n, n))
+    top = values.argmax(axis=1)
+    return unmixing({k: np.median(values[top == k], axis=0) for k in set(top.tolist())}, values.shape[1])
+
+
+def unmixing(medians: dict[int, np.ndarray], n: int) -> np.ndarray:
+    """The matrix from the median intensities of the rows where a channel is brightest, by that channel."""
+    mixing = np.zeros((n, n))
     for k in range(n):
-        rows = values[top == k]
-        column = np.median(rows, axis=0) if len(rows) else np.eye(n)[k]
+        column = medians.get(k, np.eye(n)[k])
         mixing[:, k] = column / column.sum() if column.sum() else np.eye(n)[k]
     try:
         return np.linalg.inv(mixing)
@@ -36,22 +40,26 @@ def median_transform(values: np.ndarray) -> np.ndarray:
         return np.eye(n)
 
 
-def corrected(reads: DataFrame, group: list[str], sample: int = 50_000) -> DataFrame:
-    """Values after each group's transform, fitted on reads inside cells, applied to all, truncated to integers.
+def corrected(reads: DataFrame, group: list[str]) -> DataFrame:
+    """Values after each group's transform, fitted on all reads inside cells, applied to all, truncated to integers.
 
-    A transform has few parameters: it is fitted on at most `sample` rows of a group, spread by hash, and joined back; the
-    rows themselves never meet in one task.
+    The medians are aggregates by group, brightest channel and channel; a task of Python meets the few medians of a group,
+    never its rows.
     """
     schema = ", ".join(f"{c} {reads.schema[c].dataType.simpleString()}" for c in group) + ", matrix array<array<double>>"
 
     def fit(df: pd.DataFrame) -> pd.DataFrame:
-        flat = np.concatenate([np.array([list(r) for r in v], dtype=float) for v in df["values"]])
-        return pd.DataFrame([[*df[group].iloc[0], median_transform(flat).tolist()]], columns=[*group, "matrix"])
+        n = int(df["_n"].iloc[0])
+        medians = {int(k): rows.sort_values("_c")["_m"].to_numpy(dtype=float) for k, rows in df.groupby("_top")}
+        return pd.DataFrame([[*df[group].iloc[0], unmixing(medians, n).tolist()]], columns=[*group, "matrix"])
 
     inside = reads.where((F.col("cell") > 0) & F.col("values").isNotNull())
-    sizes = inside.groupBy(*group).agg(F.count("*").alias("_n"))
-    some = inside.join(sizes, group).where(F.pmod(F.xxhash64("read"), F.greatest(F.lit(1), F.ceil(F.col("_n") / sample))) == 0).select(*group, "values")
-    fits = some.groupBy(*group).applyInPandas(fit, schema)
+    # missing and undefined values count as the brightest and make a median undefined, as in numpy
+    nan = F.lit(float("nan"))
+    rows = inside.select(*group, F.explode("values").alias("_v")).withColumn("_v", F.transform("_v", lambda x: F.coalesce(x, nan)))
+    tops = rows.select(*group, (F.array_position("_v", F.array_max("_v")) - 1).alias("_top"), F.size("_v").alias("_n"), F.posexplode("_v").alias("_c", "_x"))
+    median = F.when(F.max(F.isnan("_x")), nan).otherwise(F.percentile("_x", F.lit(0.5)))
+    fits = tops.groupBy(*group, "_top", "_c").agg(F.max("_n").alias("_n"), median.alias("_m")).groupBy(*group).applyInPandas(fit, schema)
     product = lambda v: F.transform("matrix", lambda row: F.aggregate(F.zip_with(row, v, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x).cast("int").cast("double"))
     return reads.join(fits, group).withColumn("values", F.transform("values", product)).drop("matrix")
 

@@ -35,6 +35,19 @@ def test_base_calling_of_uneven_cycles(spark):
     assert [r["read"] for r in basecalling.call_reads(df, ["well"]).collect()] == [1]
 
 
+def test_medians_are_of_all_reads(spark):
+    n = 120_000
+    bright = F.when(F.col("id") < 50_000, 100.0).otherwise(100.0 + F.col("id"))
+    reads = spark.range(n).select(F.lit(1).alias("well"), F.col("id").alias("read"), F.lit(1).alias("cell"), F.array(F.array(bright, F.lit(7.0)), F.array(F.lit(1.0), F.col("id") % 11 + 50.0)).alias("values"))
+    extra = spark.createDataFrame([(1, n, 0, [[1e6, 1e6]])], reads.schema)
+    got = {r["read"]: r["values"] for r in basecalling.corrected(reads.unionAll(extra), ["well"]).where(f"read IN (0, {n})").collect()}
+    x = np.arange(n)
+    first, second = np.column_stack([np.where(x < 50_000, 100.0, 100.0 + x), np.full(n, 7.0)]), np.column_stack([np.ones(n), x % 11 + 50.0])
+    m = basecalling.median_transform(np.concatenate([first, second]))
+    assert got[n] == (m @ np.array([1e6, 1e6])).astype(int).reshape(1, 2).tolist()
+    assert got[0] == [(m @ v[0]).astype(int).tolist() for v in (first, second)]
+
+
 def test_median_transform():
     clean = np.repeat(np.eye(3) * 100, 5, axis=0)
     assert np.allclose(basecalling.median_transform(clean), np.eye(3))
