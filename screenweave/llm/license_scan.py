@@ -1,8 +1,8 @@
 """Licence scan by canonical digests, in DataFrame functions only.
 
 A text's canonical form is lower case; every run of characters that are neither letters nor digits is one blank (line
-ends stay line ends); lines that are copyright statements ("Copyright (c) 2019 ...", "(c) 2020 ...", "All rights
-reserved.") are empty; equivalent spellings are made equal. The SHA-256 of the canonical text, line ends as blanks, is
+ends stay line ends); lines that are copyright statements ("Copyright (c) 2019 ...", "(c) 2020 ...", "Copyright (c) Some
+One", "Copyright The Authors", "© Some One", "All rights reserved.") are empty; equivalent spellings are made equal. The SHA-256 of the canonical text, line ends as blanks, is
 looked up in a table of known licence texts by a hash join. So is that of every line by itself: a one-line notice
 within other text is found too.
 
@@ -25,12 +25,19 @@ from screenweave.llm.license_texts import NOTICES, SPELLINGS, TEXTS
 
 _OTHER = r"[^\p{L}\p{N}\n]+"
 _COPYRIGHT = r"(?m)^ ?(?:portions )?(?:copyright(?: c)?|c) (?:\d{4}|yyyy|year)\b[^\n]*$|^ ?all rights reserved ?$"
+# Statements that need signs or capitals to be known: with the sign, or a name after "Copyright" that isn't the running text of a licence.
+_SIGNED = (
+    r"(?md)^[^\p{L}\p{N}\n]*(?:©"
+    r"|(?:(?i:portions)[^\p{L}\p{N}\n]+)?(?:[Cc]opyright|COPYRIGHT)(?:[^\p{L}\p{N}\n]*(?:\([cC]\)|©)"
+    r"|[^\p{L}\p{N}\n]+(?:(?i:by)[^\p{L}\p{N}\n]+)?(?!(?i:notices?|holders?|owners?|ownership|laws?|licen[cs]e[sd]?|statements?|interests?|permissions?|protection|disclaimers?|infringements?|acts?|and|or|in|is|of|to|for)\b)\p{Lu}))[^\n]*$"
+)
 _SPELLED = r"\b(?:" + "|".join(a for a, _ in SPELLINGS) + r")\b"
 
 
 def _lined(text: Column) -> Column:
     """Canonical but for line ends."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(text), _OTHER, " "), _COPYRIGHT, "")
+    unsigned = F.when(text.rlike("[Cc]opyright|COPYRIGHT|©"), F.regexp_replace(text, _SIGNED, "")).otherwise(text)
+    plain = F.regexp_replace(F.regexp_replace(F.lower(unsigned), _OTHER, " "), _COPYRIGHT, "")
     spelled = reduce(lambda c, ab: F.regexp_replace(c, rf"\b{ab[0]}\b", ab[1]), SPELLINGS, plain)
     return F.when(plain.rlike(_SPELLED), spelled).otherwise(plain)
 

@@ -137,6 +137,16 @@ def test_license_forms(spark):
     assert license_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_license_copyright_lines_without_year(spark):
+    lines = ["Copyright (c) Microsoft Corporation.", "Copyright The Authors", "© 2020 X", "© Some One", "  * Copyright © Some One, 2020", "COPYRIGHT (C) SOME ONE", "Portions Copyright by Some One"]
+    texts = [f"{line}\n\n{text}" for line in lines for _, text in TEXTS] + [text for _, text in TEXTS]
+    got = {r["doc_id"]: r["license"] for r in license_scan.scan(documents(spark, texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == [name for name, _ in TEXTS] * (len(lines) + 1)
+    bodies = ["COPYRIGHT HOLDERS BE LIABLE", "Copyright Notice", "copyright holders", "copyright is a right", "(c) You must retain", "the sign © in a line"]
+    digests = {r["text_digest"] for r in license_scan.scan(documents(spark, bodies)).collect()}
+    assert len(digests) == len(bodies) and hashlib.sha256(b"").hexdigest() not in digests
+
+
 def test_license_plan_is_native(spark):
     plan = license_scan.scan(documents(spark, AWKWARD))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "BroadcastHashJoin" in plan
