@@ -12,7 +12,7 @@ of the benchmark; each block is held against all documents. No document is moved
 
 Defined results: null texts and texts without words, on either side, match nothing. Items of fewer than `seed` words
 have one seed, their whole sequence. Repeated item rows (same id and text) count once; equal texts under several ids
-match under each. Repeated documents each give their rows. Other columns are not looked at.
+match under each, a null id included. Repeated documents each give their rows. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ def tiles(hits: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]
 class Index:
     """Seeds of a block of items: sorted hashes with item and place, for each seed length that occurs."""
 
-    def __init__(self, ids: list[int], texts: list[str], seed: int):
+    def __init__(self, ids: list[int | None], texts: list[str], seed: int):
         w = words(texts)
         h, count, first = w.hashes(), w.counts(), w.first()
         self.ids, self.count, self.seed = ids, count, seed
@@ -120,13 +120,13 @@ class Index:
                 covered = sum(t[2] for t in made)
                 if covered >= threshold * total:
                     out[d].append((self.ids[k], covered, total, len(made), max(t[2] for t in made)))
-        return [sorted(x) for x in out]
+        return [sorted(x, key=lambda m: (m[0] is not None, m[0] or 0, m[1:])) for x in out]
 
 
 def indexes(items: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS, text: str = "text", key: str = "item_id") -> Iterator[Index]:
     """Index blocks of at most block_words words each, or of one item that is longer. The items reach the driver one block at a time."""
     bounded(items.sparkSession)
-    rows = items.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).dropna().distinct()
+    rows = items.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).dropna(subset=["text"]).distinct()
     size = F.greatest(F.size(F.split(F.trim("text"), r"[ \t-\r]+")), F.lit(1))
     total = rows.agg(F.sum(size).alias("n")).first()["n"] or 0
     n = max(1, -(-2 * total // block_words)) if total > block_words else 1

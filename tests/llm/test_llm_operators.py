@@ -367,6 +367,16 @@ def test_tiling_awkward(spark):
     assert string_tiling.pairs(docs.limit(0), bench).count() == 0
 
 
+def test_tiling_items_without_id(spark, tmp_path):
+    a, b = prose(1, 30), prose(2, 30)
+    docs = documents(spark, [f"zz {a} zz {b}", prose(3, 30)])
+    bench = spark.createDataFrame([(None, a), (None, b), (None, None), (3, a)], "item_id long, text string")
+    got = [(r["doc_id"], r["item_id"], r["coverage"]) for r in string_tiling.pairs(docs, bench).collect()]
+    assert sorted(got, key=str) == [(0, 3, 1.0), (0, None, 1.0), (0, None, 1.0)]
+    bench.where("item_id is null").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r["doc_id"] for r in string_tiling.stage(spark, docs, str(tmp_path)).collect()] == [1]
+
+
 # WARC
 
 
