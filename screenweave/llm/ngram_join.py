@@ -1,21 +1,26 @@
 """N-gram Jaccard self-join: a blocked sparse product of the document by n-gram incidence.
 
-Rows of the incidence are classes: documents with the same set of shingles are one class, named by its fingerprint.
-Two classes link when 100 * intersection >= PERCENT * union.
+Rows of the incidence are classes: documents with the same set of shingles are one class, named by the set's 128-bit
+fingerprint and numbered once, when the table of classes is written. Two classes link when 100 * intersection >=
+PERCENT * union.
 
-1. A first pass over the texts gives each document's set size and 128-bit set fingerprint, and the shingles that are
-   frequent (counted in full, the most frequent ORDERED of them kept). Frequency only orders shingles - rare ones first, any
+1. A first pass over the texts gives each document's set size and fingerprint, and the shingles that are frequent
+   (counted in full, the most frequent ORDERED of them kept). Frequency only orders shingles - rare ones first, any
    order gives the same links - so leaving out some affects speed alone.
-2. Size-derived bounds: linked sets share a shingle within the first (100 - PERCENT) % of each, in that order. A second
-   pass emits these prefixes as (shingle, class, size, place); shingles with one class drop out in a window.
-3. Within a shingle's classes, a pair is a candidate if sizes, places and a histogram of the shingle hashes all allow a
-   sufficient overlap (each is an upper bound, so no link is lost). Of the candidates only a spanning forest is emitted,
-   never all pairs. Shingles of more than GROUP classes are dealt over several tasks as pairs of parts.
+2. Size-derived bounds: linked sets share a shingle within the first (100 - PERCENT) % of each, in that order, and their
+   sizes are in the same or in neighbouring bands. A second pass emits these prefixes as (shingle, class, size, place), a
+   class once for each task. Aggregation by (shingle, band), with partial sums before the shuffle, tells which of these
+   cells have a candidate at all; the others drop out. No window and no task holds a shingle's rows together.
+3. In a cell, a pair is a candidate if sizes, places and a histogram of the shingle hashes all allow a sufficient overlap
+   (each is an upper bound, so no link is lost). Of the candidates only a spanning forest is emitted, never all pairs. A
+   cell of more than GROUP rows is dealt over several tasks as pairs of parts.
 4. Components of these forests are clusters. Each cluster's classes are cut into blocks of about BLOCK rows by size; for each
    two blocks whose sizes allow links, the product of their incidence blocks accumulates the overlap counts, and pairs
    below the bound are discarded. A product emits each class's number of links, and a spanning forest of the links.
 5. Components of the links give component_id, and sums give n_links; both go from classes to their documents.
 
+Copies cost one row of each table after step 1, however many there are.
+
 Defined results: null texts and texts without words have no shingles, no links and themselves as component. Fewer words
 than a shingle has: the whole sequence is the one shingle. Equal sets always link. Repeated rows and repeated ids are
 documents of their own, with a result each. Rows without id link with nothing and have null component. Other columns are
@@ -28,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -40,7 +45,11 @@ from screenweave.llm.textarrays import mix64, shingles
 ORDERED = 50_000
 #: Sets of ids up to this size are sent to all tasks as a hash table; larger ones are joined by a shuffle.
 SENT_IDS = 500_000
-GROUP, BLOCK = 4096, 256
+GROUP, BLOCK = 2048, 256
+#: Candidate rows that one task handles, about.
+TASK_ROWS = 20_000
+#: Other half of the fingerprints.
+SECOND = 0x3C6EF372FE94F82B
 _U = np.uint64
 
 
@@ -106,8 +115,7 @@ def fingerprints(value: np.ndarray, at: np.ndarray, seed: int = 0x6A09E667F3BCC9
 
 
 def profile(docs: DataFrame, words_: int) -> DataFrame:
-    """One table with a row (id, n, f1, f2, null, null) for each document, and rows (null, ..., shingle, count) of shingles that a task met twice or more. A column `hash` of the documents goes along."""
-    hashed = "hash" in docs.columns
+    """One table with a row (id, hash, n, f1, f2, null, null) for each document, and rows (null, ..., shingle, count) of shingles that a task met twice or more."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
@@ -120,15 +128,14 @@ def profile(docs: DataFrame, words_: int) -> DataFrame:
                 kept.append((u[c > 1], c[c > 1]))
 
         for b in batches:
-            ids, texts = b["doc_id"].to_numpy(), b["text"].tolist()
+            ids, texts, hashes = b["doc_id"].to_numpy(), b["text"].tolist(), b["hash"].to_numpy()
             for part in chunks(texts):
                 doc, value = shingles(texts[part], words_)
                 m = len(ids[part])
                 n = np.bincount(doc, minlength=m)
                 at = np.concatenate([[0], np.cumsum(n)])
-                f = fingerprints(value, at), fingerprints(value, at, 0x3C6EF372FE94F82B)
                 none = pd.array([None] * m, dtype="Int64")
-                yield pd.DataFrame({"id": ids[part], "n": n, "f1": f[0], "f2": f[1], "shingle": none, "count": none} | ({"hash": b["hash"].to_numpy()[part]} if hashed else {}))
+                yield pd.DataFrame({"id": ids[part], "hash": hashes[part], "n": n, "f1": fingerprints(value, at), "f2": fingerprints(value, at, SECOND), "shingle": none, "count": none})
                 waiting.append(value)
                 if sum(map(len, waiting)) > 2_000_000:
                     flush()
@@ -136,24 +143,35 @@ def profile(docs: DataFrame, words_: int) -> DataFrame:
         tidy()
         for u, c in kept:
             none = pd.array([None] * len(u), dtype="Int64")
-            yield pd.DataFrame({"id": none, "n": none, "f1": none, "f2": none, "shingle": u.view(np.int64), "count": c} | ({"hash": none} if hashed else {}))
+            yield pd.DataFrame({"id": none, "hash": none, "n": none, "f1": none, "f2": none, "shingle": u.view(np.int64), "count": c})
+
+    return docs.mapInPandas(run, "id long, hash long, n long, f1 long, f2 long, shingle long, count long")
 
-    return docs.mapInPandas(run, "id long, n long, f1 long, f2 long, shingle long, count long" + (", hash long" if hashed else ""))
 
+def _of(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
+    """The documents that represent the chosen classes (columns first, hash)."""
+    small = chosen.select(F.col("first").alias("doc_id"), "hash")
+    return docs.join(F.broadcast(small) if n <= SENT_IDS else small, ["doc_id", "hash"], "left_semi")
 
-def _of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """The documents with these ids (column id, unique)."""
-    small = F.broadcast(ids) if n <= SENT_IDS else ids
-    return docs.join(small, docs["doc_id"] == small["id"], "left_semi")
+
+def _unseen(seen: set, f1: np.ndarray, f2: np.ndarray) -> np.ndarray:
+    """Which classes weren't in `seen` yet; they are put in."""
+    out = np.zeros(len(f1), dtype=bool)
+    for k, pair in enumerate(zip(f1.tolist(), f2.tolist())):
+        if pair not in seen:
+            seen.add(pair)
+            out[k] = True
+    return out
 
 
 def prefixes(docs: DataFrame, frequent: pd.DataFrame, words_: int, percent: int) -> DataFrame:
-    """(shingle, id, n, place, sketch) of each class's prefix; the class's histogram is with its first row."""
+    """(shingle, f1, f2, n, place, sketch) of each class's prefix, once for each task that has it; the class's histogram is with its first row."""
     ranked = np.sort(frequent["shingle"].to_numpy(np.int64).view(np.uint64)) if len(frequent) else np.zeros(0, np.uint64)
     order = np.argsort(frequent["shingle"].to_numpy(np.int64).view(np.uint64)) if len(frequent) else np.zeros(0, np.int64)
     rank = order + 1  # `frequent` comes by rising frequency; 0 is for all other shingles
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set = set()
         for b in batches:
             texts = b["text"].tolist()
             for part in chunks(texts):
@@ -165,45 +183,78 @@ def prefixes(docs: DataFrame, frequent: pd.DataFrame, words_: int, percent: int)
                     where = np.minimum(np.searchsorted(ranked, value), len(ranked) - 1)
                     hit = ranked[where] == value
                     weight[hit] = rank[where[hit]]
-                out: list[list[np.ndarray]] = [[], [], [], []]
-                sketch, name = [], fingerprints(value, at)
-                for d in np.flatnonzero(n):
+                out: list[list[np.ndarray]] = [[], [], [], [], []]
+                sketch, f1, f2 = [], fingerprints(value, at), fingerprints(value, at, SECOND)
+                for d in np.flatnonzero((n > 0) & _unseen(seen, f1, f2)):
                     s = slice(at[d], at[d + 1])
                     k = int(prefix_length(n[d], percent))
                     first = np.argsort(weight[s], kind="stable")[:k]
-                    h = histogram(value[s]).tobytes()
                     out[0].append(value[s][first])
-                    out[1].append(np.full(k, name[d]))
-                    out[2].append(np.full(k, n[d]))
-                    out[3].append(np.arange(k))
-                    sketch += [h] + [None] * (k - 1)
+                    out[1].append(np.full(k, f1[d]))
+                    out[2].append(np.full(k, f2[d]))
+                    out[3].append(np.full(k, n[d]))
+                    out[4].append(np.arange(k))
+                    sketch += [histogram(value[s]).tobytes()] + [None] * (k - 1)
                 if sketch:
                     cols = [np.concatenate(x) for x in out]
-                    yield pd.DataFrame({"shingle": cols[0].view(np.int64), "id": cols[1], "n": cols[2], "place": cols[3], "sketch": sketch})
+                    yield pd.DataFrame({"shingle": cols[0].view(np.int64), "f1": cols[1], "f2": cols[2], "n": cols[3], "place": cols[4], "sketch": sketch})
             tidy()
 
-    return docs.mapInPandas(run, "shingle long, id long, n long, place int, sketch binary")
-
-
-def candidates(posts: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) of spanning forests of the candidates in each shingle's classes."""
-    near = W.partitionBy("shingle").orderBy("n", "id")
-    shared = posts.select("shingle", "id", "n", "place").withColumns({"before": F.lag("n").over(near), "after": F.lead("n").over(near), "row": F.row_number().over(near)})
-    # sizes are sorted: a class whose neighbours are too far off in size has no candidate here
-    shared = shared.where((F.col("before") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("after") * percent)).drop("before", "after")
-    shared = written(shared, "shared")
-    sizes = shared.groupBy("shingle").agg(F.max("row").alias("rows")).where(F.col("rows") > GROUP).withColumn("parts", F.ceil(F.col("rows") / GROUP).cast("int"))
-    # a histogram for each class that is left
-    kept = shared.select("id").distinct()
-    sketches = posts.where("sketch is not null").select("id", "sketch").join(kept, "id", "left_semi")
-    known = shared.join(sizes.select("shingle", "parts"), "shingle", "left").withColumn("part", F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int"))
-    other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
-    pairs = known.withColumn("other", other).withColumn("tile", F.when(F.col("parts").isNull(), F.lit(-1)).otherwise(F.least("part", "other") * F.col("parts") + F.greatest("part", "other")))
-    spread = shared.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    tiled = pairs.join(sketches, "id").withColumn("task", F.pmod(F.xxhash64("shingle", "tile"), F.lit(8 * int(spread))).cast("int"))
+    return docs.mapInPandas(run, "shingle long, f1 long, f2 long, n long, place int, sketch binary")
+
+
+def band(n: Column, percent: int) -> Column:
+    """Sets that may link are in the same band or in neighbouring ones."""
+    return F.floor(F.log(n) / F.log(F.lit(100.5 / percent))).cast("int")
+
+
+def cells(posts: DataFrame, percent: int) -> DataFrame:
+    """(shingle, band, rows, parts, up): the cells with a row that has a candidate.
+
+    A cell's pairs are those among its own rows, and those of its own rows with its guests, the rows of the band below.
+    `parts`: over how many parts the cell is dealt, null if it has no pair; `up`: the same of the cell above, null if
+    that one takes in no guests.
+    """
+    extremes = [f(c).alias(f"{c}_{k}") for c in ("f1", "f2", "n") for k, f in (("low", F.min), ("high", F.max))]
+    own = posts.groupBy("shingle", "band").agg(F.count("*").alias("rows"), *extremes)
+    bands = W.partitionBy("shingle").orderBy("band")  # a shingle has few bands: their number grows with the logarithm of a set's size
+    below = F.when(F.lag("band").over(bands) == F.col("band") - 1, F.lag(F.struct("n_high", "rows")).over(bands))
+    guests = F.coalesce(F.col("below.n_high") * 100 >= F.col("n_low") * percent, F.lit(False))
+    # of copies that several tasks have met there is one class only: no pair
+    some = (F.col("f1_low") != F.col("f1_high")) | (F.col("f2_low") != F.col("f2_high")) | F.col("guests")
+    out = own.withColumn("below", below).withColumn("guests", guests)
+    out = out.withColumn("parts", F.when(some, F.ceil((F.col("rows") + F.when(F.col("guests"), F.col("below.rows")).otherwise(0)) / GROUP)).cast("int"))
+    up = F.when((F.lead("band").over(bands) == F.col("band") + 1) & F.lead("guests").over(bands), F.lead("parts").over(bands))
+    return out.withColumn("up", up).where("parts is not null or up is not null").select("shingle", "band", "rows", "parts", "up")
+
+
+def candidates(posts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b), numbers of classes, of spanning forests of the candidates in each cell."""
+    posts = posts.withColumn("band", band(F.col("n"), percent))
+    found = written(cells(posts, percent), "cells")
+    size = found.agg(F.sum(F.col("rows") * ((F.coalesce("parts", F.lit(0)) + F.coalesce("up", F.lit(0))))).alias("rows"), F.count_if(F.col("rows") > GROUP).alias("large")).first()
+    # posts of a large cell meet it by a salt
+    salts = F.ceil(F.col("rows") / GROUP).cast("int")
+    large = found.where(F.col("rows") > GROUP).select("shingle", "band", salts.alias("salts"))
+    large = F.broadcast(large) if size["large"] <= SENT_IDS else large
+    row = posts.select("shingle", "f1", "f2", "n", "place", "band")
+    dealt = row.join(large, ["shingle", "band"], "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("f1", "f2"), F.col("salts")), F.lit(0)).cast("int")).drop("salts")
+    salted = found.select("shingle", "band", "parts", "up", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    kept = written(dealt.join(salted, ["shingle", "band", "salt"]).drop("salt").distinct(), "kept")
+    # the number and the histogram of each class that is left
+    left = kept.select("f1", "f2").distinct()
+    sketches = posts.where("sketch is not null").select("f1", "f2", "sketch").join(left, ["f1", "f2"], "left_semi").dropDuplicates(["f1", "f2"])
+    named = sketches.join(classes.select("f1", "f2", "node"), ["f1", "f2"])
+    # own rows go to their band's cell, and as guests to the one above; there to all pairs of parts with their part in it
+    to = F.filter(F.array(F.struct("band", "parts", F.lit(False).alias("guest")), F.struct((F.col("band") + 1).alias("band"), F.col("up").alias("parts"), F.lit(True).alias("guest"))), lambda x: x["parts"].isNotNull())
+    placed = kept.withColumn("to", F.explode(to)).select("shingle", "f1", "f2", "n", "place", "to.*").withColumn("part", F.pmod(F.xxhash64("f1", "f2"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    pairs = placed.withColumn("other", other).withColumn("tile", F.least("part", "other") * F.col("parts") + F.greatest("part", "other")).drop("other", "parts", "part")
+    tasks = max(int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(size["rows"] or 0) // TASK_ROWS))
+    tiled = pairs.join(named, ["f1", "f2"]).drop("f1", "f2").withColumn("task", F.pmod(F.xxhash64("shingle", "band", "tile"), F.lit(tasks)).cast("int"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        own, index = np.unique(group["id"].to_numpy(), return_inverse=True)
+        own, index = np.unique(group["node"].to_numpy(), return_inverse=True)
         forest = Forest(len(own))
         first = np.zeros(len(own), dtype=np.int64)
         first[index] = np.arange(len(index))
@@ -213,17 +264,20 @@ def candidates(posts: DataFrame, percent: int) -> DataFrame:
         inside = np.zeros(len(own), dtype=np.int64)
         for k in table_:
             inside[wide == k] = np.arange((wide == k).sum())
-        shingle, tile = group["shingle"].to_numpy(), group["tile"].to_numpy()
-        size, place = group["n"].to_numpy(np.int64), group["place"].to_numpy(np.int64)
-        order = np.lexsort((size, tile, shingle))
-        shingle, tile, size, place, index = shingle[order], tile[order], size[order], place[order], index[order]
-        cut = np.flatnonzero(np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (tile[1:] != tile[:-1]), [True]]))
+        shingle, tile, of_band = group["shingle"].to_numpy(), group["tile"].to_numpy(), group["band"].to_numpy()
+        size, place, guest = group["n"].to_numpy(np.int64), group["place"].to_numpy(np.int64), group["guest"].to_numpy(bool)
+        order = np.lexsort((size, tile, of_band, shingle))
+        shingle, tile, of_band, size, place, index, guest = (x[order] for x in (shingle, tile, of_band, size, place, index, guest))
+        new = (shingle[1:] != shingle[:-1]) | (tile[1:] != tile[:-1]) | (of_band[1:] != of_band[:-1])
+        cut = np.flatnonzero(np.concatenate([[True], new, [True]]))
         for lo, hi in zip(cut[:-1], cut[1:]):
             if hi - lo < 2:
                 continue
             for i in range(lo, hi - 1):
                 top = lo + np.searchsorted(size[lo:hi], size[i] * 100 // percent, side="right")
                 j = np.arange(i + 1, top)
+                if guest[i]:  # guests are paired among themselves in their own cell
+                    j = j[~guest[j]]
                 if not len(j):
                     continue
                 j = j[index[j] != index[i]]
@@ -313,44 +367,50 @@ def links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
 
 def packed(docs: DataFrame, words_: int) -> DataFrame:
-    """(id, data): the class of each document, and its sorted shingles as a binary."""
+    """(f1, f2, data): each class among the documents, and its sorted shingles as a binary."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set = set()
         for b in batches:
             texts = b["text"].tolist()
             for part in chunks(texts):
                 doc, value = shingles(texts[part], words_)
-                n = len(texts[part])
-                at = _slices(doc, n)
-                yield pd.DataFrame({"id": fingerprints(value, at), "data": [value[at[k] : at[k + 1]].tobytes() for k in range(n)]})
+                at = _slices(doc, len(texts[part]))
+                f1, f2 = fingerprints(value, at), fingerprints(value, at, SECOND)
+                new = np.flatnonzero(_unseen(seen, f1, f2))
+                yield pd.DataFrame({"f1": f1[new], "f2": f2[new], "data": [value[at[k] : at[k + 1]].tobytes() for k in new]})
             tidy()
 
-    return docs.mapInPandas(run, "id long, data binary")
+    # a repeated row may be met by several tasks
+    return docs.mapInPandas(run, "f1 long, f2 long, data binary").dropDuplicates(["f1", "f2"])
 
 
-def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int = 4, percent: int = 85, hashed: bool = False) -> DataFrame:
-    """(doc_id, n_shingles, n_links, component_id) of every row. n_links counts the other documents that link with it, copies included. If `hashed`, also the hash of the row's text, and a name of its component (null for rows without id or shingles) that no other component has, which component_id is only if ids are unique."""
+def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int = 4, percent: int = 85, named: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, n_links, component_id) of every row. n_links counts the other documents that link with it, copies included. If `named`, also the hash of the row's text, and a number of its component (null for rows without id or shingles) that no other component has, which component_id is only if ids are unique."""
     bounded(docs.sparkSession)
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *[F.xxhash64(F.col(text).cast("string")).alias("hash")] * hashed)
+    body = F.col(text).cast("string")
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("hash"))
     found = written(profile(texts, words_), "profile")
-    rows = found.where("shingle is null").select("id", "n", "f1", "f2", *["hash"] * hashed)
+    rows = found.where("shingle is null").select("id", "hash", "n", "f1", "f2")
     frequent = found.where("shingle is not null").groupBy("shingle").agg(F.sum("count").alias("count"))
     ordered = frequent.orderBy(F.desc("count"), "shingle").limit(ORDERED).toPandas().sort_values(["count", "shingle"]).reset_index(drop=True)
-    classes = written(rows.where("n > 0 and id is not null").groupBy("n", "f1", "f2").agg(F.min("id").alias("first"), F.count("*").alias("of")), "classes")
-    posts = written(prefixes(_of(texts, classes.select(F.col("first").alias("id")), classes.count()), ordered, words_, percent), "posts")
-    near = components(candidates(posts, percent)).withColumnRenamed("component", "cluster")
-    members = written(near.join(classes, near["node"] == classes["f1"]).select(F.col("f1").alias("id"), "cluster", "n", "of", "first"), "members")
-    sets = packed(_of(texts, members.select(F.col("first").alias("id")), members.count()), words_)
-    out = written(links(sets, members.drop("first"), percent), "links")
+    # the row that represents a class is told by its id and the hash of its text
+    classes = rows.where("n > 0 and id is not null").groupBy("n", "f1", "f2").agg(F.min("id").alias("first"), F.min_by("hash", F.struct("id", "hash")).alias("hash"), F.count("*").alias("of"))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    posts = written(prefixes(texts.where("doc_id is not null"), ordered, words_, percent), "posts")
+    near = components(candidates(posts, classes, percent)).withColumnRenamed("component", "cluster")
+    members = written(near.join(classes, "node").select(F.col("node").alias("id"), "cluster", "n", "f1", "f2", "of", "first", "hash"), "members")
+    sets = packed(_of(texts, members, members.count()), words_).join(members.select("f1", "f2", "id"), ["f1", "f2"]).select("id", "data")
+    out = written(links(sets, members.select("id", "cluster", "n", "of"), percent), "links")
     groups = components(out.where("b is not null").select("a", "b"))
-    counts = out.where("b is null").groupBy(F.col("a").alias("f1")).agg(F.sum("n").alias("links"))
-    grouped = classes.join(groups.withColumnRenamed("node", "f1"), "f1", "left").withColumn("component", F.coalesce("component", "f1"))
+    counts = out.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
+    grouped = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_class = grouped.join(least, "component").join(counts, "f1", "left")
-    by_class = by_class.select("n", "f1", "f2", *["component"] * hashed, "component_id", (F.coalesce("links", F.lit(0)) + F.col("of") - 1).alias("n_links"))
+    by_class = grouped.join(least, "component").join(counts, "node", "left")
+    by_class = by_class.select("n", "f1", "f2", *["component"] * named, "component_id", (F.coalesce("links", F.lit(0)) + F.col("of") - 1).alias("n_links"))
     whole = rows.join(by_class, ["n", "f1", "f2"], "left")
     alone = F.col("component_id").isNull() | F.col("id").isNull()
-    return whole.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(alone, 0).otherwise(F.col("n_links")).alias("n_links"), F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"), *["hash", F.when(~alone, F.col("component")).alias("component")] * hashed)
+    return whole.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(alone, 0).otherwise(F.col("n_links")).alias("n_links"), F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"), *["hash", F.when(~alone, F.col("component")).alias("component")] * named)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,7 +435,7 @@ STAGE_WORDS, STAGE_PERCENT = 5, 80
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near duplicates, the one with the smallest id (of rows with that id, the smallest hash of the text; of rows equal in both, the smallest); rows without id or shingles stay."""
-    found = joined(docs, words_=STAGE_WORDS, percent=STAGE_PERCENT, hashed=True).where("component is not null")
+    found = joined(docs, words_=STAGE_WORDS, percent=STAGE_PERCENT, named=True).where("component is not null")
     keys = written(found.groupBy("component", "doc_id", "hash").agg(F.count("*").alias("of")), "keys")
     own = F.struct("doc_id", "hash")
     first = keys.groupBy("component").agg(F.min(own).alias("first"), F.count("*").alias("keys")).where("keys > 1").drop("keys")
