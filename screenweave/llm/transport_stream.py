@@ -6,8 +6,11 @@ counters; the first packet of a random-access unit carries the indicator and a c
 back: it finds the stream through PAT and PMT (with their CRCs checked), checks continuity counters, reassembles the
 PES packets and lists presentation times and random-access points.
 
-Defined results: null and empty payloads are stored as one block of padding. Damaged streams don't raise: lost sync,
-broken CRCs and gaps are counted, and what can be read is returned. Equal payloads give equal streams.
+Defined results: null and empty payloads are stored as one block of padding. Equal payloads give equal streams. Damaged
+streams don't raise: lost sync, broken CRCs, gaps and broken headers are counted, and what can be read is returned. A
+packet that repeats the one before with the same counter is a duplicate, which the standard allows: it is counted and
+passed over. A jump of the counter that a discontinuity indicator announces is no gap. A PES packet with a gap in it is
+left out; headers and tables may cross packets. Bytes after the last whole packet are not read.
 """
 
 from __future__ import annotations
@@ -127,98 +130,150 @@ class Stream:
     sync_errors: int = 0
     crc_errors: int = 0
     gaps: int = 0
+    header_errors: int = 0
+    repeated: int = 0
 
     def feature(self) -> str:
         points = hashlib.md5(repr(self.access).encode()).hexdigest()[:8]
         return f"units={len(self.times)};last={self.times[-1] if self.times else -1};access={len(self.access)};points={points};packets={self.packets};gaps={self.gaps};sync={self.sync_errors};crc={self.crc_errors}"
 
 
-def _table_of(body: bytes, table_id: int) -> bytes | None:
-    """The entries of a PSI section that begins in this packet's payload, None if it is broken."""
-    begin = 1 + body[0]
-    size = 3 + (int.from_bytes(body[begin + 1 : begin + 3], "big") & 0xFFF)
-    section = body[begin : begin + size]
-    if len(section) < size or size < 12 or section[0] != table_id or crc32_mpeg(section):
-        return None
-    return section[8:-4]
+class Sections:
+    """Collects the PSI sections of one table from packet payloads: a section may cross packets, and a packet may hold several."""
+
+    def __init__(self, table_id: int):
+        self.table_id, self.data, self.seen, self.errors = table_id, b"", b"", 0
+
+    def add(self, body: bytes, start: bool, lost: bool) -> list[bytes]:
+        """The entries of the sections that end in this payload."""
+        if lost:
+            self.data = b""
+        if start:
+            if body == self.seen:  # the same table once more
+                return []
+            rest, errors, alone = 1 + body[0], self.errors, not self.data
+            # what is before the pointer ends a section, what is after begins the next
+            out = self._whole(self.data + body[1:rest]) if self.data else []
+            self.data = body[rest:]
+            out += self._whole(self.data)
+            self.seen = body if alone and self.errors == errors else b""
+            return out
+        if self.data:
+            self.seen = b""
+            return self._whole(self.data + body)
+        return []
+
+    def _whole(self, data: bytes) -> list[bytes]:
+        out = []
+        while len(data) >= 3 and data[0] != 0xFF:
+            size = 3 + (int.from_bytes(data[1:3], "big") & 0xFFF)
+            if len(data) < size:
+                self.data = data
+                return out
+            section, data = data[:size], data[size:]
+            if size < 12 or section[0] != self.table_id or crc32_mpeg(section):
+                self.errors += 1
+            else:
+                out.append(section[8:-4])
+        self.data = data if data and data[0] != 0xFF else b""
+        return out
+
+
+def _programme(entries: bytes) -> int:
+    """The PID of the first programme's table in a PAT, -1 if there is none."""
+    for i in range(0, len(entries) - 3, 4):
+        if int.from_bytes(entries[i : i + 2], "big"):
+            return int.from_bytes(entries[i + 2 : i + 4], "big") & 0x1FFF
+    return -1
+
+
+def _private(entries: bytes) -> int:
+    """The PID of the first private data stream in a PMT, -1 if there is none."""
+    i = 4 + (int.from_bytes(entries[2:4], "big") & 0xFFF)
+    while i + 5 <= len(entries):
+        if entries[i] == PRIVATE_DATA:
+            return int.from_bytes(entries[i + 1 : i + 3], "big") & 0x1FFF
+        i += 5 + (int.from_bytes(entries[i + 3 : i + 5], "big") & 0xFFF)
+    return -1
 
 
 def demux(media: bytes) -> Stream:
     out = Stream()
     pmt_pid = es_pid = -1
-    last: dict[int, int] = {}
-    pat_seen = pmt_seen = None
+    last: dict[int, tuple[int, int, int]] = {}  # by PID: counter, and where its packet's content begins and ends
+    pat, pmt = Sections(0), Sections(2)
     unit: list[bytes] = []
     parts: list[bytes] = []
+    began, access = 0, False
 
     def close() -> None:
-        if unit:
-            pes = b"".join(unit)
-            unit.clear()
-            if pes[:4] == b"\0\0\1\xbd" and len(pes) > 8:
-                size = int.from_bytes(pes[4:6], "big")
-                parts.append(pes[9 + pes[8] : 6 + size if size else len(pes)])
+        if not unit:
+            return
+        pes = b"".join(unit)
+        unit.clear()
+        begin = 9 + pes[8] if len(pes) > 8 else 0
+        if pes[:4] != b"\0\0\1\xbd" or not begin or len(pes) < begin:
+            out.header_errors += 1
+            return
+        if pes[7] & 128 and begin >= 14:
+            pts = _when(pes[9:14])
+            out.times.append(pts)
+            if access:
+                out.access.append((pts, began))
+        size = int.from_bytes(pes[4:6], "big")
+        if size and len(pes) < 6 + size:
+            out.header_errors += 1
+        parts.append(pes[begin : 6 + size if size else len(pes)])
 
     for at in range(0, len(media) - SIZE + 1, SIZE):
         out.packets += 1
         if media[at] != SYNC:
             out.sync_errors += 1
             continue
-        pid, flags, start = (media[at + 1] & 31) << 8 | media[at + 2], media[at + 3], media[at + 1] & 64
+        pid, flags, start = (media[at + 1] & 31) << 8 | media[at + 2], media[at + 3], bool(media[at + 1] & 64)
         if pid == NULL_PID:
             continue
-        begin, random = at + 4, False
+        begin, random, lost = at + 4, False, False
         if flags & 32:
             size = media[begin]
-            random = bool(size and media[begin + 1] & 64)
+            if size > 183:
+                out.header_errors += 1
+                continue
+            marks = media[begin + 1] if size else 0
+            random = bool(marks & 64)
+            if marks & 128:  # discontinuity indicator
+                last.pop(pid, None)
             begin += 1 + size
-        if flags & 16:
-            before = last.get(pid)
-            if before is not None and (before + 1) & 15 != flags & 15:
-                out.gaps += 1
-                if pid == es_pid:
-                    unit.clear()
-            last[pid] = flags & 15
-        if not flags & 16 or begin >= at + SIZE:
+        if not flags & 16:
             continue
+        before = last.get(pid)
+        if before is not None and before[0] != (flags - 1) & 15:
+            if before[0] == flags & 15 and media[begin : at + SIZE] == media[before[1] : before[2]]:
+                out.repeated += 1
+                continue
+            out.gaps += 1
+            lost = True
+            if pid == es_pid:
+                unit.clear()
+        last[pid] = flags & 15, begin, at + SIZE
+        if begin >= at + SIZE:
+            continue
+        body = media[begin : at + SIZE]
         if pid == es_pid:
             if start:
                 close()
-                if media[begin + 7] & 128:
-                    pts = _when(media[begin + 9 : begin + 14])
-                    out.times.append(pts)
-                    if random:
-                        out.access.append((pts, at))
-                unit.append(media[begin : at + SIZE])
+                began, access = at, random
+                unit.append(body)
             elif unit:
-                unit.append(media[begin : at + SIZE])
-        elif pid == PAT_PID and start:
-            body = media[begin : at + SIZE]
-            if body != pat_seen:
-                entries = _table_of(body, 0)
-                if entries is None:
-                    out.crc_errors += 1
-                    continue
-                pat_seen = body
-                for i in range(0, len(entries), 4):
-                    if int.from_bytes(entries[i : i + 2], "big"):
-                        pmt_pid = int.from_bytes(entries[i + 2 : i + 4], "big") & 0x1FFF
-                        break
-        elif pid == pmt_pid and start:
-            body = media[begin : at + SIZE]
-            if body != pmt_seen:
-                entries = _table_of(body, 2)
-                if entries is None:
-                    out.crc_errors += 1
-                    continue
-                pmt_seen = body
-                i = 4 + (int.from_bytes(entries[2:4], "big") & 0xFFF)
-                while i + 5 <= len(entries):
-                    if entries[i] == PRIVATE_DATA:
-                        es_pid = int.from_bytes(entries[i + 1 : i + 3], "big") & 0x1FFF
-                        break
-                    i += 5 + (int.from_bytes(entries[i + 3 : i + 5], "big") & 0xFFF)
+                unit.append(body)
+        elif pid == PAT_PID:
+            for entries in pat.add(body, start, lost):
+                pmt_pid = _programme(entries)
+        elif pid == pmt_pid:
+            for entries in pmt.add(body, start, lost):
+                es_pid = _private(entries)
     close()
+    out.crc_errors = pat.errors + pmt.errors
     out.payload = b"".join(parts)
     return out
 
@@ -247,7 +302,7 @@ def decoded(media: DataFrame) -> DataFrame:
             for key, n, m in zip(b["doc_id"], b["n_bytes"], b["media"]):
                 m = bytes(m)
                 s = demux(m)
-                rows.append((key, n, len(s.payload), hashlib.sha256(s.payload).hexdigest(), zlib.crc32(s.payload[-64:]), len(m), hashlib.sha256(m).hexdigest(), s.feature(), s.packets, s.gaps + s.sync_errors + s.crc_errors, [t for t, _ in s.access], [o for _, o in s.access]))
+                rows.append((key, n, len(s.payload), hashlib.sha256(s.payload).hexdigest(), zlib.crc32(s.payload[-64:]), len(m), hashlib.sha256(m).hexdigest(), s.feature(), s.packets, s.gaps + s.sync_errors + s.crc_errors + s.header_errors, [t for t, _ in s.access], [o for _, o in s.access]))
             yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "packets", "errors", "access_times", "access_offsets"])
 
     return media.mapInPandas(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, packets long, errors long, access_times array<long>, access_offsets array<long>")
