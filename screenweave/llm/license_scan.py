@@ -6,7 +6,10 @@ One", "Copyright The Authors", "© Some One", "All rights reserved.") are empty;
 looked up in a table of known licence texts by a hash join. So is that of every line by itself: a one-line notice
 within other text is found too.
 
-The table of known texts is part of the code, so its size is known and it is broadcast.
+The table of known texts is part of the code: short texts and notices as they are, long ones as digests of their
+canonical forms. It is a constant of the plan, broadcast as long as it has at most SENT rows. Up to INLINE known digests
+lines are looked up within their row, in one scan without a shuffle; beyond, line digests are written, joined with the
+known ones and aggregated by document. Both ways give the same rows.
 
 Defined results: a null text has null digest, no licence and no notice. An empty text, or one of copyright lines only,
 has the digest of the empty text and no licence. Repeated rows and copies each give their row; other columns are not
@@ -20,8 +23,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenweave.llm.common import table
-from screenweave.llm.license_texts import NOTICES, SPELLINGS, TEXTS
+from screenweave.llm.common import table, written
+from screenweave.llm.license_texts import DIGESTS, NOTICES, SPELLINGS, TEXTS
+
+#: Known digests that are looked up within a row, and those that are broadcast.
+INLINE, SENT = 2_000, 100_000
 
 _OTHER = r"[^\p{L}\p{N}\n]+"
 _COPYRIGHT = r"(?m)^ ?(?:portions )?(?:copyright(?: c)?|c) (?:\d{4}|yyyy|year)\b[^\n]*$|^ ?all rights reserved ?$"
@@ -48,21 +54,35 @@ def canonical(text: Column) -> Column:
 
 def known(spark: SparkSession, texts=None) -> DataFrame:
     """(digest, license): one row for each canonical form; of several licences with one form, the alphabetically first."""
-    rows = spark.createDataFrame([*TEXTS, *NOTICES] if texts is None else texts, "license string, text string")
-    return rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+    pairs = lambda rows, *names: F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows]))
+    given = [*TEXTS, *NOTICES] if texts is None else list(texts)
+    one = spark.range(1)
+    rows = one.select(pairs(given or [("", None)], "license", "text")).select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license")
+    if texts is None and DIGESTS:
+        rows = rows.unionByName(one.select(pairs(DIGESTS, "license", "digest")))
+    return rows.dropna().groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), texts=None) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), texts=None, inline: int = INLINE) -> DataFrame:
     """The columns `keep`, then text_digest, license (of the whole text) and notices (licences of single lines)."""
     table_ = known(docs.sparkSession, texts)
-    by = {r["digest"]: r["license"] for r in table_.collect()}
-    names = F.create_map(*[F.lit(x) for kv in sorted(by.items()) for x in kv])
+    n = len(TEXTS) + len(NOTICES) + len(DIGESTS) if texts is None else len(texts)
+    small = (lambda t: F.broadcast(t)) if n <= SENT else (lambda t: t)
     lines = F.transform(F.split(F.col("_lined"), "\n"), lambda x: F.sha2(F.trim(x), 256))
-    hits = F.transform(F.filter(lines, lambda d: d.isin(sorted(by))), lambda d: F.element_at(names, d))
     # the columns in between keep Spark from evaluating the regular expressions twice
     lined = docs.select(*keep, _lined(F.col(text)).alias("_lined"))
-    found = lined.select(*keep, F.sha2(F.trim(F.regexp_replace("_lined", r"[ \n]+", " ")), 256).alias("text_digest"), F.coalesce(F.array_join(F.sort_array(F.array_distinct(hits)), ","), F.lit("")).alias("notices"))
-    whole = F.broadcast(table_.select(F.col("digest").alias("text_digest"), "license"))
+    digest = F.sha2(F.trim(F.regexp_replace("_lined", r"[ \n]+", " ")), 256).alias("text_digest")
+    if n <= inline:
+        by = {r["digest"]: r["license"] for r in table_.collect()}
+        names = F.create_map(*[F.lit(x) for kv in sorted(by.items()) for x in kv])
+        hits = F.transform(F.filter(lines, lambda d: d.isin(sorted(by))), lambda d: F.element_at(names, d))
+        found = lined.select(*keep, digest, F.coalesce(F.array_join(F.sort_array(F.array_distinct(hits)), ","), F.lit("")).alias("notices"))
+    else:
+        slim = written(lined.select(*keep, digest, F.array_distinct(lines).alias("_lines"), F.monotonically_increasing_id().alias("_row")), "lines")
+        hits = slim.select("_row", F.explode("_lines").alias("digest")).join(small(table_), "digest")
+        hits = hits.groupBy("_row").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"))
+        found = slim.drop("_lines").join(hits, "_row", "left").select(*keep, "text_digest", F.coalesce("notices", F.lit("")).alias("notices"))
+    whole = small(table_.select(F.col("digest").alias("text_digest"), "license"))
     return found.join(whole, "text_digest", "left").select(*keep, "text_digest", "license", "notices")
 
 
@@ -74,6 +94,7 @@ def oracle() -> str:
     """The same in DuckDB's SQL."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({quote(a)}, {quote(t)})" for a, t in [*TEXTS, *NOTICES])
+    longer = ", ".join(f"({quote(d)}, {quote(a)})" for a, d in DIGESTS)
     plain = f"regexp_replace(regexp_replace(lower(text), {quote(_OTHER.replace(chr(92) + 'n', chr(10)))}, ' ', 'g'), {quote(_COPYRIGHT)}, '', 'g')"
     spelled = reduce(lambda c, ab: f"regexp_replace({c}, {quote(rf'\b{ab[0]}\b')}, {quote(ab[1])}, 'g')", SPELLINGS, "plain")
     return f"""
@@ -82,7 +103,7 @@ WITH given AS (SELECT 0 AS known, license, text, NULL::BIGINT AS doc_id, 0 AS ro
 plains AS (SELECT known, license, doc_id, row, {plain} AS plain FROM given),
 lined AS (SELECT known, license, doc_id, row, CASE WHEN regexp_matches(plain, {quote(_SPELLED)}) THEN {spelled} ELSE plain END AS lined FROM plains),
 digests AS (SELECT *, sha256(trim(regexp_replace(lined, '[ \\n]+', ' ', 'g'))) AS digest FROM lined),
-known AS (SELECT digest, min(license) AS license FROM digests WHERE known = 0 GROUP BY digest),
+known AS (SELECT digest, min(license) AS license FROM (SELECT digest, license FROM digests WHERE known = 0 UNION ALL SELECT * FROM (VALUES {longer}) v(digest, license)) GROUP BY digest),
 lines AS (SELECT row, sha256(trim(unnest(string_split(lined, chr(10))))) AS digest FROM lined WHERE known = 1),
 notices AS (SELECT row, string_agg(DISTINCT license, ',' ORDER BY license) AS notices FROM lines JOIN known USING (digest) GROUP BY row)
 SELECT doc_id, d.digest AS text_digest, k.license, coalesce(n.notices, '') AS notices
