@@ -8,8 +8,8 @@ language whose prototype has the greatest cosine with its vector.
 Defined results: null texts and texts without a letter are `und` with score 0. Ties go to the alphabetically first
 language. Rows with null language or text aren't learned from; without any training rows all texts are `und`.
 Repeated rows count each time. Other columns, whatever their names, pass through untouched.
-Texts are lower-cased and NFC-normalised; every run of other characters is one blank, and texts get a blank at both
-ends, so that short words show their edges.
+Texts are lower-cased and NFC-normalised; combining marks (vowel signs, points) belong to the letter before them; every
+run of other characters is one blank, and texts get a blank at both ends, so that short words show their edges.
 """
 
 from __future__ import annotations
@@ -31,9 +31,13 @@ _BLANK = 32
 _PIECE = 4096
 
 
+def _mark(c: int) -> bool:
+    return unicodedata.category(chr(c)) in ("Mn", "Mc")
+
+
 def _letters() -> np.ndarray:
-    """For every code point of the basic plane, itself if it is a letter, else the blank."""
-    return np.fromiter((c if chr(c).isalpha() else _BLANK for c in range(65536)), dtype=np.uint32, count=65536)
+    """For every code point of the basic plane, itself if it is a letter or a combining mark, else the blank."""
+    return np.fromiter((c if chr(c).isalpha() or _mark(c) else _BLANK for c in range(65536)), dtype=np.uint32, count=65536)
 
 
 class Encoder:
@@ -42,6 +46,7 @@ class Encoder:
     def __init__(self, dim: int, seed: int):
         self.dim, self.seed = dim, seed
         self.table = _letters()
+        self.marks = np.fromiter((_mark(c) for c in range(65536)), dtype=bool, count=65536)
         self.letter: dict[int, np.ndarray] = {}
         self.known: dict[int, int] = {}
         self.rows = np.zeros((0, dim), dtype=np.int8)
@@ -79,9 +84,15 @@ class Encoder:
         letter = self.table[np.where(far, _BLANK, point)]
         if far.any():
             own = np.unique(point[far])
-            real = np.array([chr(c).isalpha() for c in own])
+            real = np.array([chr(c).isalpha() or _mark(c) for c in own])
             at = np.searchsorted(own, point[far])
             letter[far] = np.where(real[at], point[far], _BLANK)
+        mark = self.marks[np.where(far, _BLANK, point)]
+        if far.any():
+            mark[far] = np.array([_mark(c) for c in own])[at]
+        if mark.any():  # without a letter before them they are no part of a word
+            base = np.maximum.accumulate(np.where(mark, 0, np.arange(len(mark))))
+            letter[mark & (letter[base] == _BLANK)] = _BLANK
         keep = np.ones(len(letter), dtype=bool)
         keep[1:] = (letter[1:] != _BLANK) | (letter[:-1] != _BLANK) | (doc[1:] != doc[:-1])
         letter, doc = letter[keep].astype(np.int64), doc[keep]
