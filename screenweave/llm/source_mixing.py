@@ -12,6 +12,8 @@ documents, both by hashes of seed and epoch. The last epoch takes blocks while t
 quota, and of the next block documents while theirs does, so quotas are never exceeded and fall short by less than one
 document. No step holds a source in one task: totals are by block, and windows span the blocks' table or one block.
 
+The draws depend on the rows alone, not on their order or files: the same table in another layout gives the same mixture.
+
 Defined results: null texts have no tokens. A source without tokens has weight 0 and no rows. A null source is a source
 of its own. Documents without tokens go with their block. Repeated rows are documents of their own. No rows: no rows.
 """
@@ -76,9 +78,11 @@ def _order(*parts) -> Column:
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", entropy: float | None = ENTROPY, repeats: float | None = REPEATS, budget: int | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(doc_id, source, n_tokens, weight, epoch, slot, place): each draw of a document; slot is the block's place in its epoch, place the document's in the block."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"), tokens(F.col(text).cast("string")).alias("n_tokens"))
-    rows = rows.withColumns({"name": F.coalesce(F.concat(F.lit("="), "source"), F.lit("")), "row": F.monotonically_increasing_id()})
-    rows = written(rows, "tokens")
+    body = F.col(text).cast("string")
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"), tokens(body).alias("n_tokens"), F.xxhash64(body).alias("hash"))
+    # equal rows are told apart by a number, so that the draws don't depend on how the table lies in files
+    rows = rows.groupBy("doc_id", "source", "n_tokens", "hash").agg(F.count("*").cast("int").alias("of")).withColumn("row", F.explode(F.sequence(F.lit(1), F.col("of")))).drop("of")
+    rows = written(rows.withColumn("name", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))), "tokens")
     sources = written(rows.groupBy("name").agg(F.sum("n_tokens").alias("t")).where("t > 0"), "sources")
     a = exponent(sources, entropy, repeats, budget)
     total = sources.agg(F.sum("t").alias("t"), F.max("t").alias("most")).first()
@@ -91,7 +95,7 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", key: str
     # a rounding of the quota keeps the largest source's one whole epoch whole
     plan = plan.withColumn("quota", F.round(F.col("weight") * F.lit(given)).cast("long")).withColumns({"whole": F.floor(F.col("quota") / F.col("t")).cast("int"), "blocks": F.ceil(F.col("t") / F.lit(per_block)).cast("int")})
     plan = plan.withColumn("rest", F.col("quota") - F.col("whole") * F.col("t"))
-    placed = rows.join(plan.select("name", "blocks"), "name").withColumn("block", F.pmod(_order("doc_id", "row"), F.col("blocks")).cast("int")).drop("blocks")
+    placed = rows.join(plan.select("name", "blocks"), "name").withColumn("block", F.pmod(_order("doc_id", "hash", "row"), F.col("blocks")).cast("int")).drop("blocks")
     totals = placed.groupBy("name", "block").agg(F.sum("n_tokens").alias("tokens"))
     epochs = totals.join(plan.drop("t", "quota", "blocks"), "name").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole"))))
     by = W.partitionBy("name", "epoch").orderBy(_order("epoch", "name", "block"), "block")
@@ -100,7 +104,7 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", key: str
     left = F.when(F.col("epoch") < F.col("whole"), F.col("tokens")).otherwise(F.least(F.col("tokens"), F.col("rest") - F.col("before")))
     epochs = epochs.withColumn("left", left).where((F.col("left") > 0) | ((F.col("epoch") < F.col("whole")) & (F.col("left") == 0)))
     draws = placed.join(epochs.select("name", "block", "epoch", "slot", "left", "weight"), ["name", "block"])
-    within = W.partitionBy("name", "block", "epoch").orderBy(_order("epoch", "doc_id", "row"), "row")
+    within = W.partitionBy("name", "block", "epoch").orderBy(_order("epoch", "doc_id", "hash", "row"), "doc_id", "hash", "row")
     draws = draws.withColumns({"place": F.row_number().over(within) - 1, "used": F.sum("n_tokens").over(within.rowsBetween(W.unboundedPreceding, 0))}).where("used <= left")
     return draws.select("doc_id", "source", "n_tokens", "weight", "epoch", "slot", "place")
 
