@@ -17,10 +17,12 @@ are not looked at.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,10 +88,15 @@ def attribute(size: np.ndarray, begin: np.ndarray, end: np.ndarray, rule: str) -
 
 
 def counted(docs: DataFrame, text: str = "text", key: str = "doc_id", sections: Sections = lines, rule: str = "majority", vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, section, char_start, char_end, n_tokens, n_crossing), a row for each section and, if needed, one for tokens outside of all."""
+    """(doc_id, section, char_start, char_end, n_tokens, n_crossing), a row for each section and, if needed, one for tokens outside of all.
+
+    The vocabulary is a file of the driver; Spark sends it to the executors.
+    """
+    docs.sparkSession.sparkContext.addFile(vocabulary)
+    name = os.path.basename(vocabulary)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoding, length = encoder(vocabulary)
+        encoding, length = encoder(SparkFiles.get(name))
         for b in batches:
             keys, texts = b["key"].to_numpy(), b["text"].tolist()
             for part in chunks(texts):
