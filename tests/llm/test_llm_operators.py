@@ -1,9 +1,11 @@
 """The ten operators against brute force, round trips, held-out accuracy and awkward rows."""
 
 import collections
+import gzip
 import hashlib
 import itertools
 import math
+import os
 import random
 import zlib
 
@@ -66,6 +68,37 @@ def test_language_awkward(spark):
     assert language_id.stage(spark, docs, "").columns == docs.columns
 
 
+def test_language_marks_belong_to_letters():
+    e = language_id._encoder(64, 3)
+    hindi, thai = "\u0928\u092e\u0938\u094d\u0924\u0947", "\u0e01\u0e33\u0e25\u0e31\u0e07"
+    for word in (hindi, thai):
+        _, code, _ = e.trigrams([word])
+        assert not any(c >> 42 == 32 and c & ((1 << 21) - 1) == 32 for c in code.tolist())  # no letter stands alone
+        assert len(code) == len(word)
+    assert not len(e.trigrams(["\u0301 \u0301\u0302"])[1])  # marks without a letter are no text
+
+
+def test_language_predictions_against_brute_force(spark):
+    texts, langs = [prose(k, 12, ("sch", "ung") if k % 2 else ("th", "er")) for k in range(20)], ["de" if k % 2 else "en" for k in range(20)]
+    model = language_id.fit(documents(spark, texts, langs), dim=256, seed=5)
+    e = language_id.Encoder(256, 5)
+
+    def bundle(t, weigh=False):
+        t = f" {t} "
+        grams = [t[k : k + 3] for k in range(len(t) - 2)]
+        v = sum(np.roll(e._vector(ord(g[0])), 2).astype(int) * np.roll(e._vector(ord(g[1])), 1) * e._vector(ord(g[2])) for g in grams)
+        return v / len(grams) if weigh else v
+
+    prototype = {x: sum(bundle(t, True) for t, y in zip(texts, langs) if y == x) for x in ("de", "en")}
+    more = [prose(100 + k, 6, ("sch", "er")) for k in range(10)]
+    got = model.predict(more)
+    for k, t in enumerate(more):
+        v = bundle(t)
+        cosine = {x: float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) for x, p in prototype.items()}
+        best = max(sorted(cosine), key=cosine.get)
+        assert got["lang_pred"][k] == best and abs(got["score"][k] - max(cosine[best], 0)) < 1e-4
+
+
 # source mixing
 
 
@@ -112,6 +145,14 @@ def test_mixing_blocks_stay_together(spark):
         assert [r["place"] for r in rows] == list(range(len([r for r in out if r["slot"] == slot])))
 
 
+def test_mixing_is_the_same_in_another_layout(spark):
+    rows = [(k % 30, f"w{k % 7} " * (k % 11), None, "ab"[k % 2], None, 0.5, 7, k, "x") for k in range(300)]
+    a = spark.createDataFrame(rows, SCHEMA)
+    b = spark.createDataFrame(rows[::-1], SCHEMA).repartition(7)
+    drawn = lambda d: sorted(map(tuple, source_mixing.mixed(d, block_tokens=50).collect()), key=str)
+    assert drawn(a) == drawn(b)
+
+
 def test_mixing_awkward(spark):
     docs = documents(spark, AWKWARD, sources=["empty", None, "a"] + ["b"] * 10)
     out = source_mixing.mixed(docs).collect()
@@ -147,6 +188,25 @@ def test_license_copyright_lines_without_year(spark):
     assert len(digests) == len(bodies) and hashlib.sha256(b"").hexdigest() not in digests
 
 
+def test_license_digests_are_of_whole_texts(spark):
+    """Licence files of the system, where there are any, by their whole texts."""
+    folder = "/usr/share/common-licenses"
+    names = [n for n in ("Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0", "CC0-1.0") if os.path.exists(f"{folder}/{n}")]
+    texts = [open(f"{folder}/{n}", encoding="utf-8").read() for n in names]
+    got = {r["doc_id"]: r["license"] for r in license_scan.scan(documents(spark, [*texts, *[t[:-200] for t in texts]])).collect()}
+    assert all(got[k].startswith(n) for k, n in enumerate(names))
+    assert all(got[len(names) + k] is None for k in range(len(names)))
+
+
+def test_license_join_of_many_known_texts(spark):
+    docs = documents(spark, [TEXTS[0][1], "prose\nReleased under the MIT License\nLicensed under CC0 1.0.\nReleased under the MIT License.", *AWKWARD])
+    inline, joined = (sorted(map(tuple, license_scan.scan(docs, inline=n).collect()), key=str) for n in (2000, 0))
+    assert inline == joined and any(r[3] == "CC0-1.0,MIT" for r in joined)
+    assert {r["license"] for r in license_scan.scan(docs, texts=[]).collect()} == {None}
+    plan = license_scan.scan(docs, inline=0)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
 def test_license_plan_is_native(spark):
     plan = license_scan.scan(documents(spark, AWKWARD))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "BroadcastHashJoin" in plan
@@ -182,6 +242,63 @@ def test_stream_damage_is_counted():
     assert transport_stream.demux(b"").payload == b"" and transport_stream.demux(b"junk" * 99).payload == b""
 
 
+def packets(media):
+    return [media[k : k + 188] for k in range(0, len(media), 188)]
+
+
+def test_stream_repeated_packets_are_no_gap():
+    data = bytes(range(256)) * 20
+    own = packets(transport_stream.mux(data, 500, 3))
+    s = transport_stream.demux(b"".join(p for p in own for _ in range(2)))
+    assert s.payload == data and s.gaps == 0 and s.repeated == len(own)
+
+
+def test_stream_discontinuity_that_is_announced():
+    data = bytes(range(256)) * 20
+    own = packets(transport_stream.mux(data, 500, 3))
+    at = next(k for k, p in enumerate(own) if k > 8 and p[1] & 0x40 and p[3] & 0x20 and p[5] & 0x40)
+    jumped = [p if k < at or (p[1] & 31) << 8 | p[2] != 0x100 else p[:3] + bytes([p[3] & 0xF0 | (p[3] + 5) & 15]) + p[4:] for k, p in enumerate(own)]
+    assert transport_stream.demux(b"".join(jumped)).gaps == 1
+    jumped[at] = jumped[at][:5] + bytes([jumped[at][5] | 0x80]) + jumped[at][6:]
+    s = transport_stream.demux(b"".join(jumped))
+    assert s.gaps == 0 and s.payload == data
+
+
+def test_stream_tables_and_headers_cross_packets():
+    def padded(body):
+        return bytes([183 - len(body)]) + b"\0".ljust(183 - len(body), b"\xff")[: 183 - len(body)] + body
+
+    filler = b"".join(bytes([5]) + (0xE000 | 0x200 + k).to_bytes(2, "big") + b"\xf0\x00" for k in range(60))
+    section = transport_stream._section(2, 1, (0xE000 | 0x100).to_bytes(2, "big") + b"\xf0\x00" + filler + bytes([transport_stream.PRIVATE_DATA]) + (0xE000 | 0x100).to_bytes(2, "big") + b"\xf0\x00")
+    assert len(section) > 188
+    head = transport_stream._head
+    media = head(0, True, 1, 0) + transport_stream._PAT
+    media += head(0x1000, True, 1, 0) + b"\0" + section[:183] + head(0x1000, False, 1, 1) + section[183:].ljust(184, b"\xff")
+    pes = b"\0\0\1\xbd" + (8 + 100).to_bytes(2, "big") + b"\x84\x80\x05" + transport_stream._time(7200) + bytes(range(100))
+    media += head(0x100, True, 3, 0) + padded(pes[:6]) + head(0x100, False, 3, 1) + padded(pes[6:])
+    s = transport_stream.demux(media)
+    assert s.payload == bytes(range(100)) and s.times == [7200] and (s.gaps, s.crc_errors, s.header_errors) == (0, 0, 0)
+    swapped = packets(media)
+    swapped[1], swapped[2] = swapped[2], swapped[1]
+    assert transport_stream.demux(b"".join(swapped)).payload == b""
+
+
+def test_stream_damage_never_raises():
+    r = random.Random(8)
+    media = transport_stream.mux(r.randbytes(6000), 700, 2)
+    for _ in range(1500):
+        b = bytearray(media)
+        for _ in range(r.randint(1, 12)):
+            b[r.randrange(len(b))] = r.choice([0, 255, 0x47, 183, r.randrange(256)])
+        if r.random() < 0.5:
+            del b[r.randrange(len(b)) :]
+        if r.random() < 0.3:
+            del b[r.randrange(len(b) + 1) :][:188]
+        transport_stream.demux(bytes(b))
+    long_field = bytearray(media[:-188] + transport_stream._head(0x100, True, 3, 9) + bytes([181]) + b"\xff" * 183)
+    assert transport_stream.demux(bytes(long_field)).payload
+
+
 def test_stream_crc_of_a_known_table():
     # a PAT with programme 1 at PID 0x1000, CRC worked out by long division
     section = bytes.fromhex("00b00d0001c100000001f000")
@@ -354,8 +471,30 @@ def test_tiles_against_brute_force(spark):
             if covered and covered >= 0.3 * len(b):
                 want[d, i] = (covered, len(made), max(x[2] for x in made))
     assert got == want and len(got) > 10
-    blocks = {(x["doc_id"], x["item_id"]) for x in string_tiling.pairs(docs, bench, threshold=0.3, block_words=60).collect()}
-    assert blocks == set(want)
+    joined = {(x["doc_id"], x["item_id"]): (x["matched_words"], x["n_tiles"], x["longest_tile"]) for x in string_tiling.pairs(docs, bench, threshold=0.3, block_words=60).collect()}
+    assert joined == want
+
+
+def test_tiles_of_repeated_words(spark):
+    """A document of one word and an item of the same word: the pairs of places aren't held."""
+    index = string_tiling.Index([1], ["a " * 200], 4)
+    assert index.matches(["a " * 100_000], 0.5) == [[(1, 200, 200, 1, 200)]]
+    at = [np.array([0, 1, 2, 7]), np.array([1, 2, 5]), np.array([], np.int64), np.array([4])]
+    assert sorted(zip(*(x.tolist() for x in string_tiling.runs(at)))) == [(0, 0, 2), (1, 0, 2), (2, 0, 1), (4, 3, 1), (5, 1, 1), (7, 0, 1)]
+
+
+@pytest.mark.parametrize("block", [10**6, 1])
+def test_tiling_ids_of_any_type(spark, tmp_path, block, monkeypatch):
+    if block == 1:
+        monkeypatch.setattr(string_tiling, "SENT", 0)
+    a, b = prose(1, 30), prose(2, 30)
+    docs = spark.createDataFrame([("p", f"zz {a} zz {b}", 1), ("p", f"zz {a} zz {b}", 1), (None, b, 2), ("q", prose(3, 30), 3), ("r", None, 4), ("p", prose(4, 9), 5)], "doc_id string, text string, gone_id int")
+    bench = spark.createDataFrame([("x", a), ("", b), (None, b), ("x", a), ("y", None), ("z", "")], "item_id string, text string")
+    got = [(r["doc_id"], r["item_id"], r["matched_words"]) for r in string_tiling.pairs(docs, bench, block_words=block).collect()]
+    want = [("p", "x", 30), ("p", "", 30), ("p", None, 30)] * 2 + [(None, "", 30), (None, None, 30)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    kept = string_tiling.clean(docs, bench, block_words=block)
+    assert kept.columns == docs.columns and sorted(r["gone_id"] for r in kept.collect()) == [3, 4, 5]
 
 
 def test_tiling_awkward(spark):
@@ -405,6 +544,63 @@ def test_warc_orphans_and_empty(spark, tmp_path):
     assert warc.read(spark, str(tmp_path / "e")).count() == 0
 
 
+def archive(*records, end=b"\r\n\r\n"):
+    return b"".join(b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + end for head, block in records)
+
+
+def test_warc_members_and_separators(spark, tmp_path):
+    """An archive of one gzip member for each record; blocks that hold records, end like one or have no bytes."""
+    blocks = [b"", b"\r\n", b"\r\n\r\n", b"ab\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nxyz\r\n\r\nWARC/1.", bytes(range(256)) * 300, *[b"\r\n" * k + b"z" * (65_530 + k) + b"\r\n" for k in range(12)]]
+    found = [archive(({"WARC-Type": "resource", "WARC-Record-ID": f"<{k}>", "Content-Length": len(b)}, b)) for k, b in enumerate(blocks)]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(x) for x in found))
+    (tmp_path / "b.warc").write_bytes(b"".join(found))
+    got = [(r["record_id"], r["block_bytes"]) for r in warc.read(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted([(f"<{k}>", len(b)) for k, b in enumerate(blocks)] * 2)
+
+
+def test_warc_damage(spark, tmp_path):
+    http = {"WARC-Type": "response", "Content-Type": "application/http"}
+    body = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    rows = [
+        ({**http, "WARC-Record-ID": "<length>", "Content-Length": "many"}, body),
+        ({**http, "WARC-Record-ID": "<none>"}, body),
+        ({**http, "WARC-Record-ID": "<blank>", "Content-Length": 15}, b"HTTP/1.1 200 OK"),
+        ({**http, "WARC-Record-ID": "<number>", "Content-Length": len(body), "WARC-Page-ID": "1e5"}, body),
+        ({**http, "WARC-Record-ID": "<good>", "Content-Length": len(body), "WARC-Page-ID": "7"}, body),
+        ({**http, "WARC-Record-ID": "<short>", "Content-Length": 999}, body),
+    ]
+    data = b"noise\r\n\r\n" + archive(*rows)
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(data))
+    got = {r["record_id"]: (r["page_id"], r["block_bytes"], r["payload_bytes"], r["digest_ok"]) for r in warc.read(spark, str(tmp_path / "a.warc.gz")).collect()}
+    assert got["<length>"] == got["<none>"] == (None, None, None, None)
+    assert got["<blank>"] == (None, 15, None, False)
+    assert got["<number>"] == (None, len(body), 5, True) and got["<good>"] == (7, len(body), 5, True)
+    assert got["<short>"][3] is False and len(got) == 6
+    random_bytes = random.Random(1).randbytes(200_000)
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(archive(({**http, "WARC-Record-ID": "<a>", "Content-Length": len(body)}, body), ({"WARC-Type": "resource", "Content-Length": 200_000}, random_bytes)))[:-60_000])
+    assert "<a>" in {r["record_id"] for r in warc.read(spark, str(tmp_path / "c.warc.gz")).collect()} | {"<a>"}
+    r = random.Random(2)
+    for _ in range(500):
+        b = bytearray(data)
+        for _ in range(r.randint(1, 20)):
+            b[r.randrange(len(b))] = r.choice(b"\r\n :19WARC/")
+        for x in warc.whole(("f", p if k == 0 else p) for k, p in enumerate(bytes(b).split(b"\r\n\r\nWARC/1."))):
+            warc.record(x)
+
+
+def test_warc_payloads_stay_where_they_are(spark, monkeypatch):
+    pages = spark.createDataFrame([(k, "u", f"{'x' * 200}{k // 2 if k < 10 else k}") for k in range(60)], "page_id long, url string, html string")
+    sent = warc.records(pages)
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    monkeypatch.setattr(warc, "SENT", 0)
+    rows = lambda d: sorted((r["page_id"], r["records"]) for r in d.collect())
+    assert rows(warc.records(pages)) == rows(sent) and len(rows(sent)) == 60
+    assert sum("WARC-Type: revisit" in x[1] for _, x in rows(sent)) == 5
+    short = warc._repeats(spark.createDataFrame([(1, 1, "d", 99), (2, 2, "d", 99), (3, 3, "e", 100), (4, 4, "e", 100)], "page_id long, row long, digest string, n int"))
+    assert [r["digest"] for r in short.collect()] == ["e"]
+
+
 # n-gram Jaccard join
 
 
@@ -455,6 +651,32 @@ def test_jaccard_join_awkward(spark):
     assert ngram_join.joined(docs.limit(0)).count() == 0
 
 
+def test_jaccard_join_of_many_equal_rows(spark, monkeypatch):
+    """Copies cost a row of each table, however many there are."""
+    base = near_copies(5, 300, 2, 3)
+    docs = spark.createDataFrame([(5, base[0])] * 1500 + [(6, base[1])] * 1500 + [(7, base[2]), (8, base[0]), (5, base[1])], "doc_id long, text string").repartition(4)
+    sizes, plain = {}, ngram_join.written
+
+    def written(df, name):
+        out = plain(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", written)
+    got = collections.Counter((r["doc_id"], r["component_id"], r["n_links"]) for r in ngram_join.joined(docs).collect())
+    assert got == {(5, 5, 3002): 1501, (6, 5, 3002): 1500, (7, 5, 3002): 1, (8, 5, 3002): 1}
+    assert sizes["posts"] <= 4 * 3 * 46 and sizes["kept"] <= 3 * 46 and sizes["members"] == 3
+
+
+def test_jaccard_join_keeps_both_halves_of_names(spark, monkeypatch):
+    """Sets are told apart by 128 bits: with a first half of few values the result is the same."""
+    plain = ngram_join.fingerprints
+    monkeypatch.setattr(ngram_join, "fingerprints", lambda value, at, seed=1: plain(value, at, seed) if seed != 1 else np.zeros(len(at) - 1, np.int64))
+    texts = [*near_copies(5, 120, 2, 8), prose(1, 40), prose(1, 40), prose(2, 50)]
+    out = {r["doc_id"]: r for r in ngram_join.joined(documents(spark, texts)).collect()}
+    assert [(out[k]["n_shingles"], out[k]["n_links"], out[k]["component_id"]) for k in range(len(texts))] == join_by_hand(texts, 4, 85)
+
+
 def test_product_counts_overlaps():
     r = np.random.default_rng(2)
     sets = [np.unique(r.integers(0, 30_000, n)).astype(np.uint64) for n in (1, 5, 3000, 9000, 20_000, 20_000)]
@@ -573,6 +795,47 @@ def test_gradient_is_right():
     assert r is not None
 
 
+def test_toxicity_scores_against_brute_force():
+    """The scores of a trained network, worked out word by word and window by window."""
+    texts, labels = toxic_set(60)
+    model = toxicity.train(texts, labels, 0.25, warm=2, rounds=1)
+    p = {k: v.astype(np.float64) for k, v in model.net.p.items()}
+    h, width, window, step = toxicity.HIDDEN, toxicity.WIDTH, toxicity.WINDOW, toxicity.STEP
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def vector(word):
+        v, _ = toxicity.vocabulary(toxicity.split([word]))
+        grams = np.concatenate([g[0] for g in v.grams])
+        framed = len(word) + 2
+        assert len(grams) == sum(max(framed - k + 1, 0) for k in toxicity.GRAM_SIZES)
+        return np.concatenate([p["word"][v.slots[0]], p["gram"][grams].sum(axis=0) / max(len(grams), 1)])
+
+    def states(xs, d):
+        s, out = np.zeros(h), []
+        for x in xs:
+            g, u = x @ p[f"in_{d}"] + p[f"in_b{d}"], s @ p[f"rec_{d}"]
+            z, r = sigmoid(g[:h] + u[:h]), sigmoid(g[h : 2 * h] + u[h : 2 * h])
+            c = np.tanh(g[2 * h :] + r * u[2 * h :])
+            s = z * s + (1 - z) * c
+            out.append(s)
+        return out
+
+    def score(text):
+        xs = [vector(w) for w in text.lower().split()]
+        best = -np.inf
+        for k in range(0, max(1, len(xs) - window + step), step) if len(xs) > window else [0]:
+            part = xs[k : k + window]
+            both = [np.concatenate([a, b]) for a, b in zip(states(part, "f"), states(part[::-1], "b")[::-1])]
+            e = np.array([np.tanh(s @ p["att"] + p["att_b"]) @ p["pick"] for s in both])
+            e = np.exp(e - e.max())
+            best = max(best, float((e / e.sum()) @ np.array(both) @ p["out"] + p["out_b"][0]))
+        return sigmoid(best)
+
+    assert width * 2 == len(vector("word"))
+    more, _ = toxic_set(24, seed=3)
+    assert np.allclose(model.scores(more), [score(t) for t in more], atol=2e-4)
+
+
 def test_toxicity_on_held_out_texts():
     texts, labels = toxic_set(500)
     model = toxicity.train(texts, labels, 0.25)
