@@ -51,9 +51,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, as in tests, one under the warehouse."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, on one machine as in tests, one under the warehouse."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return found.rstrip("/")
 

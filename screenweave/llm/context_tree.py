@@ -10,7 +10,8 @@ Layout. Documents are dealt into blocks by a hash of the id. A block sends to ea
 nearest bytes) its distinct (DEPTH + 1)-grams with their training counts, packed in one binary; words go the same way
 by their hash. A shard adds the counts of all blocks, builds its subtrees and answers each block with one number for
 each gram that it asked for. So a block gets just the part of the model that its texts need; the model as a whole is
-never collected or broadcast, however much it grows with the corpus. Only the nodes of depth 0 and 1 (at most 257 x 255
+never collected or broadcast, however much it grows with the corpus. A shard's task reads its part of the model and then
+the requests one by one as they come from the shuffle: neither is held twice, and nothing is sent more than once. Only the nodes of depth 0 and 1 (at most 257 x 255
 of them) depend on all shards; those are summed up and sent to every task.
 
 Grams are exact (the bytes themselves, DEPTH + 1 of them in 64 bits). Words are told apart by 64-bit hashes.
@@ -36,8 +37,8 @@ DEPTH = 5
 BLOCK_BYTES = 8_000_000
 MIN_BLOCKS = 48
 SHARDS = 48
-#: Requests of so many blocks meet in one task of a shard; beyond, a shard's answers are dealt over several tasks.
-BLOCKS_PER_TASK = 256
+#: Beyond so much text the size of a block and the number of shards grow, each with the square root of the text, so that their product, the number of requests, grows in proportion to it.
+EVEN_BYTES = 32_000_000_000
 END = 10
 _U = np.uint64
 LN2, LN10 = float(np.log(2)), float(np.log(10))
@@ -275,6 +276,11 @@ def _word_keys(texts):
 _KINDS = {"g": (_gram_keys, gram_shard), "w": (_word_keys, word_shard)}
 
 
+def _sorted(df: DataFrame, *order: str) -> DataFrame:
+    """The rows of a (kind, shard) in one task, one group after the other."""
+    return df.repartition("kind", "shard").sortWithinPartitions("kind", "shard", *order)
+
+
 def scored(docs: DataFrame, learn, text: str = "text", key: str = "doc_id", shards: int = SHARDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Scores of all rows of `docs`, the model learned from those where `learn` holds.
 
@@ -284,8 +290,8 @@ def scored(docs: DataFrame, learn, text: str = "text", key: str = "doc_id", shar
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = max(MIN_BLOCKS, -(-total // block_bytes))
-    salts = -(-blocks // BLOCKS_PER_TASK)
+    growth = max(1.0, total / EVEN_BYTES) ** 0.5
+    blocks, shards = max(MIN_BLOCKS, int(-(-total // (block_bytes * growth)))), int(shards * growth)
     # a text's own hash spreads a hot id; the size of a block is bounded by that of the texts in it
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
@@ -305,23 +311,29 @@ def scored(docs: DataFrame, learn, text: str = "text", key: str = "doc_id", shar
 
     asked = written(rows.groupBy("block").applyInPandas(ask, "kind string, shard int, block int, data binary"), "asked")
 
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        kept: list[tuple[np.ndarray, np.ndarray]] = []
-        for d in group["data"]:
-            k, c = unpack(d, np.uint64, group["width"].iloc[0])
-            some = c > 0
-            kept.append((k[some], c[some].astype(np.int64)))
-            if sum(len(x[0]) for x in kept) > 2_000_000:
-                kept = [summed(np.concatenate([x[0] for x in kept]), np.concatenate([x[1] for x in kept]))]
-        if kept:
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, kept = None, []
+
+        def total_of() -> pd.DataFrame:
             keys, counts = summed(np.concatenate([x[0] for x in kept]), np.concatenate([x[1] for x in kept]))
-        return pd.DataFrame({"kind": group["kind"].iloc[:1].to_numpy(), "shard": group["shard"].iloc[:1].to_numpy(), "data": [pack(keys, counts)], "width": ["<i8"]})
+            return pd.DataFrame({"kind": [now[0]], "shard": [now[1]], "data": [pack(keys, counts)]})
+
+        for b in batches:
+            for name, s, d in zip(b["kind"], b["shard"], b["data"]):
+                if (name, s) != now:
+                    if now:
+                        yield total_of()
+                    now, kept = (name, s), [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+                k, c = unpack(d, np.uint64, np.uint32)
+                some = c > 0
+                kept.append((k[some], c[some].astype(np.int64)))
+                if sum(len(x[0]) for x in kept[1:]) > max(2_000_000, len(kept[0][0])):
+                    kept = [summed(np.concatenate([x[0] for x in kept]), np.concatenate([x[1] for x in kept]))]
+        if now:
+            yield total_of()
+        tidy()
 
-    counts = asked.withColumn("width", F.lit("<u4"))
-    if salts > 1:  # first by parts of the blocks, then all
-        counts = counts.withColumn("salt", F.col("block") % salts).groupBy("kind", "shard", "salt").applyInPandas(add, "kind string, shard int, data binary, width string")
-    model = written(counts.groupBy("kind", "shard").applyInPandas(add, "kind string, shard int, data binary, width string").drop("width"), "model")
+    model = written(_sorted(asked).mapInPandas(add, "kind string, shard int, data binary"), "model")
 
     def roots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -343,20 +355,23 @@ def scored(docs: DataFrame, learn, text: str = "text", key: str = "doc_id", shar
     sums = rows.where("learn").agg(F.count("*").alias("n")).first()["n"]
     train_tokens, distinct = n_train + sums, n_distinct + (sums > 0)
 
-    def answer(key: tuple, requests: pd.DataFrame, models: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(requests) and len(models):
-            keys, n = unpack(models["data"].iloc[0], np.uint64, np.int64)
-            if requests["kind"].iloc[0] == "g":
-                tree = Tree(keys, n, 2) if len(keys) else None
-                if tree:
-                    tree.mixed(top)
-                value = tree.chance(keys, top) if tree else np.zeros(0)
-            for block, d in zip(requests["block"], requests["data"]):
+    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys = n = value = tree = None
+        for b in batches:
+            out = []
+            for name, block, d in zip(b["kind"], b["block"], b["data"]):
+                if block < 0:  # the shard's part of the model comes before its requests
+                    keys, n = unpack(d, np.uint64, np.int64)
+                    if name == "g":
+                        tree = Tree(keys, n, 2) if len(keys) else None
+                        if tree:
+                            tree.mixed(top)
+                        value = tree.chance(keys, top) if tree else np.zeros(0)
+                    continue
                 want, _ = unpack(d, np.uint64, np.uint32)
                 at = np.minimum(np.searchsorted(keys, want), max(len(keys) - 1, 0))
                 hit = keys[at] == want if len(keys) else np.zeros(len(want), bool)
-                if requests["kind"].iloc[0] == "w":
+                if name == "w":
                     got = np.zeros(len(want))
                     got[hit] = n[at[hit]]
                 else:
@@ -364,13 +379,12 @@ def scored(docs: DataFrame, learn, text: str = "text", key: str = "doc_id", shar
                     got[hit] = value[at[hit]]
                     if not hit.all():
                         got[~hit] = (tree or _empty()).chance(want[~hit], top)
-                out.append((requests["kind"].iloc[0], block, pack(want, got)))
+                out.append((name, block, pack(want, got)))
+            yield pd.DataFrame(out, columns=["kind", "block", "data"])
         tidy()
-        return pd.DataFrame(out, columns=["kind", "block", "data"])
 
-    salted = asked.withColumn("salt", F.col("block") % salts)
-    everywhere = model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    answers = salted.groupBy("kind", "shard", "salt").cogroup(everywhere.groupBy("kind", "shard", "salt")).applyInPandas(answer, "kind string, block int, data binary")
+    known = model.select("kind", "shard", F.lit(-1).alias("block"), "data")
+    answers = _sorted(asked.unionByName(known), "block").mapInPandas(answer, "kind string, block int, data binary")
 
     def score(key: tuple, block: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
         texts, tables = block["text"].tolist(), {}
