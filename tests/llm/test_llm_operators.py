@@ -388,7 +388,7 @@ def ctw_by_hand(train, texts, depth):
 @pytest.mark.parametrize("salted", [False, True])
 def test_context_trees(spark, monkeypatch, salted):
     if salted:
-        monkeypatch.setattr(context_tree, "BLOCKS_PER_TASK", 3)
+        monkeypatch.setattr(context_tree, "EVEN_BYTES", 2_000)  # blocks and shards grow
     monkeypatch.setattr(context_tree, "MIN_BLOCKS", 7)
     texts = [prose(i, 12) for i in range(12)] + [None, "", "Ünï Zqx", "a", "THE the"] + [prose(3, 12)]
     docs = documents(spark, texts)
