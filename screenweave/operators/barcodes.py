@@ -47,7 +47,7 @@ def mapping(rounds: list[int], spec: list | dict | None, code_length: int) -> Ma
     read places move up while code places don't. A dropped round is skipped on both sides.
     """
     f = failures(spec)
-    if f.offset:
+    if f.offset and not f.shift:  # a well with both goes by its shifts
         pairs = [(r, r - f.offset) for r in rounds if 0 <= r - f.offset < code_length and r not in f.dropout]
     else:
         shift, pairs, place = set(f.shift), [], 0

@@ -89,11 +89,15 @@ def stratified_sample(df: DataFrame, stratum: str, order: Column, n: int) -> Dat
 
     The rows are ranked by (over quota, hash), and the first n taken.
     """
-    w = W.partitionBy(stratum)
-    ranked = df.withColumn("_h", order).withColumns({"_k": F.row_number().over(w.orderBy("_h")), "_in": F.count("*").over(w)})
+    # only a stratum's first n rows can be taken; each part of it sends no more than n, so that no task sorts a stratum
+    parts = 64
+    h = df.withColumn("_h", order).withColumn("_p", F.pmod(F.xxhash64("_h"), F.lit(parts)))
+    first = top_per_key(h, [stratum, "_p"], ["_h"], n).drop("_p").withColumn("_k", F.row_number().over(W.partitionBy(stratum).orderBy("_h"))).where(F.col("_k") <= n)
+    sizes = df.groupBy(F.col(stratum).alias("_s")).agg(F.count("*").alias("_in"))
     total = df.agg(F.count("*").alias("_all"))
+    ranked = first.join(sizes, F.col(stratum).eqNullSafe(F.col("_s"))).crossJoin(F.broadcast(total))
     quota = F.floor(F.lit(n) * F.col("_in") / F.col("_all"))
-    return ranked.crossJoin(F.broadcast(total)).withColumn("_rest", (F.col("_k") > quota).cast("int")).orderBy("_rest", "_h").limit(n).drop("_h", "_k", "_in", "_all", "_rest")
+    return ranked.withColumn("_rest", (F.col("_k") > quota).cast("int")).orderBy("_rest", "_h").limit(n).drop("_h", "_k", "_in", "_all", "_rest", "_s")
 
 
 def capped_sample(df: DataFrame, keys: Keys, order: Column, n: int) -> DataFrame:
@@ -113,9 +117,9 @@ def cumulative_share(df: DataFrame, value: str, order: list) -> DataFrame:
 
 
 def top_share(df: DataFrame, value: str, n: int) -> DataFrame:
-    """Share in percent of the n largest values."""
-    ranked = df.withColumn("_n", F.row_number().over(W.orderBy(F.desc(value))))
-    return ranked.agg((100 * F.sum(F.when(F.col("_n") <= n, F.col(value)).otherwise(0)) / F.sum(value)).alias("share"))
+    """Share in percent of the n largest values (null if the total is 0): a top-n, which each task cuts to n rows, over the total."""
+    top = df.select(value).orderBy(F.desc(value)).limit(n).agg(F.sum(value).alias("_top"))
+    return top.crossJoin(F.broadcast(df.agg(F.sum(value).alias("_all")))).select((100 * F.col("_top") / F.nullif(F.col("_all"), F.lit(0))).alias("share"))
 
 
 def lag_difference(df: DataFrame, keys: Keys, order: str, values: Keys, origin: bool = True) -> DataFrame:

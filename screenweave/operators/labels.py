@@ -10,9 +10,13 @@ from pyspark.sql.window import Window as W
 
 
 def _saved(df: DataFrame) -> DataFrame:
-    """The frame as a table in the shared checkpoint folder (under the warehouse where none is set)."""
+    """The frame as a table in the shared checkpoint folder (where none is set, on one machine, under the warehouse)."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     path = f"{root.rstrip('/')}/labels-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

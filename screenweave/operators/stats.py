@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -9,18 +11,83 @@ from pyspark.sql.window import Window as W
 Keys = list[str]
 
 
+def corr(x: Column | str, y: Column | str) -> Column:
+    """Pearson correlation of the rows that have both values; null where either side is constant (Spark's own raises there)."""
+    X, Y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+    both = X.isNotNull() & Y.isNotNull()
+    deviation = F.stddev_pop(F.when(both, X)) * F.stddev_pop(F.when(both, Y))
+    return F.covar_pop(X, Y) / F.nullif(deviation, F.lit(0.0))
+
+
+# Tail probabilities as column expressions, for tables of results (a row for each group)
+
+
+def _log_gamma(x: Column) -> Column:
+    """Logarithm of the gamma function of positive values, by Stirling's series at x + 8."""
+    y = x + 8
+    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
+    return series - sum((F.log(x + k) for k in range(1, 8)), F.log(x))
+
+
+def incomplete_beta(a: Column, b: Column, x: Column, terms: int = 200) -> Column:
+    """The regularised incomplete beta function I_x(a, b), by its continued fraction (evaluated from the last term)."""
+
+    def fraction(a: Column, b: Column, x: Column) -> Column:
+        def term(m: Column) -> Column:
+            k = F.floor(m / 2)
+            even = k * (b - k) * x / ((a + 2 * k - 1) * (a + 2 * k))
+            odd = -(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1))
+            return F.when(m % 2 == 0, even).otherwise(odd)
+
+        down = F.sequence(F.lit(float(terms)).cast("int"), F.lit(1), F.lit(-1))
+        return F.aggregate(down, F.lit(1.0), lambda f, m: 1 + term(m.cast("double")) / f)
+
+    front = F.exp(_log_gamma(a + b) - _log_gamma(a) - _log_gamma(b) + a * F.log(x) + b * F.log(1 - x))
+    low = front / (a * fraction(a, b, x))
+    high = 1 - front / (b * fraction(b, a, 1 - x))
+    return F.when(x <= 0, 0.0).when(x >= 1, 1.0).when(x < (a + 1) / (a + b + 2), low).otherwise(high)
+
+
+def student_p(t: Column, df: Column) -> Column:
+    """Two-sided p of Student's t."""
+    n = df.cast("double")
+    return F.when(n > 0, incomplete_beta(n / 2, F.lit(0.5), n / (n + t * t)))
+
+
+def correlation_p(r: Column, n: Column) -> Column:
+    """Two-sided p of a correlation of n pairs under normality (also the usual one of Spearman's rho); 0 for a perfect one, null under three pairs."""
+    df = n.cast("double") - 2
+    return F.when(r.isNotNull() & (df > 0), F.when(F.abs(r) >= 1, 0.0).otherwise(incomplete_beta(df / 2, F.lit(0.5), F.greatest(1 - r * r, F.lit(0.0)))))
+
+
+def normal_p(z: Column) -> Column:
+    """Two-sided p of a standard normal value: a power series for small values, a continued fraction for large ones."""
+    x = F.abs(z.cast("double"))
+    h = x * x / 2
+    steps = lambda n: F.sequence(F.lit(1), F.lit(n))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+    series = F.aggregate(steps(60), start, lambda s, k: F.struct((s["term"] * 2 * h / (2 * k + 1)).alias("term"), (s["sum"] + s["term"] * 2 * h / (2 * k + 1)).alias("sum")), lambda s: s["sum"])
+    small = 1 - math.sqrt(2 / math.pi) * x * F.exp(-h) * series
+    fraction = F.aggregate(F.reverse(steps(80)), x, lambda f, k: x + k / f)
+    large = math.sqrt(2 / math.pi) * F.exp(-h) / fraction
+    return F.when(x < 3, small).otherwise(large)
+
+
 def group_zscore(df: DataFrame, keys: Keys, value: str) -> DataFrame:
     """(value - mean) / sample deviation by key; 0 where the deviation is 0 or there is one row."""
-    w = W.partitionBy(*keys)
-    z = (F.col(value) - F.avg(value).over(w)) / F.nullif(F.stddev_samp(value).over(w), F.lit(0.0))
-    return df.withColumn("z", F.coalesce(z, F.lit(0.0)))
+    both = _by(df, keys, [F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s")])
+    return both.withColumn("z", F.coalesce((F.col(value) - F.col("_m")) / F.nullif(F.col("_s"), F.lit(0.0)), F.lit(0.0))).drop("_m", "_s")
 
 
 def _by(df: DataFrame, keys: Keys, aggs: list[Column]) -> DataFrame:
-    """Group aggregates joined back to their rows. Percentiles this way need no window that holds a group."""
+    """Group aggregates joined back to their rows; a null key is a key. No window holds a group this way."""
     if not keys:
         return df.crossJoin(F.broadcast(df.agg(*aggs)))
-    return df.join(df.groupBy(*keys).agg(*aggs), keys)
+    found = df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]).agg(*aggs)
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & df[k].eqNullSafe(found[f"_g{i}"])
+    return df.join(found, on).drop(*[f"_g{i}" for i in range(len(keys))])
 
 
 def outliers(df: DataFrame, keys: Keys, value: str, z: float = 2.5, modified: float = 3.5, fence: float = 1.5) -> DataFrame:
@@ -52,56 +119,111 @@ def binned(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
 
 
 def regression(df: DataFrame, x: str, y: str, keys: Keys = ()) -> DataFrame:
-    """Slope, intercept, r, r squared and n; groups of fewer than five rows have nulls."""
+    """Slope, intercept, r, r squared, n and the two-sided p of a slope of 0; groups of fewer than five rows have nulls, and so has r of a constant side."""
     X, Y = F.col(x).cast("double"), F.col(y).cast("double")
-    aggs = [F.count(F.when(X.isNotNull() & Y.isNotNull(), 1)).alias("n"), F.regr_slope(Y, X).alias("slope"), F.regr_intercept(Y, X).alias("intercept"), F.corr(X, Y).alias("r"), F.regr_r2(Y, X).alias("r2")]
+    aggs = [F.count(F.when(X.isNotNull() & Y.isNotNull(), 1)).alias("n"), F.regr_slope(Y, X).alias("slope"), F.regr_intercept(Y, X).alias("intercept"), corr(X, Y).alias("r"), F.regr_r2(Y, X).alias("r2")]
     out = df.groupBy(*keys).agg(*aggs)
-    return out.select(*keys, "n", *[F.when(F.col("n") >= 5, F.col(c)).alias(c) for c in ("slope", "intercept", "r", "r2")])
+    out = out.select(*keys, "n", *[F.when(F.col("n") >= 5, F.col(c)).alias(c) for c in ("slope", "intercept", "r", "r2")])
+    return out.withColumn("p_value", correlation_p(F.col("r"), F.col("n")))
 
 
 def average_ranks(df: DataFrame, value: str, keys: Keys = (), name: str = "rank") -> DataFrame:
-    """Ranks with ties averaged: rank + (ties - 1) / 2."""
-    w = W.partitionBy(*keys)
-    return df.withColumn(name, F.rank().over(w.orderBy(value)) + (F.count("*").over(W.partitionBy(*keys, value)) - 1) / 2)
+    """Ranks with ties averaged: the number of smaller values + (ties + 1) / 2. Null values have null ranks.
+
+    No task ranks the rows of a key: values are counted, counts are summed up within ranges of values and over the
+    ranges, and the ranks are joined back by value.
+    """
+    counts = _positions(df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")), value, keys)
+    ranks = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(value).alias("_v"), (F.col("_before") + (F.col("_n") + 1) / 2).alias(name))
+    on = df[value].eqNullSafe(ranks["_v"])
+    for i, k in enumerate(keys):
+        on = on & df[k].eqNullSafe(ranks[f"_k{i}"])
+    return df.join(ranks, on, "left").drop("_v", *[f"_k{i}" for i in range(len(keys))])
+
+
+def _bucket(value: Column) -> Column:
+    """A whole number that never falls as the value rises: 256 buckets for each power of two, on both sides of 0."""
+    x = value.cast("double")
+    at = F.floor(F.least(F.log2(F.abs(x)), F.lit(1025.0)) * 256) + 400_000
+    return F.when(F.isnan(x), 1_000_000).when(x == 0, 0).otherwise(F.signum(x) * at).cast("int")
+
+
+def _positions(counts: DataFrame, value: str, keys: Keys) -> DataFrame:
+    """With `_before`: the sum of `_n` over the key's smaller values (counts: a row for each key and value).
+
+    Values are summed up within buckets, and the sums of the buckets are carried on. The bucket depends on the value
+    alone, so that both readings agree.
+    """
+    own = counts.withColumn("_b", _bucket(F.col(value)))
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    local = own.withColumn("_local", before(W.partitionBy(*keys, "_b").orderBy(value)))
+    sums = own.groupBy(*keys, "_b").agg(F.sum("_n").alias("_n"))
+    carried = sums.withColumn("_carried", before(W.partitionBy(*keys).orderBy("_b"))).select(*[F.col(k).alias(f"_c{i}") for i, k in enumerate(keys)], F.col("_b").alias("_r"), "_carried")
+    on = F.col("_b") == F.col("_r")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_c{i}"))
+    return local.join(carried, on).withColumn("_before", F.col("_local") + F.col("_carried")).drop("_local", "_carried", "_b", "_r", *[f"_c{i}" for i in range(len(keys))])
 
 
 def spearman(df: DataFrame, x: str, y: str, keys: Keys = ()) -> DataFrame:
     ranked = average_ranks(average_ranks(df.dropna(subset=[x, y]), x, keys, "_rx"), y, keys, "_ry")
-    return ranked.groupBy(*keys).agg(F.corr("_rx", "_ry").alias("rho"))
+    out = ranked.groupBy(*keys).agg(corr("_rx", "_ry").alias("rho"), F.count("*").alias("n"))
+    return out.withColumn("p_value", correlation_p(F.col("rho"), F.col("n")))
 
 
 def partial_correlation(df: DataFrame, x: str, y: str, given: str) -> DataFrame:
     """Correlation of x and y with the linear effect of `given` taken out, from three plain correlations."""
-    c = df.agg(F.corr(x, y).alias("xy"), F.corr(x, given).alias("xg"), F.corr(y, given).alias("yg"))
-    return c.select(((F.col("xy") - F.col("xg") * F.col("yg")) / F.sqrt((1 - F.col("xg") ** 2) * (1 - F.col("yg") ** 2))).alias("partial_r"))
+    c = df.agg(corr(x, y).alias("xy"), corr(x, given).alias("xg"), corr(y, given).alias("yg"))
+    left = F.sqrt(F.greatest((1 - F.col("xg") ** 2) * (1 - F.col("yg") ** 2), F.lit(0.0)))
+    return c.select(((F.col("xy") - F.col("xg") * F.col("yg")) / F.nullif(left, F.lit(0.0))).alias("partial_r"))
 
 
 def correlation_matrix(df: DataFrame, item: str, group: str, value: str) -> DataFrame:
     """Pearson correlation of two groups' values over their common items, for each pair of groups, with the number of items."""
     a, b = df.select(F.col(item), F.col(group).alias("a"), F.col(value).alias("x")), df.select(F.col(item), F.col(group).alias("b"), F.col(value).alias("y"))
-    return a.join(b, item).where("a < b").groupBy("a", "b").agg(F.corr("x", "y").alias("r"), F.count("*").alias("common"))
+    return a.join(b, item).where("a < b").groupBy("a", "b").agg(corr("x", "y").alias("r"), F.count("*").alias("common")).withColumn("p_value", correlation_p(F.col("r"), F.col("common")))
 
 
 def rank_by_correlation(df: DataFrame, metrics: Keys, effect: str) -> DataFrame:
     """(metric, r) of each metric with the effect, strongest first."""
     rows = df.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics])).alias("m"), effect)
-    return rows.groupBy(F.col("m.metric").alias("metric")).agg(F.corr("m.v", effect).alias("r")).orderBy(F.desc(F.abs("r")), "metric")
+    return rows.groupBy(F.col("m.metric").alias("metric")).agg(corr("m.v", effect).alias("r"), F.count(F.when(F.col("m.v").isNotNull() & F.col(effect).isNotNull(), 1)).alias("n")).withColumn("p_value", correlation_p(F.col("r"), F.col("n"))).orderBy(F.desc(F.abs("r")), "metric")
+
+
+def _ties(counts: DataFrame) -> Column:
+    """Sum of t^3 - t over the groups of t tied values."""
+    n = F.col("_n").cast("double")
+    return F.coalesce(F.sum(n**3 - n), F.lit(0.0))
 
 
 def mann_whitney(df: DataFrame, value: str, group: str, first) -> DataFrame:
-    """U of the rows with group = first against all others, and its normal approximation z without tie correction."""
-    ranked = average_ranks(df.dropna(subset=[value, group]), value, name="_r")
-    s = ranked.agg(F.sum(F.when(F.col(group) == first, F.col("_r"))).alias("r"), F.count_if(F.col(group) == first).alias("n1"), F.count_if(F.col(group) != first).alias("n2"))
-    u = F.col("r") - F.col("n1") * (F.col("n1") + 1) / 2
-    return s.select("n1", "n2", u.alias("u"), ((u - F.col("n1") * F.col("n2") / 2) / F.sqrt(F.col("n1") * F.col("n2") * (F.col("n1") + F.col("n2") + 1) / 12)).alias("z"))
+    """U of the rows with group = first against all others, its normal approximation z without tie correction, and the two-sided p with tie and continuity correction (null if all values are equal or a side is empty).
+
+    Works on the counts of the different values, so that no task ranks all rows.
+    """
+    mine = F.col(group) == first
+    counts = df.dropna(subset=[value, group]).groupBy(value).agg(F.count("*").alias("_n"), F.count_if(mine).alias("_n1"))
+    ranked = _positions(counts, value, [])
+    s = ranked.agg(F.sum(F.col("_n1") * (F.col("_before") + (F.col("_n") + 1) / 2)).alias("r"), F.coalesce(F.sum("_n1"), F.lit(0)).alias("n1"), F.coalesce(F.sum(F.col("_n") - F.col("_n1")), F.lit(0)).alias("n2"), _ties(ranked).alias("t"))
+    n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
+    n, u = n1 + n2, F.col("r") - n1 * (n1 + 1) / 2
+    plain = F.sqrt(n1 * n2 * (n + 1) / 12)
+    tied = F.sqrt(F.greatest(n1 * n2 / 12 * ((n + 1) - F.col("t") / F.nullif(n * (n - 1), F.lit(0.0))), F.lit(0.0)))
+    corrected = F.greatest(F.abs(u - n1 * n2 / 2) - 0.5, F.lit(0.0)) / F.nullif(tied, F.lit(0.0))
+    return s.select("n1", "n2", u.alias("u"), ((u - n1 * n2 / 2) / F.nullif(plain, F.lit(0.0))).alias("z"), normal_p(corrected).alias("p_value"))
 
 
 def wilcoxon(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Signed-rank sums of paired values; zero differences are left out."""
+    """Signed-rank sums of paired values (zero differences are left out), and the two-sided p of the normal approximation with tie correction."""
     d = df.withColumn("_d", F.col(a) - F.col(b)).where("_d <> 0").withColumn("_m", F.abs("_d"))
-    ranked = average_ranks(d, "_m", name="_r")
-    s = lambda c: F.coalesce(F.sum(F.when(c, F.col("_r"))), F.lit(0.0))
-    return ranked.agg(F.count("*").alias("n"), s(F.col("_d") > 0).alias("w_plus"), s(F.col("_d") < 0).alias("w_minus"))
+    counts = d.groupBy("_m").agg(F.count("*").alias("_n"), F.count_if(F.col("_d") > 0).alias("_up"))
+    ranked = _positions(counts, "_m", []).withColumn("_r", F.col("_before") + (F.col("_n") + 1) / 2)
+    s = lambda c: F.coalesce(F.sum(F.col("_r") * c), F.lit(0.0))
+    out = ranked.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), s(F.col("_up")).alias("w_plus"), s(F.col("_n") - F.col("_up")).alias("w_minus"), _ties(ranked).alias("_t"))
+    n = F.col("n").cast("double")
+    deviation = F.sqrt(F.greatest(n * (n + 1) * (2 * n + 1) / 24 - F.col("_t") / 48, F.lit(0.0)))
+    z = (F.least("w_plus", "w_minus") - n * (n + 1) / 4) / F.nullif(deviation, F.lit(0.0))
+    return out.withColumn("p_value", normal_p(z)).drop("_t")
 
 
 def two_level_noise(df: DataFrame, keys: Keys, kind: str, mean: str, std: str) -> DataFrame:
@@ -115,9 +237,13 @@ def two_level_noise(df: DataFrame, keys: Keys, kind: str, mean: str, std: str) -
 
 def top_decile_median(df: DataFrame, keys: Keys, value: str, share: float = 0.1) -> DataFrame:
     """Median of the largest max(1, floor(share n)) values of a key."""
-    w = W.partitionBy(*keys)
-    ranked = df.withColumns({"_k": F.row_number().over(w.orderBy(F.desc(value))), "_n": F.count("*").over(w)})
-    return ranked.where(F.col("_k") <= F.greatest(F.lit(1), F.floor(share * F.col("_n")))).groupBy(*keys).agg(F.percentile(value, F.lit(0.5)).alias("median_top"))
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    # from above: the number of rows with larger values tells how many of these the top takes
+    placed = _by(_positions(counts.where(F.col(value).isNotNull()), value, keys), keys, [F.sum("_n").alias("_all")])
+    top = F.greatest(F.lit(1), F.floor(share * F.col("_all")))
+    larger = F.col("_all") - F.col("_before") - F.col("_n")
+    taken = placed.withColumn("_take", F.least(F.col("_n"), top - larger)).where("_take > 0")
+    return taken.groupBy(*keys).agg(F.percentile(value, F.lit(0.5), F.col("_take")).alias("median_top"))
 
 
 def crosstalk(df: DataFrame, read: Keys, channel: str, value: str, channels: list[str]) -> DataFrame:
@@ -151,7 +277,7 @@ def effect_sizes(df: DataFrame, group: str, vector: str, control: Column, least:
 
 def block_variation(df: DataFrame, keys: Keys, value: str) -> DataFrame:
     """Coefficient of variation of block means."""
-    return df.groupBy(*keys).agg((F.stddev_pop(value) / F.avg(value)).alias("cv"))
+    return df.groupBy(*keys).agg((F.stddev_pop(value) / F.nullif(F.avg(value), F.lit(0.0))).alias("cv"))
 
 
 def running_gate(df: DataFrame, keys: Keys, order: str, count: str, drop: float = 0.15) -> DataFrame:

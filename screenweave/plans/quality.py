@@ -18,7 +18,7 @@ def growth_effect(t):
     n = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("n"))
     j = keyed.left_fill(t.part, n, ["p_partkey"], {"n": 0}).select(F.col("p_retailprice").alias("x"), F.col("n").cast("double").alias("y"))
     m = stats.binned(j, "x", "y", 8)
-    return m.agg(F.count("*").alias("bins"), F.sum("n").alias("guides"), r(F.regr_slope("y_median", "x_median"), 5).alias("slope"), r(F.corr("y_median", "x_median")).alias("r"))
+    return m.agg(F.count("*").alias("bins"), F.sum("n").alias("guides"), r(F.regr_slope("y_median", "x_median"), 5).alias("slope"), r(stats.corr("y_median", "x_median")).alias("r"))
 
 
 @query("""
@@ -47,7 +47,7 @@ def reference_correlation(t):
         return n.crossJoin(F.broadcast(n.agg(F.sum("n").alias("all")))).select("b", F.log2(F.col("n") / F.col("all") + 1e-9).alias(name))
 
     both = share("O", "x").join(share("F", "y"), "b")
-    return both.agg(F.count("*").alias("common"), F.corr("x", "y").alias("r")).select("common", F.when(F.col("common") < 50, 0.0).otherwise(r("r")).alias("r"))
+    return both.agg(F.count("*").alias("common"), stats.corr("x", "y").alias("r")).select("common", F.when(F.col("common") < 50, 0.0).otherwise(r("r")).alias("r"))
 
 
 @query(f"""
@@ -134,10 +134,10 @@ def top_gene_over_time(t):
 
 
 @query(f"""
-WITH p AS ({_P}), s AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY label, size ORDER BY id) <= 20)
+WITH p AS ({_P}), s AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY label, round_even(y, 0) ORDER BY id) = 1)
 SELECT id FROM s QUALIFY row_number() OVER (PARTITION BY round_even(y / 10, 0), round_even(x / 10, 0) ORDER BY id) = 1""")
 def place_dedupe(t):
-    s = keyed.top_per_key(_points(t), ["label", "size"], ["id"], 20)
+    s = keyed.keep_first(_points(t).withColumn("segment", F.bround("y")), ["label", "segment"], ["id"])
     at = s.withColumns({"by": F.bround(F.col("y") / 10), "bx": F.bround(F.col("x") / 10)})
     return keyed.keep_first(at, ["by", "bx"], ["id"]).select("id")
 

@@ -156,9 +156,10 @@ def union_of_wells(t):
     return t.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n")).select(F.lit("o").alias("side"), "k", "n").unionAll(t.customer.select(F.lit("c"), "c_custkey", F.lit(1).cast("long")))
 
 
-@query("SELECT d.doc_id FROM documents d WHERE EXISTS (SELECT 1 FROM benchmark b WHERE substring(b.text, 1, 4) = substring(d.text, 1, 4))")
+@query("SELECT d.doc_id FROM documents d WHERE EXISTS (SELECT 1 FROM benchmark b WHERE len(string_split(b.text, ' ')) = len(string_split(d.text, ' ')))")
 def semi_join_projected(t):
-    return t.documents.select("doc_id", F.substring("text", 1, 4).alias("k")).join(t.benchmark.select(F.substring("text", 1, 4).alias("k")).distinct(), "k", "left_semi").select("doc_id")
+    size = F.size(F.split("text", " ", -1)).alias("k")
+    return t.documents.where("text is not null").select("doc_id", size).join(t.benchmark.where("text is not null").select(size).distinct(), "k", "left_semi").select("doc_id")
 
 
 @query("""
@@ -277,7 +278,7 @@ def growth_regression(t):
 WITH i AS ({_ITEM}), k AS (SELECT g, rank() OVER (PARTITION BY g ORDER BY v) + (count(*) OVER (PARTITION BY g, v) - 1) / 2.0 AS rv, rank() OVER (PARTITION BY g ORDER BY q) + (count(*) OVER (PARTITION BY g, q) - 1) / 2.0 AS rq FROM i)
 SELECT g, round(corr(rv, rq), 4) AS rho FROM k GROUP BY 1""")
 def spearman(t):
-    return stats.spearman(_items(t), "v", "q", ["g"]).withColumn("rho", r("rho"))
+    return stats.spearman(_items(t), "v", "q", ["g"]).select("g", r("rho").alias("rho"))
 
 
 @query("""
@@ -292,13 +293,13 @@ WITH m AS (SELECT l_returnflag || l_linestatus AS g, l_suppkey AS i, sum(l_quant
 SELECT a.g AS a, b.g AS b, round(corr(a.v, b.v), 4) AS r, count(*) AS common FROM m a JOIN m b ON a.i = b.i AND a.g < b.g GROUP BY 1, 2""")
 def experiment_correlations(t):
     m = t.lineitem.groupBy(F.concat("l_returnflag", "l_linestatus").alias("g"), F.col("l_suppkey").alias("i")).agg(F.sum("l_quantity").alias("v"))
-    return stats.correlation_matrix(m, "i", "g", "v").withColumn("r", r("r"))
+    return stats.correlation_matrix(m, "i", "g", "v").select("a", "b", r("r").alias("r"), "common")
 
 
 @query("""
 SELECT 'l_quantity' AS metric, round(corr(l_quantity, l_extendedprice), 5) AS r FROM lineitem UNION ALL SELECT 'l_discount', round(corr(l_discount, l_extendedprice), 5) FROM lineitem UNION ALL SELECT 'l_tax', round(corr(l_tax, l_extendedprice), 5) FROM lineitem""")
 def metric_ranking(t):
-    return stats.rank_by_correlation(t.lineitem, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice").withColumn("r", r("r", 5))
+    return stats.rank_by_correlation(t.lineitem, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice").select("metric", r("r", 5).alias("r"))
 
 
 @query("""
@@ -406,18 +407,18 @@ _PLACES = barcodes.mapping(list(range(8)), {"shift": [2]}, 8)
 
 
 @query("""
-WITH c AS (SELECT DISTINCT concat(substring(p_name, 1, 2), substring(p_name, 4, 5)) AS k FROM part WHERE p_partkey % 2 = 0)
+WITH c AS (SELECT DISTINCT concat(substring(p_name, 1, 2), substring(p_name, 4, 5)) AS k FROM part WHERE p_type < 'M')
 SELECT p_partkey, substring(p_name, 1, 7) IN (SELECT k FROM c) AS matched FROM part""")
 def shifted_match(t):
-    o = barcodes.matched(t.part, t.part.where("p_partkey % 2 = 0"), _PLACES, "p_name", "p_name")
+    o = barcodes.matched(t.part, t.part.where("p_type < 'M'"), _PLACES, "p_name", "p_name")
     return o.select("p_partkey", "matched")
 
 
 @query("""
-WITH k AS (SELECT unnest(range(1, 13)) AS length), c AS (SELECT DISTINCT length, substring(p_name, 1, length::INT) AS p FROM part, k WHERE p_partkey % 3 = 0)
+WITH k AS (SELECT unnest(range(1, 13)) AS length), c AS (SELECT DISTINCT length, substring(p_name, 1, length::INT) AS p FROM part, k WHERE p_type = 'PROMO')
 SELECT k.length, round(avg(CASE WHEN c.p IS NULL THEN 0.0 ELSE 1.0 END), 5) AS accuracy FROM part CROSS JOIN k LEFT JOIN c ON c.length = k.length AND c.p = substring(p_name, 1, k.length::INT) GROUP BY 1""")
 def prefix_accuracy(t):
-    o = barcodes.prefix_accuracy(t.part, t.part.where("p_partkey % 3 = 0"), 12, "p_name", "p_name")
+    o = barcodes.prefix_accuracy(t.part, t.part.where("p_type = 'PROMO'"), 12, "p_name", "p_name")
     return o.select(long("length").alias("length"), r("accuracy", 5).alias("accuracy"))
 
 
@@ -434,9 +435,9 @@ _PICK = lambda c, at: "concat(" + ", ".join(f"substring({c}, {p + 1}, 1)" for p
 
 
 @query(" UNION ALL ".join(f"""
-SELECT '{k}' AS config, round(avg(CASE WHEN {_PICK('a.p_name', m.read)} IN (SELECT {_PICK('p_name', m.code)} FROM part WHERE p_partkey % 4 = 0) THEN 1.0 ELSE 0 END), 5) AS rate, (SELECT count(DISTINCT {_PICK('p_name', m.code)}) FROM part WHERE p_partkey % 4 = 0) AS unique_codes FROM part a""" for k, m in _CONFIGS.items()))
+SELECT '{k}' AS config, round(avg(CASE WHEN {_PICK('a.p_name', m.read)} IN (SELECT {_PICK('p_name', m.code)} FROM part WHERE p_type = 'LARGE') THEN 1.0 ELSE 0 END), 5) AS rate, (SELECT count(DISTINCT {_PICK('p_name', m.code)}) FROM part WHERE p_type = 'LARGE') AS unique_codes FROM part a""" for k, m in _CONFIGS.items()))
 def failed_round_search(t):
-    return barcodes.search(t.part, t.part.where("p_partkey % 4 = 0"), _CONFIGS, "p_name", "p_name").withColumn("rate", r("rate", 5))
+    return barcodes.search(t.part, t.part.where("p_type = 'LARGE'"), _CONFIGS, "p_name", "p_name").withColumn("rate", r("rate", 5))
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
@@ -531,12 +532,12 @@ def tile_heatmap(t):
 _PX = "SELECT l_suppkey AS label, l_partkey % 60 AS y, l_orderkey % 60 AS x, l_linenumber FROM lineitem"
 
 
-def _raster(t, odd):
-    li = t.lineitem.where(f"l_linenumber % 2 = {odd}")
+def _raster(t, status=None):
+    li = t.lineitem if status is None else t.lineitem.where(F.col("l_linestatus") == status)
     return li.groupBy((F.col("l_partkey") % 60).alias("y"), (F.col("l_orderkey") % 60).alias("x")).agg(F.min(F.col("l_suppkey") % 40).alias("label"))
 
 
-_RA, _RB = (f"SELECT l_partkey % 60 AS y, l_orderkey % 60 AS x, min(l_suppkey % 40) AS label FROM lineitem WHERE l_linenumber % 2 = {k} GROUP BY 1, 2" for k in (0, 1))
+_RA, _RB, _RC = (f"SELECT l_partkey % 60 AS y, l_orderkey % 60 AS x, min(l_suppkey % 40) AS label FROM lineitem{k} GROUP BY 1, 2" for k in (" WHERE l_linestatus = 'F'", " WHERE l_linestatus = 'O'", ""))
 
 
 @query(f"""
@@ -544,17 +545,17 @@ WITH a AS ({_RA}), b AS ({_RB}), s AS (SELECT a.label AS label_a, b.label AS lab
 na AS (SELECT label, count(*) AS n FROM a GROUP BY 1), nb AS (SELECT label, count(*) AS n FROM b GROUP BY 1)
 SELECT label_a, label_b, shared, round(shared / (na.n + nb.n - shared)::DOUBLE, 5) AS iou FROM s JOIN na ON na.label = label_a JOIN nb ON nb.label = label_b WHERE shared / (na.n + nb.n - shared)::DOUBLE > 0.01""")
 def label_overlap(t):
-    return spatial.overlaps(_raster(t, 0), _raster(t, 1), 0.01).withColumn("iou", r("iou", 5))
+    return spatial.overlaps(_raster(t, "F"), _raster(t, "O"), 0.01).withColumn("iou", r("iou", 5))
 
 
-@query(f"WITH a AS ({_RA}) SELECT label, round(avg(y), 4) AS y, round(avg(x), 4) AS x, count(*) AS area, min(y) AS min_row, min(x) AS min_col, max(y) + 1 AS max_row, max(x) + 1 AS max_col FROM a WHERE label > 0 GROUP BY 1")
+@query(f"WITH a AS ({_RC}) SELECT label, round(avg(y), 4) AS y, round(avg(x), 4) AS x, count(*) AS area, min(y) AS min_row, min(x) AS min_col, max(y) + 1 AS max_row, max(x) + 1 AS max_col FROM a WHERE label > 0 GROUP BY 1")
 def label_centroids(t):
-    return spatial.label_stats(_raster(t, 0)).withColumns({"y": r("y"), "x": r("x")})
+    return spatial.label_stats(_raster(t)).withColumns({"y": r("y"), "x": r("x")})
 
 
-@query(f"WITH a AS ({_RA}) SELECT floor(y / 20)::BIGINT AS row, floor(x / 20)::BIGINT AS \"column\", count(DISTINCT CASE WHEN label > 0 THEN label END) AS labels FROM a GROUP BY 1, 2")
+@query(f"WITH a AS ({_RC}) SELECT floor(y / 20)::BIGINT AS row, floor(x / 20)::BIGINT AS \"column\", count(DISTINCT CASE WHEN label > 0 THEN label END) AS labels FROM a GROUP BY 1, 2")
 def confluency(t):
-    o = spatial.confluency(_raster(t, 0), 20)
+    o = spatial.confluency(_raster(t), 20)
     return o.select(long("row").alias("row"), long("column").alias("column"), "labels")
 
 
@@ -569,17 +570,17 @@ def merged_labels(t):
 
 # Track graphs: a user's events are a track, frames are the days of the week
 
-_N = "SELECT event_id AS id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS t, value AS y, (event_id % 97)::DOUBLE AS x, user_id AS tracklet_id FROM events"
+_N = "SELECT event_id AS id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS t, value AS y, (event_id % 97)::DOUBLE AS x, user_id AS tracklet_id, event_type FROM events"
 
 
 def _graph(t):
-    n = t.events.select(F.col("event_id").alias("id"), F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")).cast("long").alias("t"), F.col("value").alias("y"), (F.col("event_id") % 97).cast("double").alias("x"), F.col("user_id").alias("tracklet_id"))
+    n = t.events.select(F.col("event_id").alias("id"), F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")).cast("long").alias("t"), F.col("value").alias("y"), (F.col("event_id") % 97).cast("double").alias("x"), F.col("user_id").alias("tracklet_id"), "event_type")
     nxt = n.select(F.col("id").alias("dst"), (F.col("t") - 1).alias("t"), "tracklet_id", F.col("id").alias("_d"))
-    edges = n.join(nxt, ["tracklet_id", "t"]).where("(id + dst) % 5 <> 0").select(F.col("id").alias("src"), "dst")
-    return n, edges
+    edges = n.join(nxt, ["tracklet_id", "t"]).where("event_type <> 'error'").select(F.col("id").alias("src"), "dst")
+    return n.drop("event_type"), edges
 
 
-_G = f"WITH n AS ({_N}), e AS (SELECT a.id AS src, b.id AS dst FROM n a JOIN n b ON a.tracklet_id = b.tracklet_id AND b.t = a.t + 1 WHERE (a.id + b.id) % 5 <> 0)"
+_G = f"WITH n AS ({_N}), e AS (SELECT a.id AS src, b.id AS dst FROM n a JOIN n b ON a.tracklet_id = b.tracklet_id AND b.t = a.t + 1 WHERE a.event_type <> 'error')"
 
 
 @query(f"""{_G}, d AS (SELECT n.*, (SELECT count(*) FROM e WHERE src = n.id) AS o, (SELECT count(*) FROM e WHERE dst = n.id) AS i FROM n)
@@ -624,11 +625,10 @@ def tracking_loss(t):
 
 
 @query("""
-SELECT user_id, max(CASE WHEN t = 1 THEN event_type END) AS event_type_t1, max(CASE WHEN t = 2 THEN event_type END) AS event_type_t2, max(CASE WHEN t = 3 THEN event_type END) AS event_type_t3
-FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS t FROM events) GROUP BY 1""")
+SELECT user_id, {cols} FROM (SELECT *, dayofweek(ts) AS t FROM events) GROUP BY 1""".format(cols=", ".join(f"max(CASE WHEN t = {k} THEN event_type END) AS event_type_t{k}" for k in range(7))))
 def widened_tracks(t):
-    e = t.events.withColumn("t", F.row_number().over(W.partitionBy("user_id").orderBy("event_id")))
-    return tracks.widened(e, "user_id", [1, 2, 3], ["event_type"])
+    e = t.events.withColumn("t", F.dayofweek("ts") - 1)
+    return tracks.widened(e, "user_id", list(range(7)), ["event_type"])
 
 
 @query("""

@@ -61,18 +61,25 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def replace(df: DataFrame, path: str, backup: str | None = None) -> None:
-    """Writes beside the old table and swaps, so that a frame may be read from the path that it replaces. The first old table is kept as backup."""
+    """Writes beside the old table and swaps, so that a frame may be read from the path that it replaces. The first old table is kept as backup.
+
+    The old table is moved aside before the new one takes its name, and deleted after: if the driver is lost in between,
+    the old rows are at `<path>.old` (or the backup) and the new ones at `<path>.new`.
+    """
     spark = df.sparkSession
     fs, target = _fs(spark, path)
     _, new = _fs(spark, f"{path}.new")
     _, old = _fs(spark, backup or f"{path}.old")
     df.write.mode("overwrite").parquet(f"{path}.new")
+    keep = bool(backup) and not fs.exists(old)
+    _, aside = (fs, old) if keep else _fs(spark, f"{path}.old")
     if fs.exists(target):
-        if backup and not fs.exists(old):
-            fs.rename(target, old)
-        else:
-            fs.delete(target, True)
+        if not keep and fs.exists(aside):
+            fs.delete(aside, True)
+        fs.rename(target, aside)
     fs.rename(new, target)
+    if not keep and fs.exists(aside):
+        fs.delete(aside, True)
 
 
 def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False) -> DataFrame:
@@ -100,7 +107,25 @@ def status_key(spark: SparkSession, pattern: str) -> str:
 
 
 def read_config(spark: SparkSession, path: str) -> dict:
-    return json.loads("\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))
+    """A JSON or, where the yaml module is there, a YAML file as a dictionary."""
+    text = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+    if not path.lower().endswith((".yaml", ".yml")):
+        return json.loads(text)
+    try:
+        import yaml
+    except ImportError as e:
+        raise ValueError("reading YAML needs the yaml module") from e
+    return yaml.safe_load(text) or {}
+
+
+def cumulative_transforms(spark: SparkSession, pattern: str, field: str = "affine_transform_zyx") -> DataFrame:
+    """(key, m, inverse) of the files of a glob `<key>_cumulative.yaml` (or .json): the 3 x 3 part in y, x of each 4 x 4 matrix, by the number or name before the underscore; `nuclei` is -1, `pre` -2."""
+    found = {}
+    for path, _, _ in listing(spark, pattern):
+        name = path.rsplit("/", 1)[-1].split("_cumulative")[0]
+        key = {"nuclei": "-1", "pre": "-2"}.get(name, name.removeprefix("round"))
+        found[key] = [row[1:] for row in read_config(spark, path)[field][1:]]
+    return affines(found, spark)
 
 
 def rounds_as_time(stores: dict[int, DataFrame]) -> DataFrame:
