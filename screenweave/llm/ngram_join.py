@@ -7,11 +7,13 @@ PERCENT * union.
 1. A first pass over the texts gives each document's set size and fingerprint, and the shingles that are frequent
    (counted in full, the most frequent ORDERED of them kept). Frequency only orders shingles - rare ones first, any
    order gives the same links - so leaving out some affects speed alone.
-2. Size-derived bounds: linked sets share a shingle within the first (100 - PERCENT) % of each, in that order, and their
-   sizes are in the same or in neighbouring bands. A second pass emits these prefixes as (shingle, class, size, place), a
-   class once for each task. Aggregation by (shingle, band), with partial sums before the shuffle, tells which of these
-   cells have a candidate at all; the others drop out. No window and no task holds a shingle's rows together.
-3. In a cell, a pair is a candidate if sizes, places and a histogram of the shingle hashes all allow a sufficient overlap
+2. Size-derived bounds: linked sets share a shingle within the first (100 - PERCENT) % of each, in that order. A second
+   pass emits these prefixes as (shingle, class, size, place), a class once for each task. Shingles without two classes
+   of near sizes drop out in a window over the shingle's few classes. The very frequent shingles (over GROUP by the counts
+   of the first pass, which miss one occurrence a task's 2 million shingles at most, so that this bounds the windows) go
+   another way: linked sizes are in the same or in neighbouring bands, aggregation by (shingle, band) tells which of these
+   cells have a candidate, and a cell's rows are dealt over tasks by a salt.
+3. In a shingle or cell, a pair is a candidate if sizes, places and a histogram of the shingle hashes all allow a sufficient overlap
    (each is an upper bound, so no link is lost). Of the candidates only a spanning forest is emitted, never all pairs. A
    cell of more than GROUP rows is dealt over several tasks as pairs of parts.
 4. Components of these forests are clusters. Each cluster's classes are cut into blocks of about BLOCK rows by size; for each
@@ -228,29 +230,51 @@ def cells(posts: DataFrame, percent: int) -> DataFrame:
     return out.withColumn("up", up).where("parts is not null or up is not null").select("shingle", "band", "rows", "parts", "up")
 
 
-def candidates(posts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b), numbers of classes, of spanning forests of the candidates in each cell."""
+def _ordinary(posts: DataFrame, percent: int) -> DataFrame:
+    """The posts that have a candidate among those of their shingle: sizes are sorted, so a class has one if a neighbour's size is near enough."""
+    near = W.partitionBy("shingle").orderBy("n", "f1", "f2")
+    copy = F.coalesce((F.lag("f1").over(near) == F.col("f1")) & (F.lag("f2").over(near) == F.col("f2")), F.lit(False))
+    once = posts.withColumn("copy", copy).where("not copy").drop("copy")
+    both = once.withColumns({"before": F.lag("n").over(near), "after": F.lead("n").over(near)})
+    shared = both.where((F.col("before") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("after") * percent)).drop("before", "after")
+    return shared.select("shingle", "f1", "f2", "n", "place", F.lit(-1).alias("band"), F.lit(1).alias("parts"), F.lit(False).alias("guest"))
+
+
+def _hot(posts: DataFrame, percent: int) -> DataFrame:
+    """The posts of very frequent shingles in the cells where they have a candidate, without a window or a task for a shingle."""
     posts = posts.withColumn("band", band(F.col("n"), percent))
     found = written(cells(posts, percent), "cells")
-    size = found.agg(F.sum(F.col("rows") * ((F.coalesce("parts", F.lit(0)) + F.coalesce("up", F.lit(0))))).alias("rows"), F.count_if(F.col("rows") > GROUP).alias("large")).first()
     # posts of a large cell meet it by a salt
     salts = F.ceil(F.col("rows") / GROUP).cast("int")
     large = found.where(F.col("rows") > GROUP).select("shingle", "band", salts.alias("salts"))
-    large = F.broadcast(large) if size["large"] <= SENT_IDS else large
-    row = posts.select("shingle", "f1", "f2", "n", "place", "band")
-    dealt = row.join(large, ["shingle", "band"], "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("f1", "f2"), F.col("salts")), F.lit(0)).cast("int")).drop("salts")
+    large = F.broadcast(large) if large.count() <= SENT_IDS else large
+    dealt = posts.join(large, ["shingle", "band"], "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("f1", "f2"), F.col("salts")), F.lit(0)).cast("int")).drop("salts")
     salted = found.select("shingle", "band", "parts", "up", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-    kept = written(dealt.join(salted, ["shingle", "band", "salt"]).drop("salt").distinct(), "kept")
+    kept = dealt.join(salted, ["shingle", "band", "salt"]).drop("salt").distinct()
+    # own rows go to their band's cell, and as guests to the one above
+    to = F.filter(F.array(F.struct("band", "parts", F.lit(False).alias("guest")), F.struct((F.col("band") + 1).alias("band"), F.col("up").alias("parts"), F.lit(True).alias("guest"))), lambda x: x["parts"].isNotNull())
+    return kept.withColumn("to", F.explode(to)).select("shingle", "f1", "f2", "n", "place", "to.*")
+
+
+def candidates(posts: DataFrame, classes: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b), numbers of classes, of spanning forests of the candidates in each cell. hot: the shingles that are very frequent."""
+    rows = posts.select("shingle", "f1", "f2", "n", "place")
+    n_hot = hot.count()
+    hot = F.broadcast(hot) if n_hot <= SENT_IDS else hot
+    kept = _ordinary(rows.join(hot, "shingle", "left_anti") if n_hot else rows, percent)
+    if n_hot:
+        kept = kept.unionByName(_hot(rows.join(hot, "shingle", "left_semi"), percent))
+    kept = written(kept, "kept")
     # the number and the histogram of each class that is left
     left = kept.select("f1", "f2").distinct()
     sketches = posts.where("sketch is not null").select("f1", "f2", "sketch").join(left, ["f1", "f2"], "left_semi").dropDuplicates(["f1", "f2"])
     named = sketches.join(classes.select("f1", "f2", "node"), ["f1", "f2"])
-    # own rows go to their band's cell, and as guests to the one above; there to all pairs of parts with their part in it
-    to = F.filter(F.array(F.struct("band", "parts", F.lit(False).alias("guest")), F.struct((F.col("band") + 1).alias("band"), F.col("up").alias("parts"), F.lit(True).alias("guest"))), lambda x: x["parts"].isNotNull())
-    placed = kept.withColumn("to", F.explode(to)).select("shingle", "f1", "f2", "n", "place", "to.*").withColumn("part", F.pmod(F.xxhash64("f1", "f2"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    pairs = placed.withColumn("other", other).withColumn("tile", F.least("part", "other") * F.col("parts") + F.greatest("part", "other")).drop("other", "parts", "part")
-    tasks = max(int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(size["rows"] or 0) // TASK_ROWS))
+    # a row goes to all pairs of parts with its own in them
+    part = F.pmod(F.xxhash64("f1", "f2"), F.col("parts")).cast("int")
+    placed = kept.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pairs = placed.withColumn("tile", F.least("part", "other") * F.col("parts") + F.greatest("part", "other")).drop("other", "parts", "part")
+    size = kept.agg(F.sum("parts").alias("rows")).first()["rows"] or 0
+    tasks = max(int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_ROWS))
     tiled = pairs.join(named, ["f1", "f2"]).drop("f1", "f2").withColumn("task", F.pmod(F.xxhash64("shingle", "band", "tile"), F.lit(tasks)).cast("int"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -398,7 +422,8 @@ def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int
     classes = rows.where("n > 0 and id is not null").groupBy("n", "f1", "f2").agg(F.min("id").alias("first"), F.min_by("hash", F.struct("id", "hash")).alias("hash"), F.count("*").alias("of"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     posts = written(prefixes(texts.where("doc_id is not null"), ordered, words_, percent), "posts")
-    near = components(candidates(posts, classes, percent)).withColumnRenamed("component", "cluster")
+    hot = written(frequent.where(F.col("count") > GROUP).select("shingle"), "hot")
+    near = components(candidates(posts, classes, hot, percent)).withColumnRenamed("component", "cluster")
     members = written(near.join(classes, "node").select(F.col("node").alias("id"), "cluster", "n", "f1", "f2", "of", "first", "hash"), "members")
     sets = packed(_of(texts, members, members.count()), words_).join(members.select("f1", "f2", "id"), ["f1", "f2"]).select("id", "data")
     out = written(links(sets, members.select("id", "cluster", "n", "of"), percent), "links")
