@@ -349,3 +349,38 @@ def merged_by_row(points: DataFrame, observations: DataFrame, row: str = "row")
 def effect_against_growth(effects: DataFrame, growth: DataFrame, keys: Keys, marker: str) -> DataFrame:
     """By key, the regression of effect sizes (marker, effect) on growth rates (marker, growth) over common markers."""
     return regression(effects.join(growth, marker), "growth", "effect", keys)
+
+
+# Links of tracks to reads, tiles and time points
+
+
+def track_reads(tracks: DataFrame, matrix: list[list[float]], pixels: DataFrame, reads: DataFrame, order: str) -> DataFrame:
+    """(well, og_index, y_iss, x_iss, barcode): tracks (well, og_index, y, x) moved by a matrix (y, x order), the label (well, y, x, label) under them, and the barcode of that cell's last read by `order`; `0` where there is no cell or no read."""
+    from screenweave.functions.expressions import affine_point
+    from screenweave.operators.spatial import label_at
+
+    at = tracks.withColumn("_p", affine_point(matrix, F.col("y"), F.col("x"))).select("well", "og_index", F.col("_p.y").alias("y"), F.col("_p.x").alias("x"))
+    cells = label_at(at, pixels, ["well"])
+    last = reads.where(F.col("cell") != 0).groupBy("well", F.col("cell").alias("label")).agg(F.max_by("barcode", order).alias("barcode"))
+    out = cells.join(last, ["well", "label"], "left")
+    return out.select("well", "og_index", F.col("y").alias("y_iss"), F.col("x").alias("x_iss"), F.coalesce(F.col("barcode").cast("string"), F.lit("0")).alias("barcode"))
+
+
+def track_tiles(points: DataFrame, matrix: list[list[float]], boxes: DataFrame, cell: float, name: str) -> DataFrame:
+    """Points (well, og_index, y, x) moved by a matrix, with the first tile of boxes (well, tile, y0, x0, y1, x1) that holds them and the place in it: columns y_, x_, tile_, y_local_ and x_local_ with the name. Points outside of all tiles have null there."""
+    from screenweave.functions.expressions import affine_point
+    from screenweave.operators.spatial import first_box
+
+    at = points.withColumn("_p", affine_point(matrix, F.col("y"), F.col("x"))).select("well", "og_index", F.col("_p.y").alias("y"), F.col("_p.x").alias("x"))
+    found = first_box(at, boxes, ["well"], "og_index", "tile", cell).select("well", "og_index", F.col("tile").alias(f"tile_{name}"), (F.col("y") - F.col("y0")).alias(f"y_local_{name}"), (F.col("x") - F.col("x0")).alias(f"x_local_{name}"))
+    return at.select("well", "og_index", F.col("y").alias(f"y_{name}"), F.col("x").alias(f"x_{name}")).join(found, ["well", "og_index"], "left")
+
+
+def track_times(tracks: DataFrame, boxes: DataFrame, times: list[int], cell: float, name: str = "tracking") -> DataFrame:
+    """One row for each track (well, og_index) with its tile and its place in the unturned tile at each time, from long rows (well, og_index, t, y, x). The stitched plane shows tiles turned by a quarter and mirrored, which together swap the axes."""
+    from screenweave.operators.spatial import first_box
+
+    found = first_box(tracks.withColumn("_id", F.struct("og_index", "t")), boxes, ["well"], "_id", "tile", cell)
+    local = found.select("well", "og_index", "t", "tile", F.floor(F.col("x") - F.col("x0")).cast("int").alias("y_local"), F.floor(F.col("y") - F.col("y0")).cast("int").alias("x_local"))
+    pick = [F.max(F.when(F.col("t") == t, F.col(c))).alias(f"{c}_{name}_t{t}") for t in times for c in ("tile", "y_local", "x_local")]
+    return tracks.select("well", "og_index").distinct().join(local.groupBy("well", "og_index").agg(*pick), ["well", "og_index"], "left")

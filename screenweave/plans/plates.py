@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from screenweave.operators import plate, stats
-from screenweave.plans.registry import long, query, r
+from screenweave.plans.registry import _P, _points, long, query, r
 
 _READS = """
 reads AS (SELECT l_suppkey AS well, CASE WHEN l_discount > 0.02 THEN l_orderkey ELSE 0 END AS cell, p_name || ' ' || p_type AS barcode FROM lineitem JOIN part ON p_partkey = l_partkey),
@@ -358,3 +358,15 @@ SELECT a, b, n AS common, CASE WHEN n >= 3 THEN round({_student('rho', 'n')}, 4)
 def correlation_significance(t):
     m = t.lineitem.groupBy(F.concat("l_returnflag", "l_linestatus").alias("g"), F.col("l_suppkey").alias("i")).agg(F.sum("l_quantity").alias("v"))
     return stats.correlation_matrix(m, "i", "g", "v").select("a", "b", "common", r("p_value").alias("p_value"))
+
+
+@query(f"""
+WITH p AS (SELECT 'A' AS well, id, 0.5 * y + 3 AS y, 2 * x - 1 AS x FROM ({_P})), g AS (SELECT i * 8 + j AS tile, -400.0 + 100 * i AS y0, -400.0 + 100 * j AS x0, -280.0 + 100 * i AS y1, -280.0 + 100 * j AS x1 FROM range(8) a(i), range(8) b(j)),
+f AS (SELECT id, tile, y - y0 AS yl, x - x0 AS xl FROM p JOIN g ON y >= y0 AND y < y1 AND x >= x0 AND x < x1 QUALIFY row_number() OVER (PARTITION BY id ORDER BY tile) = 1)
+SELECT id AS og_index, round(y, 4) AS y_pheno, round(x, 4) AS x_pheno, tile::BIGINT AS tile_pheno, round(yl, 4) AS y_local_pheno, round(xl, 4) AS x_local_pheno FROM p LEFT JOIN f USING (id)""")
+def track_tiles(t):
+    g = t.spark.range(64).select(F.lit("A").alias("well"), F.col("id").alias("tile"), (F.floor(F.col("id") / 8) * 100 - 400).cast("double").alias("y0"), (F.col("id") % 8 * 100 - 400).cast("double").alias("x0"))
+    g = g.withColumns({"y1": F.col("y0") + 120, "x1": F.col("x0") + 120})
+    p = _points(t).select(F.lit("A").alias("well"), F.col("id").alias("og_index"), "y", "x")
+    o = plate.track_tiles(p, [[0.5, 0.0, 3.0], [0.0, 2.0, -1.0], [0.0, 0.0, 1.0]], g, 60.0, "pheno").drop("well")
+    return o.withColumns({c: r(c) for c in ("y_pheno", "x_pheno", "y_local_pheno", "x_local_pheno")})

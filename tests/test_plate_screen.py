@@ -328,3 +328,18 @@ def test_cumulative_transforms(spark, tmp_path):
     pytest.importorskip("yaml")
     (tmp_path / "c.yaml").write_text("a: [1, 2]\nb: {c: x}\n")
     assert tables.read_config(spark, f"{tmp_path}/c.yaml") == {"a": [1, 2], "b": {"c": "x"}}
+
+
+def test_track_links(spark):
+    tracks = spark.createDataFrame([("A", 0, 1.0, 2.0), ("A", 1, 4.0, 4.0), ("A", 2, 90.0, 90.0)], "well string, og_index int, y double, x double")
+    shift = [[1.0, 0.0, 1.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]]
+    pixels = spark.createDataFrame([("A", 2, 2, 7), ("A", 5, 4, 8)], "well string, y int, x int, label int")
+    reads = spark.createDataFrame([("A", 7, "AC", 1), ("A", 7, "AG", 2), ("A", 0, "TT", 3)], "well string, cell int, barcode string, k int")
+    got = {r["og_index"]: (r["y_iss"], r["barcode"]) for r in plate.track_reads(tracks, shift, pixels, reads, "k").collect()}
+    assert got == {0: (2.0, "AG"), 1: (5.0, "0"), 2: (91.0, "0")}
+    boxes = spark.createDataFrame([("A", "t0", 0.0, 0.0, 4.0, 4.0), ("A", "t1", 0.0, 3.0, 8.0, 8.0)], "well string, tile string, y0 double, x0 double, y1 double, x1 double")
+    got = {r["og_index"]: (r["tile_pheno"], r["y_local_pheno"], r["x_local_pheno"]) for r in plate.track_tiles(tracks, shift, boxes, 4.0, "pheno").collect()}
+    assert got == {0: ("t0", 2.0, 2.0), 1: ("t1", 5.0, 1.0), 2: (None, None, None)}
+    long = spark.createDataFrame([("A", 0, 1, 1.0, 3.5), ("A", 0, 2, 7.0, 4.0), ("A", 1, 1, 50.0, 50.0)], "well string, og_index int, t int, y double, x double")
+    got = {r["og_index"]: tuple(r)[2:] for r in plate.track_times(long, boxes, [1, 2], 4.0).collect()}
+    assert got == {0: ("t0", 3, 1, "t1", 1, 7), 1: (None,) * 6}
