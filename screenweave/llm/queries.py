@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from screenweave.llm import byte_bpe, context_tree, language_id, license_scan, ngram_join, phrases, source_mixing, string_tiling, token_attribution, toxicity, transport_stream, warc
+from screenweave.llm import byte_bpe, context_tree, language_id, license_scan, ngram_join, periodic_runs, phrases, source_mixing, string_tiling, token_attribution, toxicity, transport_stream, warc
 
 QUERIES = {
     "op1_language_id": language_id.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ngram_jaccard": ngram_join.query,
     "op9_token_attribution": token_attribution.query,
     "op10_toxicity": toxicity.query,
+    "op11_periodic_runs": periodic_runs.query,
     "op12_phrase_mining": phrases.query,
     "op13_byte_bpe": byte_bpe.query,
 }
