@@ -2,35 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-
-def _saved(df: DataFrame) -> DataFrame:
-    """The frame as a table in the shared checkpoint folder (where none is set, on one machine, under the warehouse)."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
-    path = f"{root.rstrip('/')}/labels-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from screenweave.operators.scratch import saved
 
 
 def merged(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(label, root): the smallest label that pairs connect with it. Labels jump to their root's root in each round, so rounds grow with the logarithm."""
-    edges = _saved(pairs.select(F.col(a).alias("x"), F.col(b).alias("y")).unionAll(pairs.select(F.col(b), F.col(a))).dropna().distinct())
-    now = _saved(edges.groupBy(F.col("x").alias("label")).agg(F.least(F.min("y"), F.col("x")).alias("root")))
+    edges = saved(pairs.select(F.col(a).alias("x"), F.col(b).alias("y")).unionAll(pairs.select(F.col(b), F.col(a))).dropna().distinct(), "labels")
+    now = saved(edges.groupBy(F.col("x").alias("label")).agg(F.least(F.min("y"), F.col("x")).alias("root")), "labels")
     while True:
         near = edges.join(now, edges["y"] == now["label"]).groupBy("x").agg(F.min("root").alias("near"))
         step = now.join(near, now["label"] == near["x"], "left").select("label", F.least("root", F.coalesce("near", "root")).alias("root"))
         jump = step.select(F.col("label").alias("root"), F.col("root").alias("up"))
-        after = _saved(step.join(jump, "root", "left").select("label", F.coalesce("up", "root").alias("root")))
+        after = saved(step.join(jump, "root", "left").select("label", F.coalesce("up", "root").alias("root")), "labels")
         moved = after.join(now.withColumnRenamed("root", "old"), "label").where("root <> old").limit(1).count()
         now = after
         if not moved:
