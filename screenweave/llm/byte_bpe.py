@@ -36,7 +36,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The published split pattern of the vocabulary, a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pre-tokens whose ids a worker remembers between chunks.
-MEMO = 200_000
+MEMO = 400_000
 #: Fields of sentencepiece's model file, fixed values: ModelProto, SentencePiece, TrainerSpec, NormalizerSpec.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 PIECE, SCORE, TYPE = 1, 2, 3
@@ -98,12 +98,12 @@ class Codec:
         if max(ranks.values()) >= 1 << 24:
             raise ValueError("a score holds ranks below 2^24 only")
         tokens = sorted(ranks, key=ranks.__getitem__)
-        self.id = np.array([ranks[t] for t in tokens], dtype=np.int32)
+        self.id = [ranks[t] for t in tokens]
         self.chars = {b: c for b, c in enumerate(alphabet())}
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=serialised(tokens, self.id.tolist()))
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=serialised(tokens, self.id))
         byte = {c: b for b, c in self.chars.items()}
-        self.bytes: list[bytes | None] = [None] * (int(self.id[-1]) + 1)
-        for k, i in enumerate(self.id.tolist()):
+        self.bytes: list[bytes | None] = [None] * (self.id[-1] + 1)
+        for k, i in enumerate(self.id):
             self.bytes[i] = bytes(byte[c] for c in self.model.id_to_piece(k))
         self.pretoken = regex.compile(pattern)
         self.cut = regex.compile(r"(?<=\S)(?=\s)")
@@ -114,9 +114,8 @@ class Codec:
         self.memo: dict[str, tuple[int, ...]] = {}
 
     def _pieces(self, raw: list[bytes]) -> list[tuple[int, ...]]:
-        id_ = self.id.tolist()
         mapped = [r.decode("latin-1").translate(self.chars) for r in raw]
-        return [tuple(map(id_.__getitem__, x)) for x in self.model.encode(mapped, num_threads=1)]
+        return [tuple(map(self.id.__getitem__, x)) for x in self.model.encode(mapped, num_threads=1)]
 
     def parts(self, text: str, limit: int = CHUNK_CHARS) -> Iterator[str]:
         """The text in parts of about `limit` characters that end where a pre-token does."""
@@ -127,17 +126,27 @@ class Codec:
         yield text[at:] if at else text
 
     def encode(self, text: str) -> np.ndarray:
-        out = []
-        for part in self.parts(text):
-            found = self.pretoken.findall(part)
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            new = [w for w in set(found) if w not in self.memo]
-            raw = [w.encode() for w in new]
-            for w, r, ids in zip(new, raw, self._pieces(raw)):
-                self.memo[w] = self.unreached.get(r, ids)
-            out.append(np.fromiter(chain.from_iterable(map(self.memo.__getitem__, found)), dtype=np.int32))
-        return out[0] if len(out) == 1 else np.concatenate(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; texts that fit in a part are looked at together."""
+        short = [k for k, t in enumerate(texts) if len(t) <= CHUNK_CHARS]
+        out = dict(zip(short, self._ids([self.pretoken.findall(texts[k]) for k in short])))
+        for k, t in enumerate(texts):
+            if k not in out:
+                out[k] = np.concatenate([self._ids([self.pretoken.findall(p)])[0] for p in self.parts(t)])
+        return [out[k] for k in range(len(texts))]
+
+    def _ids(self, found: list[list[str]]) -> list[np.ndarray]:
+        """The ids of each list of pre-tokens; those that the cache lacks are encoded once."""
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        new = list(set(chain.from_iterable(found)).difference(self.memo))
+        raw = [w.encode() for w in new]
+        self.memo.update(zip(new, self._pieces(raw)))
+        if self.unreached:
+            self.memo.update((w, self.unreached[r]) for w, r in zip(new, raw) if r in self.unreached)
+        return [np.fromiter(chain.from_iterable(map(self.memo.__getitem__, words)), dtype=np.int32) for words in found]
 
     def decode(self, ids: np.ndarray) -> bytes:
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.bytes)):
@@ -169,7 +178,7 @@ def encoded(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary
         for b in batches:
             texts = b.column(1).to_pylist()
             for part in chunks(texts):
-                ids = [own.encode(t or "") for t in texts[part]]
+                ids = own.encode_all([t or "" for t in texts[part]])
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays([b.column(0)[part], pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], names=["key", "ids"])
