@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from screenweave.functions import expressions as X
-from screenweave.operators import barcodes, keyed, labels, spatial, stats, tracks
+from screenweave.operators import barcodes, keyed, labels, rasters, spatial, stats, tracks
 
 FLAGSHIP = "plate_statistics"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -534,7 +534,8 @@ _PX = "SELECT l_suppkey AS label, l_partkey % 60 AS y, l_orderkey % 60 AS x, l_l
 
 def _raster(t, status=None):
     li = t.lineitem if status is None else t.lineitem.where(F.col("l_linestatus") == status)
-    return li.groupBy((F.col("l_partkey") % 60).alias("y"), (F.col("l_orderkey") % 60).alias("x")).agg(F.min(F.col("l_suppkey") % 40).alias("label"))
+    pixels = li.groupBy((F.col("l_partkey") % 60).alias("y"), (F.col("l_orderkey") % 60).alias("x")).agg(F.min(F.col("l_suppkey") % 40).alias("label"))
+    return rasters.packed(pixels, size=32)
 
 
 _RA, _RB, _RC = (f"SELECT l_partkey % 60 AS y, l_orderkey % 60 AS x, min(l_suppkey % 40) AS label FROM lineitem{k} GROUP BY 1, 2" for k in (" WHERE l_linestatus = 'F'", " WHERE l_linestatus = 'O'", ""))
@@ -545,17 +546,17 @@ WITH a AS ({_RA}), b AS ({_RB}), s AS (SELECT a.label AS label_a, b.label AS lab
 na AS (SELECT label, count(*) AS n FROM a GROUP BY 1), nb AS (SELECT label, count(*) AS n FROM b GROUP BY 1)
 SELECT label_a, label_b, shared, round(shared / (na.n + nb.n - shared)::DOUBLE, 5) AS iou FROM s JOIN na ON na.label = label_a JOIN nb ON nb.label = label_b WHERE shared / (na.n + nb.n - shared)::DOUBLE > 0.01""")
 def label_overlap(t):
-    return spatial.overlaps(_raster(t, "F"), _raster(t, "O"), 0.01).withColumn("iou", r("iou", 5))
+    return rasters.overlaps(_raster(t, "F"), _raster(t, "O"), 0.01).withColumn("iou", r("iou", 5))
 
 
 @query(f"WITH a AS ({_RC}) SELECT label, round(avg(y), 4) AS y, round(avg(x), 4) AS x, count(*) AS area, min(y) AS min_row, min(x) AS min_col, max(y) + 1 AS max_row, max(x) + 1 AS max_col FROM a WHERE label > 0 GROUP BY 1")
 def label_centroids(t):
-    return spatial.label_stats(_raster(t)).withColumns({"y": r("y"), "x": r("x")})
+    return rasters.label_stats(_raster(t)).withColumns({"y": r("y"), "x": r("x")})
 
 
 @query(f"WITH a AS ({_RC}) SELECT floor(y / 20)::BIGINT AS row, floor(x / 20)::BIGINT AS \"column\", count(DISTINCT CASE WHEN label > 0 THEN label END) AS labels FROM a GROUP BY 1, 2")
 def confluency(t):
-    o = spatial.confluency(_raster(t), 20)
+    o = rasters.confluency(_raster(t), 20)
     return o.select(long("row").alias("row"), long("column").alias("column"), "labels")
 
 

@@ -133,7 +133,7 @@ def rows(df):
     return cols, sorted(map(tuple, df[cols].map(show).to_numpy().tolist()))
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query_gives_what_sql_gives(spark, name):
     con = duckdb.connect()
     for t in "region nation customer supplier part orders lineitem events documents embeddings labels benchmark".split():
