@@ -5,10 +5,14 @@ Lines are pixels (part and order numbers give the place), orders are spots and c
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from screenweave.operators import basecalling, rasters
+from screenweave.operators.scratch import shared
 from screenweave.plans.registry import _RC, _raster, long, query, r
+from screenweave.sources import zarr_sink
 
 _SPOTS = "SELECT o_orderkey AS id, o_custkey % 70 AS y, o_orderkey % 70 AS x FROM orders"
 
@@ -53,3 +57,13 @@ def base_calls(t):
     bases = rasters.intensities(spots, _planes(t), size=60).withColumn("tile", F.floor(F.col("y") / 30) * 2 + F.floor(F.col("x") / 30))
     calls = basecalling.call_reads(bases.withColumnRenamed("id", "read"), ["tile"])
     return calls.select("tile", "read", long("cell").alias("cell"), "barcode", r("Q_min").alias("Q_min"))
+
+
+@query(f"WITH a AS ({_RC}) SELECT label, round(avg(y), 4) AS y, round(avg(x), 4) AS x, count(*) AS area FROM a WHERE label > 0 GROUP BY 1")
+def stored_labels(t):
+    """Labels written as a sharded array, resharded, read again and measured."""
+    path = f"{shared(t.spark)}/labels-{uuid.uuid4().hex}"
+    tiles = _raster(t).withColumn("index", F.array().cast("array<int>"))
+    zarr_sink.written(tiles, f"{path}/a", [60, 60], [8, 8], "<i8", [16, 32])
+    zarr_sink.resharded(t.spark, f"{path}/a", f"{path}/b", [20, 20], [60, 20])
+    return rasters.label_stats(zarr_sink.tiles_of(t.spark, f"{path}/b")).select("label", r("y").alias("y"), r("x").alias("x"), "area")

@@ -1,8 +1,12 @@
-"""Spark data sources of array files: `npy` points, `zarr` planes and `zarr_columns` (versions 2 and 3).
+"""Spark data sources of array files: `npy` points, `zarr` and `zarr_tiles` planes, `zarr_columns` (versions 2 and 3).
 
-The driver reads the arrays' metadata only; a task reads its own chunks, or of a sharded chunk the parts that it needs,
-through the file system that the path names (local, HDFS, S3: what pyarrow opens). Chunks that aren't there have the
-fill value. Compression: zlib, gzip, zstd, and blosc containers of lz4, zlib and zstd with byte shuffle.
+The driver reads the arrays' metadata only and deals ranges of chunks; a task reads its own chunks, or of a sharded chunk
+the parts that it needs, through the file system that the path names (local, HDFS, S3: what pyarrow opens), and gives
+Arrow batches. Chunks that aren't there have the fill value. Compression: zlib, gzip, zstd, and blosc containers of lz4,
+zlib and zstd with byte shuffle; stores with other codecs (blosc's bit shuffle, lz4 or bz2 by themselves) are refused.
+
+Values keep their types: `zarr_tiles` gives an array's own type and bytes, `zarr_columns` integers as long. `zarr` is for image
+kernels and gives float32; integers that float32 can't hold are an error there, not rounded.
 """
 
 from __future__ import annotations
@@ -17,12 +21,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition
 
 #: Chunks that one task reads.
 CHUNKS = 16
+#: Rows of a batch.
+ROWS = 100_000
 
 
 def _open(path: str):
@@ -246,13 +253,15 @@ class NpyReader(_Reader):
     def partitions(self) -> list[InputPartition]:
         return [Part(f) for f in _files(self.path, "*.npy")]
 
-    def read(self, partition: Part) -> Iterator[tuple]:
+    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         import io
 
         system, _ = _open(self.path)
         name = partition.value.rsplit("/", 1)[-1].removesuffix(".npy")
-        for k, (y, x) in enumerate(np.load(io.BytesIO(_bytes(system, partition.value)))):
-            yield name, k, float(y), float(x)
+        points = np.load(io.BytesIO(_bytes(system, partition.value))).astype(float).reshape(-1, 2)
+        for k in range(0, len(points), ROWS):
+            part = points[k : k + ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array(np.arange(k, k + len(part))), *(pa.array(np.ascontiguousarray(c)) for c in part.T)], names=["file", "spot_id", "y", "x"])
 
 
 class NpySource(DataSource):
@@ -289,15 +298,16 @@ class ZarrReader(_Reader):
                     spans.append(sorted({k // c for k in wanted[axis]}))
                 else:
                     spans.append(range(n))
-            every = itertools.product(*spans)
-            while group := list(itertools.islice(every, CHUNKS)):
-                out.append(Part((a, group, window, wanted)))
+            total = int(np.prod([len(x) for x in spans]))
+            out += [Part((a, spans, range(k, min(k + CHUNKS, total)), window, wanted)) for k in range(0, total, CHUNKS)]
         return out
 
-    def read(self, partition: Part) -> Iterator[tuple]:
-        a, group, window, wanted = partition.value
-        for at in group:
-            chunk = a.chunk(list(at))
+    def planes(self, part: tuple) -> Iterator[tuple[str, list[int], int, int, np.ndarray]]:
+        """(store, index, y0, x0, plane) of each plane of a task's chunks."""
+        a, spans, group, window, wanted = part
+        for k in group:
+            at = [span[j] for span, j in zip(spans, np.unravel_index(k, [len(x) for x in spans]))]
+            chunk = a.chunk(at)
             start = [k * c for k, c in zip(at, a.chunks)]
             y0, x0 = start[-2:]
             if window:
@@ -308,9 +318,31 @@ class ZarrReader(_Reader):
                 index = [int(s + k) for s, k in zip(start[:-2], lead)]
                 if any(axis < len(wanted) and wanted[axis] is not None and k not in wanted[axis] for axis, k in enumerate(index)):
                     continue
-                plane = np.ascontiguousarray(chunk[lead], dtype=np.float32)
-                if plane.size:
-                    yield a.store, index, y0, x0, plane.shape[0], plane.shape[1], plane.tobytes()
+                if chunk[lead].size:
+                    yield a.store, index, y0, x0, chunk[lead]
+
+    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+        for store, index, y0, x0, plane in self.planes(partition.value):
+            yield pa.RecordBatch.from_pylist([{"store": store, "index": index, "y0": y0, "x0": x0, "h": plane.shape[0], "w": plane.shape[1], "pixels": floats(plane).tobytes()}], _PLANES)
+
+
+class TilesReader(ZarrReader):
+    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+        for store, index, y0, x0, plane in self.planes(partition.value):
+            plane = np.ascontiguousarray(plane, dtype=plane.dtype.newbyteorder("<"))
+            yield pa.RecordBatch.from_pylist([{"store": store, "index": index, "y0": y0, "x0": x0, "h": plane.shape[0], "w": plane.shape[1], "dtype": plane.dtype.str, "data": plane.tobytes()}], _TILES)
+
+
+_PLANES = pa.schema([("store", pa.string()), ("index", pa.list_(pa.int32())), ("y0", pa.int32()), ("x0", pa.int32()), ("h", pa.int32()), ("w", pa.int32()), ("pixels", pa.binary())])
+_TILES = pa.schema([("store", pa.string()), ("index", pa.list_(pa.int32())), ("y0", pa.int64()), ("x0", pa.int64()), ("h", pa.int32()), ("w", pa.int32()), ("dtype", pa.string()), ("data", pa.binary())])
+
+
+def floats(plane: np.ndarray) -> np.ndarray:
+    """The plane as float32; integers that float32 can't hold are an error."""
+    out = np.ascontiguousarray(plane, dtype=np.float32)
+    if plane.dtype.kind in "iu" and plane.dtype.itemsize > 2 and plane.size and (int(plane.max()) > 1 << 24 or int(plane.min()) < -(1 << 24)):
+        raise ValueError("integers beyond 2^24 don't fit float32: read them as zarr_tiles")
+    return out
 
 
 class ZarrSource(DataSource):
@@ -327,6 +359,25 @@ class ZarrSource(DataSource):
         return ZarrReader(self.options)
 
 
+class TilesSource(DataSource):
+    """Planes of chunks in their own type, as `operators.rasters` has tiles: (store, index: the leading axes, y0, x0, h, w, dtype, data). Also a sink, see `sources.zarr_sink`."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "zarr_tiles"
+
+    def schema(self) -> str:
+        return "store string, index array<int>, y0 long, x0 long, h int, w int, dtype string, data binary"
+
+    def reader(self, schema) -> DataSourceReader:
+        return TilesReader(self.options)
+
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        from screenweave.sources.zarr_sink import ShardWriter
+
+        return ShardWriter(self.options, overwrite)
+
+
 class ColumnsReader(_Reader):
     def partitions(self) -> list[InputPartition]:
         names = (self.options.get("arrays") or "*").split(",")
@@ -338,35 +389,43 @@ class ColumnsReader(_Reader):
                 out += [Part((a, place, list(group))) for group in itertools.batched(range(a.grid()[0]), CHUNKS)]
         return out
 
-    def read(self, partition: Part) -> Iterator[tuple]:
+    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         a, place, group = partition.value
         rest = a.grid()[1:]
         for at in group:
             for tail in np.ndindex(*rest):
                 chunk = a.chunk([at, *tail])
                 begin = [k * c for k, c in zip([at, *tail], a.chunks)]
-                for where in np.ndindex(*chunk.shape):
-                    v = chunk[where]
-                    text = str(v) if a.strings else None
-                    yield place, int(begin[0] + where[0]), [int(b + w) for b, w in zip(begin[1:], where[1:])], None if text is not None else float(v), text
+                where = [w.ravel() + b for w, b in zip(np.indices(chunk.shape), begin)]
+                flat, n = chunk.ravel(), chunk.size
+                for k in range(0, n, ROWS):
+                    part = flat[k : k + ROWS]
+                    index = np.stack([w[k : k + ROWS] for w in where[1:]], axis=1).astype(np.int32) if len(where) > 1 else np.zeros((len(part), 0), np.int32)
+                    index = pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * index.shape[1], index.ravel())
+                    none = lambda t: pa.nulls(len(part), t)  # noqa: B023, E731
+                    whole = not a.strings and part.dtype.kind in "iub"
+                    number = pa.array(part.astype(np.int64)) if whole and not (part.dtype == np.dtype("u8") and part.max(initial=0) >= 1 << 63) else none(pa.int64())
+                    value = none(pa.float64()) if a.strings else pa.array(part.astype(float))
+                    text = pa.array([str(v) for v in part], pa.string()) if a.strings else none(pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array([place] * len(part)), pa.array(where[0][k : k + ROWS].astype(np.int64)), index, value, number, text], names=["array", "row", "index", "value", "number", "text"])
 
 
 class ColumnsSource(DataSource):
-    """Arrays by their first axis: (array: the place below the path, row, index: the other axes, value, text). For tables that are stored as one array for each column."""
+    """Arrays by their first axis: (array: the place below the path, row, index: the other axes, value, number, text). Integers have a number, exactly, besides the value. For tables that are stored as one array for each column."""
 
     @classmethod
     def name(cls) -> str:
         return "zarr_columns"
 
     def schema(self) -> str:
-        return "array string, row long, index array<int>, value double, text string"
+        return "array string, row long, index array<int>, value double, number long, text string"
 
     def reader(self, schema) -> DataSourceReader:
         return ColumnsReader(self.options)
 
 
 def register(spark: SparkSession) -> None:
-    for source in (NpySource, ZarrSource, ColumnsSource):
+    for source in (NpySource, ZarrSource, TilesSource, ColumnsSource):
         spark.dataSource.register(source)
 
 
@@ -383,8 +442,10 @@ def track_graph(spark: SparkSession, path: str, props: list[str]) -> tuple[DataF
     """Nodes (id and the wanted properties) and edges (src, dst) of a track graph in a zarr group: nodes/ids, nodes/props/<name>/values, edges/ids."""
     read = lambda arrays: spark.read.format("zarr_columns").option("arrays", arrays).load(path)
     places = {"nodes/ids": "id"} | {f"nodes/props/{p}/values": p for p in props}
-    nodes = _wide(read(",".join(places)), places).drop("row").withColumn("id", F.col("id").cast("long"))
-    pair = read("edges/ids").groupBy("row").agg(*[F.max(F.when(F.col("index")[0] == k, F.col("value"))).cast("long").alias(n) for k, n in enumerate(("src", "dst"))])
+    rows = read(",".join(places))
+    ids = rows.where("array = 'nodes/ids'").select("row", F.col("number").alias("id"))
+    nodes = ids.join(_wide(rows, {p: c for p, c in places.items() if c != "id"}), "row", "left").drop("row") if props else ids.drop("row")
+    pair = read("edges/ids").groupBy("row").agg(*[F.max(F.when(F.col("index")[0] == k, F.col("number"))).alias(n) for k, n in enumerate(("src", "dst"))])
     return nodes, pair.drop("row")
 
 
@@ -393,10 +454,10 @@ def observations(spark: SparkSession, path: str, columns: list[str]) -> DataFram
     arrays_ = ",".join(f"obs/{c}{suffix}" for c in columns for suffix in ("", "/codes", "/categories"))
     rows = spark.read.format("zarr_columns").option("arrays", arrays_).load(path)
     out = rows.where(~F.col("array").endswith("/categories")).select("row").distinct()
-    shown = F.coalesce("text", F.when(F.col("value") == F.floor("value"), F.col("value").cast("long").cast("string")).otherwise(F.col("value").cast("string")))
+    shown = F.coalesce("text", F.col("number").cast("string"), F.when(F.col("value") == F.floor("value"), F.col("value").cast("long").cast("string")).otherwise(F.col("value").cast("string")))
     for c in columns:
         plain = rows.where(F.col("array") == f"obs/{c}").select("row", shown.alias(c))
-        codes = rows.where(F.col("array") == f"obs/{c}/codes").select("row", F.col("value").cast("long").alias("_code"))
+        codes = rows.where(F.col("array") == f"obs/{c}/codes").select("row", F.col("number").alias("_code"))
         names = rows.where(F.col("array") == f"obs/{c}/categories").select(F.col("row").alias("_code"), shown.alias(c))
         out = out.join(plain.unionByName(codes.join(names, "_code", "left").select("row", c)), "row", "left")
     return out
