@@ -12,7 +12,9 @@ digest, and all others are written where they were read.
 `read` streams archive files of any size, record by record: Spark's text reader decompresses (several gzip members in
 one file too) and cuts at the words that begin a record; where a block holds these words itself, the pieces are put
 together again by its content length. `assemble` groups the records by the identifier that they are concurrent to and
-gives one nested row for each capture.
+gives one nested row for each capture. No record is lost: captures without an identifier have a row each, of captures with
+the same one each has a row with a `repeat` number, and more than ATTACHED requests or metadata records of a capture go on
+in rows of higher numbers, so rows are bounded. One identifier's records meet in one task, which sorts them on disk.
 
 Defined results: a null payload is empty; a null id is written and read as null, and sorts last among equal payloads;
 of rows with equal id and payload one is the response. A null url is written as `about:blank` and read as null; line
@@ -20,7 +22,9 @@ ends in urls are percent-encoded. Requests or metadata whose capture is missing
 give no captures. Records of other kinds (warcinfo) belong to no capture. Damage doesn't raise: a record without a valid
 content length has null block_bytes and no payload, and the next one is read; a block that is shorter than its content
 length (a cut archive) has digest_ok false and what is there as payload; a response without an empty line after its HTTP
-header has null payload and digest_ok false; numbers that don't parse are null; a broken gzip stream ends its file's records.
+header has null payload and digest_ok false; numbers that don't parse are null. A broken or cut gzip stream ends its file's
+records; such a file, and any that doesn't end with a whole record and its line ends, is incomplete: `files` says so for each
+file, and `read(truncated=True)` gives it one more row, of kind `truncated`. A file without a first record has no row.
 """
 
 from __future__ import annotations
@@ -33,12 +37,15 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from screenweave.llm.common import BATCH_BYTES, bounded, shared_dir, table, tidy, written
 
 MIN_REVISIT = 100
 #: Captures in one archive file, three records each.
 CAPTURES = 400
+#: Requests, and metadata records, in one row of a capture.
+ATTACHED = 1000
 #: Bits of the table that tells which digests may repeat: at most BITS / 64 rows, some 40 MB as a hash table.
 BITS = 1 << 25
 #: Repeated digests up to this number (some 100 bytes each) are broadcast.
@@ -158,56 +165,82 @@ def _begun(piece: bytes) -> tuple[bytes, int] | None:
     return data, (_number(_fields(head)[1].get("content-length")) or 0) - len(block)
 
 
-def whole(pieces: Iterator[tuple[str | None, bytes]]) -> Iterator[bytes]:
-    """Records from the pieces (file, bytes between two separators) of archive files, in their order.
+def whole_by_file(pieces: Iterator[tuple[str | None, bytes]], broken: list[str | None]) -> Iterator[tuple[str | None, bytes]]:
+    """Each file's records from the pieces (file, bytes between two separators) of archive files, in their order.
 
     A separator within a block belongs to the block: pieces are added until the content length is reached. One that the
-    reader has overlooked is found behind the block.
+    reader has overlooked is found behind the block. Files that don't end with a whole record and line ends are added to `broken`.
     """
-    now, parts, missing = None, [], 0
+    now, parts, missing, last, begun_any = None, [], 0, b"", False
 
-    def closed() -> Iterator[bytes]:
-        nonlocal parts, missing
+    def closed() -> Iterator[tuple[str | None, bytes]]:
+        nonlocal parts, missing, last
         while parts and missing <= 0:
             data = b"".join(parts)
-            yield data[: len(data) + missing]
-            _, found, rest = data[len(data) + missing :].partition(_SEPARATOR)
+            yield now, data[: len(data) + missing]
+            last, found, rest = data[len(data) + missing :].partition(_SEPARATOR)
             begun = _begun(rest) if found else None
             parts, missing = ([begun[0]], begun[1]) if begun else ([], 0)
 
+    def ended() -> None:
+        if begun_any and (parts or not last or last.strip(b"\r\n")):
+            broken.append(now)
+
     for file, piece in pieces:
         if parts and file == now:
             parts += [_SEPARATOR, piece]
             missing -= len(_SEPARATOR) + len(piece)
         else:
+            if file != now:
+                ended()
+                last, begun_any = b"", False
             if parts:  # the file ended within the block
-                yield b"".join(parts)
+                yield now, b"".join(parts)
             now, begun = file, _begun(piece)
             parts, missing = ([begun[0]], begun[1]) if begun else ([], 0)
+            begun_any |= bool(begun)
         yield from closed()
+    ended()
     if parts:
-        yield b"".join(parts)
+        yield now, b"".join(parts)
+
+
+def whole(pieces: Iterator[tuple[str | None, bytes]]) -> Iterator[bytes]:
+    """The records alone."""
+    return (data for _, data in whole_by_file(pieces, []))
 
 
-def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """A row for each record of the archives in a folder. Uncompressed archives of more than one split should be compressed first: only a gzip file is read by one task from its beginning."""
+def read(spark: SparkSession, path: str, payloads: bool = True, truncated: bool = False) -> DataFrame:
+    """A row for each record of the archives in a folder. Uncompressed archives of more than one split should be compressed first: only a gzip file is read by one task from its beginning.
+
+    `truncated`: with the record's `file`, and a row of kind `truncated` for each incomplete file.
+    """
     bounded(spark)
-    names = [x.split()[0] for x in RECORD.split(", ")]
+    schema = f"{RECORD}, file string" if truncated else RECORD
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = ((f, bytes(v)) for b in batches for f, v in zip(b["file"], b["value"]))
-        rows, size = [], 0
-        for data in whole(pieces):
-            rows.append(record(data, payloads))
+        rows, size, broken = [], 0, []
+        for file, data in whole_by_file(pieces, broken):
+            rows.append((*record(data, payloads), file) if truncated else record(data, payloads))
             size += len(data) if payloads else 500
             if size > BATCH_BYTES:
                 yield _frame(rows, names)
                 rows, size = [], 0
+        if truncated:
+            rows += [(None, "truncated", *[None] * (len(names) - 3), file) for file in broken]
         yield _frame(rows, names)
         tidy()
 
     lines = spark.read.option("lineSep", _SEPARATOR.decode()).option("ignoreCorruptFiles", True).text(path)
-    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value")).mapInPandas(run, RECORD)
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value")).mapInPandas(run, schema)
+
+
+def files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, records, complete) of the archives in a folder: whether each ends with a whole record."""
+    cut = F.col("kind") == "truncated"
+    return read(spark, path, payloads=False, truncated=True).groupBy("file").agg(F.count_if(~F.coalesce(cut, F.lit(False))).alias("records"), (F.count_if(cut) == 0).alias("complete"))
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
@@ -216,16 +249,22 @@ def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
 
 
 def assemble(found: DataFrame) -> DataFrame:
-    """One nested row for each capture: capture_id, capture (the response or revisit), requests, metadata."""
-    capture = F.coalesce("concurrent_to", "record_id").alias("capture_id")
-    whole = F.struct(*[c for c in found.columns if c != "concurrent_to"])
-    of = lambda *kinds: F.when(F.col("kind").isin(*kinds), whole)
-    kinds = ("request", "response", "revisit", "metadata", "resource", "conversion")
-    return found.where(F.col("kind").isin(*kinds)).groupBy(capture).agg(
-        F.any_value(of("response", "revisit", "resource", "conversion"), ignoreNulls=True).alias("capture"),
-        F.sort_array(F.collect_list(of("request"))).alias("requests"),
-        F.sort_array(F.collect_list(of("metadata"))).alias("metadata"),
+    """Nested rows of captures: capture_id, repeat (0 for an identifier's first), capture (the response or revisit), requests, metadata."""
+    kinds = {"request": "request", "metadata": "metadata"} | dict.fromkeys(("response", "revisit", "resource", "conversion"), "capture")
+    part = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])[F.col("kind")]
+    known = F.coalesce("concurrent_to", "record_id")
+    rows = found.where(F.col("kind").isin(*kinds)).select(
+        known.alias("capture_id"), F.when(known.isNull(), F.monotonically_increasing_id()).alias("_own"), part.alias("_part"), F.struct(*[c for c in found.columns if c != "concurrent_to"]).alias("_record"),
     )
+    key = F.coalesce(F.col("capture_id"), F.col("_own").cast("string"))
+    order = Window.partitionBy(key, F.col("capture_id").isNull(), "_part").orderBy("_record.page_id", "_record.record_id", "_record.url", "_record.payload_digest", "_record.block_bytes")
+    place = F.row_number().over(order) - 1
+    numbered = rows.withColumn("repeat", F.when(F.col("_part") == "capture", place).otherwise(F.floor(place / ATTACHED)).cast("int"))
+    of = lambda part: F.when(F.col("_part") == part, F.col("_record"))
+    return numbered.groupBy(key.alias("_key"), F.col("capture_id").isNull().alias("_none"), "repeat").agg(
+        F.any_value("capture_id").alias("capture_id"), F.any_value(of("capture"), ignoreNulls=True).alias("capture"),
+        F.sort_array(F.collect_list(of("request"))).alias("requests"), F.sort_array(F.collect_list(of("metadata"))).alias("metadata"),
+    ).drop("_key", "_none")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

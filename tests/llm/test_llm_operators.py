@@ -900,3 +900,29 @@ def test_toxicity_sample_of_repeated_ids(spark):
     known = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
     rows, _ = toxicity.sampled(docs, known)
     assert sorted((r["t"], r["y"]) for r in rows.collect()) == [("a b", 1), ("c d", 1), ("e", 0)]
+
+
+def test_warc_loses_no_record(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ATTACHED", 2)
+    row = lambda i, kind, to=None, page=None: (i, kind, to, None, None, page, None, None, None, 1, None, None, None, None)
+    rows = [row(None, "response", page=k) for k in range(3)] + [row("a", "response", page=k) for k in (7, 8)] + [row("r0", "request", "a"), row(None, "request"), row(None, "metadata")]
+    rows += [row(f"m{k}", "metadata", "a") for k in range(5)] + [row("b", "revisit", page=9), row("x", "warcinfo"), row("q", "request", "gone")]
+    got = warc.assemble(spark.createDataFrame(rows, warc.RECORD).repartition(3)).collect()
+    want = [(None, 0, 0, 0, 0), (None, 0, 1, 0, 0), (None, 0, 2, 0, 0), (None, 0, None, 1, 0), (None, 0, None, 0, 1), ("a", 0, 7, 1, 2), ("a", 1, 8, 0, 2), ("a", 2, None, 0, 1), ("b", 0, 9, 0, 0), ("gone", 0, None, 1, 0)]
+    assert sorted(str((r.capture_id, r.repeat, r.capture.page_id if r.capture else None, len(r.requests), len(r.metadata))) for r in got) == sorted(map(str, want))
+
+
+def test_warc_shows_truncated_files(spark, tmp_path):
+    pages = spark.createDataFrame([(k, f"http://h/{k}", prose(k, 80)) for k in range(60)], "page_id long, url string, html string").coalesce(1)
+    warc.write(pages, str(tmp_path / "w"))
+    (file,) = [f for f in os.listdir(tmp_path / "w") if f.endswith(".gz")]
+    assert [(r.records, r.complete) for r in warc.files(spark, str(tmp_path / "w")).collect()] == [(180, True)]
+    data = (tmp_path / "w" / file).read_bytes()
+    for name, content in (("half.gz", data[: len(data) // 2]), ("tail.gz", data[:-30]), ("plain.txt", gzip.decompress(data)[:-500])):
+        folder = tmp_path / name.replace(".", "_")
+        folder.mkdir()
+        (folder / "whole.gz").write_bytes(data)
+        (folder / name).write_bytes(content)
+        cut = warc.read(spark, str(folder), truncated=True).where("kind = 'truncated'").collect()
+        assert [r.file.rsplit("/", 1)[-1] for r in cut] == [name]
+        assert {r.file.rsplit("/", 1)[-1]: r.complete for r in warc.files(spark, str(folder)).collect()} == {"whole.gz": True, name: False}
