@@ -16,6 +16,9 @@ of them) depend on all shards; those are summed up and sent to every task.
 
 Grams are exact (the bytes themselves, DEPTH + 1 of them in 64 bits). Words are told apart by 64-bit hashes.
 
+Blocks hold BLOCK_BYTES of text or one longer text; repeats of a row beyond that are dealt to several blocks. The table is read
+twice and must be the same both times.
+
 Defined results: null texts are empty; an empty text has one token, the end. Without training rows every bit has
 probability 1/2. Equal texts get equal scores. Repeated rows count each time. Other columns are not looked at.
 """
@@ -292,8 +295,15 @@ def scored(docs: DataFrame, learn, text: str = "text", key: str = "doc_id", shar
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     growth = max(1.0, total / EVEN_BYTES) ** 0.5
     blocks, shards = max(MIN_BLOCKS, int(-(-total // (block_bytes * growth)))), int(shards * growth)
-    # a text's own hash spreads a hot id; the size of a block is bounded by that of the texts in it
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    # a text's own hash spreads a hot id
+    rows = rows.withColumns({"row": F.monotonically_increasing_id(), "hash": F.xxhash64("doc_id", "text")})
+    # repeats that would overfill a block are dealt to several: at most as many as there are blocks' worth of text
+    of, salt = F.count("*") * F.max(F.octet_length("text") + 64), F.lit(0)
+    many = written(rows.groupBy("hash").agg(F.count("*").alias("of"), F.ceil(of / block_bytes).cast("int").alias("salts")).where("of > 1 AND salts > 1").select("hash", "salts"), "repeats")
+    if not many.isEmpty():
+        rows = rows.join(many, "hash", "left")
+        salt = F.coalesce(F.pmod("row", F.col("salts")), F.lit(0))
+    rows = rows.select("doc_id", "text", "learn", F.pmod(F.xxhash64("hash", salt), F.lit(blocks)).cast("int").alias("block"))
 
     def ask(block: pd.DataFrame) -> pd.DataFrame:
         texts, train, out = block["text"].tolist(), block["learn"].to_numpy(bool), []
@@ -424,7 +434,9 @@ def _at(table_: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
     slots[(own * factor) >> bits] = np.arange(len(own), dtype=np.int32)
     at = slots[(keys * factor) >> bits]
     wrong = np.flatnonzero(own[at] != keys)
-    at[wrong] = np.searchsorted(own, keys[wrong])
+    at[wrong] = np.minimum(np.searchsorted(own, keys[wrong]), len(own) - 1)
+    if (own[at[wrong]] != keys[wrong]).any():
+        raise RuntimeError("a block has texts for which it didn't ask: the table has changed between its two scans")
     return value[at]
 
 

@@ -926,3 +926,26 @@ def test_warc_shows_truncated_files(spark, tmp_path):
         cut = warc.read(spark, str(folder), truncated=True).where("kind = 'truncated'").collect()
         assert [r.file.rsplit("/", 1)[-1] for r in cut] == [name]
         assert {r.file.rsplit("/", 1)[-1]: r.complete for r in warc.files(spark, str(folder)).collect()} == {"whole.gz": True, name: False}
+
+
+def test_context_tree_deals_repeats_to_blocks(spark):
+    texts = [prose(k, 40) for k in range(12)] + [prose(3, 40)] * 900
+    ids = list(range(12)) + [3] * 900
+    docs = documents(spark, texts, ids=ids).repartition(7)
+    learn = F.col("doc_id") % 3 != 1
+    plain = {r.doc_id: r.score for r in context_tree.scored(docs, learn).collect()}
+    got = context_tree.scored(docs, learn, block_bytes=4000).collect()  # 900 equal rows are some 60 such blocks
+    assert len(got) == len(texts) and all(math.isclose(r.score, plain[r.doc_id], rel_tol=1e-9) for r in got)
+
+
+def test_ngram_join_counts_frequent_shingles_in_any_layout(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "GROUP", 16)
+    seen = []
+    real = ngram_join.candidates
+    monkeypatch.setattr(ngram_join, "candidates", lambda posts, classes, hot, percent: seen.append(hot.count()) or real(posts, classes, hot, percent))
+    shared = "the very same words begin here"
+    texts = [shared, *(f"{shared} {prose(k, 3)}" for k in range(60))]
+    for parts in (1, 61):  # one task, or a task for each row
+        out = ngram_join.joined(documents(spark, texts).repartition(parts, "doc_id"), percent=30)
+        assert out.count() == len(texts)
+    assert seen[0] == seen[1] > 0
