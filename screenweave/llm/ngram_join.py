@@ -9,9 +9,8 @@ PERCENT * union.
    order gives the same links - so leaving out some affects speed alone.
 2. Size-derived bounds: linked sets share a shingle within the first (100 - PERCENT) % of each, in that order. A second
    pass emits these prefixes as (shingle, class, size, place), a class once for each task. Shingles without two classes
-   of near sizes drop out in a window over the shingle's few classes. The very frequent shingles (over GROUP by the counts
-   of the first pass, which miss one occurrence a task's 2 million shingles at most, so that this bounds the windows) go
-   another way: linked sizes are in the same or in neighbouring bands, aggregation by (shingle, band) tells which of these
+   of near sizes drop out in a window over the shingle's few classes, GROUP rows at most: prefixes are counted by shingle, all
+   of them, whatever the table's layout. The more frequent shingles go another way: linked sizes are in the same or in neighbouring bands, aggregation by (shingle, band) tells which of these
    cells have a candidate, and a cell's rows are dealt over tasks by a salt.
 3. In a shingle or cell, a pair is a candidate if sizes, places and a histogram of the shingle hashes all allow a sufficient overlap
    (each is an upper bound, so no link is lost). Of the candidates only a spanning forest is emitted, never all pairs. A
@@ -422,7 +421,7 @@ def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int
     classes = rows.where("n > 0 and id is not null").groupBy("n", "f1", "f2").agg(F.min("id").alias("first"), F.min_by("hash", F.struct("id", "hash")).alias("hash"), F.count("*").alias("of"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     posts = written(prefixes(texts.where("doc_id is not null"), ordered, words_, percent), "posts")
-    hot = written(frequent.where(F.col("count") > GROUP).select("shingle"), "hot")
+    hot = written(posts.groupBy("shingle").agg(F.count("*").alias("rows")).where(F.col("rows") > GROUP).select("shingle"), "hot")
     near = components(candidates(posts, classes, hot, percent)).withColumnRenamed("component", "cluster")
     members = written(near.join(classes, "node").select(F.col("node").alias("id"), "cluster", "n", "f1", "f2", "of", "first", "hash"), "members")
     sets = packed(_of(texts, members, members.count()), words_).join(members.select("f1", "f2", "id"), ["f1", "f2"]).select("id", "data")
