@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from screenweave.operators import mixtures
+from screenweave.operators import assignment, mixtures, pooled, positions, relaxation
 from screenweave.plans.registry import long, query, r
 
 # Lines are spots, return flags channels, line numbers cycles, prices intensities
@@ -43,3 +43,74 @@ def mixture_fit(t):
 def mixture_signal(t):
     keys = ["cycle", "channel"]
     return mixtures.separation(_fits(t), keys).select(*keys, *[r(c, 3).alias(c) for c in ("snr", "sbr", "lld", "z_prime")])
+
+
+# Tiles are customers on a plane, neighbouring tiles' shifts have noise; spots of two sides; embeddings are cells
+
+
+def _grid(t, wide: int = 20):
+    """Edges between grid neighbours: a tile for each customer, 100 apart, with noise from the balance and a bad edge now and then."""
+    place = t.customer.select(F.col("c_custkey").alias("k"), "c_acctbal")
+    noise = F.col("c_acctbal") % 3 - 1
+    bad = F.when(F.col("k") % 29 == 0, 40.0).otherwise(0.0)
+    right = place.where(F.col("k") % wide < wide - 1).select(F.col("k").alias("a"), (F.col("k") + 1).alias("b"), noise.alias("dy"), (100 + noise + bad).alias("dx"))
+    down = place.select(F.col("k").alias("a"), (F.col("k") + wide).alias("b"), (100 - noise).alias("dy"), noise.alias("dx"))
+    last = place.agg(F.max("k").alias("m"))
+    return right.unionByName(down).crossJoin(F.broadcast(last)).where("b <= m").drop("m").withColumn("weight", F.lit(1.0))
+
+
+@query()
+def tile_positions(t):
+    """Global places of tiles from pairwise shifts; bad shifts are down-weighted."""
+    return positions.solved(_grid(t), 5.0).select("component", "tile", r("y", 3).alias("y"), r("x", 3).alias("x"))
+
+
+def _candidates(t):
+    """Candidate links between two frames: events of a user on a day and on the next, the nearer in value the cheaper."""
+    day = t.events.select("event_id", "user_id", "value", F.to_date("ts").alias("d"))
+    return day.alias("a").join(day.alias("b"), (F.col("a.user_id") == F.col("b.user_id")) & (F.date_add("a.d", 1) == F.col("b.d"))).select(F.col("a.event_id").alias("src"), F.col("b.event_id").alias("dst"), F.round(F.abs(F.col("a.value") - F.col("b.value")) / 100, 2).alias("cost"))
+
+
+@query()
+def track_assignment(t):
+    """Links of tracks that save most, one for each event on either side."""
+    return assignment.linked(_candidates(t)).select("src", "dst", r("cost").alias("cost"), r("gain").alias("gain"))
+
+
+@query()
+def relaxed_matches(t):
+    """Points of orders matched with their moved copies among others, by their neighbourhoods."""
+    p = t.orders.select(F.col("o_orderkey").alias("id"), (F.xxhash64("o_orderkey") % 40000 / 10).alias("y"), (F.xxhash64("o_orderkey", F.lit(1)) % 40000 / 10).alias("x"))
+    moved = p.withColumns({"y": F.col("y") + 4 + F.col("id") % 3 * 0.3, "x": F.col("x") - 3})
+    other = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(10)) < 3
+    b = moved.where(~other).unionByName(moved.where(other).withColumns({"y": F.col("y") + F.xxhash64("id", F.lit(3)) % 300 / 10, "x": F.col("x") + F.xxhash64("id", F.lit(4)) % 300 / 10}))
+    return relaxation.matched(p, b, 12.0, 150.0, k=6, tolerance=2.0).select("id_a", "id_b", r("distance").alias("distance"), r("score").alias("score"))
+
+
+def _cells(t):
+    return t.embeddings.select((F.col("vec_id") % 3).alias("experiment"), long("label").alias("guide"), long("label").alias("gene"), (F.col("vec_id") % 10 / 10).alias("ratio"), (F.col("label") == 0).alias("control"), "embedding")
+
+
+@query("""
+WITH e AS (SELECT vec_id, vec_id % 3 AS x, label::BIGINT AS guide, vec_id % 10 / 10 AS m, embedding::DOUBLE[] AS v FROM embeddings),
+u AS (SELECT vec_id, x, guide, (m >= 0.25)::INT + (m >= 0.5)::INT + (m >= 0.75)::INT AS b, unnest(range(len(v))) AS i, unnest(v) AS v, sqrt(list_sum([y * y FOR y IN v])) AS n FROM e),
+c AS (SELECT x, i, avg(v) AS m, coalesce(nullif(stddev_samp(v), 0), 1) AS s, avg(v / n) AS q, count(*) AS k FROM u WHERE guide = 0 GROUP BY 1, 2),
+l AS (SELECT x, sqrt(sum(q * q)) AS l FROM c GROUP BY 1), h AS (SELECT i, sum(q / l * k) / sum(k) AS h FROM c JOIN l USING (x) GROUP BY 1), g AS (SELECT i, h / (SELECT sqrt(sum(h * h)) FROM h) AS g FROM h),
+p AS (SELECT guide, b, i, sum((v - m) / s) AS z, sum(v / n) AS w, count(*) AS k FROM u JOIN c USING (x, i) WHERE guide <> 0 GROUP BY 1, 2, 3),
+t AS (SELECT guide FROM p WHERE i = 0 GROUP BY 1 HAVING count(*) >= 2)
+SELECT guide, b::INT AS bin, max(k) AS n, round(sqrt(avg((z / k) ** 2)), 4) AS cohens_d, round(1 - sum(w * g) / sqrt(sum(w * w)), 5) AS cosine_distance FROM p JOIN g USING (i) JOIN t USING (guide) GROUP BY 1, 2""")
+def two_pass_effects(t):
+    """Effect sizes of guides by bins of a ratio, from each experiment's partial results."""
+    cells = _cells(t)
+    used = pooled.edges(pooled.metric_counts(cells, "ratio"), "fixed", 4)
+    out = pooled.effects(pooled.partials(cells, "ratio", "embedding", "fixed", 4), pooled.controls(cells, "embedding"), used, "fixed", 4)
+    return out.select("guide", "bin", "n", r("cohens_d").alias("cohens_d"), r("cosine_distance", 5).alias("cosine_distance"))
+
+
+@query()
+def two_pass_downsampled(t):
+    """The same with all bins of a guide cut to the rows of its least one."""
+    cells = _cells(t)
+    used = pooled.edges(pooled.metric_counts(cells, "ratio"), "fixed", 4)
+    out = pooled.effects(pooled.partials(cells, "ratio", "embedding", "fixed", 4), pooled.controls(cells, "embedding"), used, "fixed", 4, least=3, downsample=True)
+    return out.select("guide", "bin", "n", "taken", r("cohens_d").alias("cohens_d"), r("cosine_distance", 5).alias("cosine_distance"))
