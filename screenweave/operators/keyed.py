@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from screenweave.operators.ordered import first_by_hash
+
 Keys = list[str]
 
 
@@ -105,9 +107,9 @@ def capped_sample(df: DataFrame, keys: Keys, order: Column, n: int) -> DataFrame
 
 
 def equal_downsample(df: DataFrame, group: str, bin_: str, order: Column, bins: int) -> DataFrame:
-    """As many rows of each of a group's bins as its smallest one has; groups that lack a bin are left out."""
+    """As many rows of each of a group's bins as its smallest one has, the first by `order`, a hash as hexadecimal text; groups that lack a bin are left out."""
     sizes = df.groupBy(group, bin_).agg(F.count("*").alias("_n")).groupBy(group).agg(F.min("_n").alias("_least"), F.count("*").alias("_bins")).where(F.col("_bins") == bins)
-    return top_per_key(df.join(sizes.drop("_bins"), group), [group, bin_], [order], F.col("_least")).drop("_least")
+    return first_by_hash(df.withColumn("_o", order).join(sizes.drop("_bins"), group), [group, bin_], F.col("_o"), "_least").drop("_least", "_o")
 
 
 def cumulative_share(df: DataFrame, value: str, order: list) -> DataFrame:

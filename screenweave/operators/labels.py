@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
+from screenweave.operators.ordered import dense
 from screenweave.operators.scratch import saved
 
 
@@ -25,6 +25,5 @@ def merged(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def compact(df: DataFrame, label: str = "root", name: str = "compact") -> DataFrame:
-    """Labels numbered 1..n in their order; only the distinct labels pass through one task."""
-    own = df.select(label).distinct().withColumn(name, F.row_number().over(W.orderBy(label)))
-    return df.join(own, label)
+    """Labels numbered 1..n in their order, in ranges of labels side by side."""
+    return df.join(dense(df, label, name), label)

@@ -384,3 +384,10 @@ def track_times(tracks: DataFrame, boxes: DataFrame, times: list[int], cell: flo
     local = found.select("well", "og_index", "t", "tile", F.floor(F.col("x") - F.col("x0")).cast("int").alias("y_local"), F.floor(F.col("y") - F.col("y0")).cast("int").alias("x_local"))
     pick = [F.max(F.when(F.col("t") == t, F.col(c))).alias(f"{c}_{name}_t{t}") for t in times for c in ("tile", "y_local", "x_local")]
     return tracks.select("well", "og_index").distinct().join(local.groupBy("well", "og_index").agg(*pick), ["well", "og_index"], "left")
+
+
+def over_time(stats: DataFrame, metrics: list[str], experiment: str = "experiment", well: str = "well") -> DataFrame:
+    """(experiment, date, well, metric, value): plate statistics of all experiments, long; the date is the eight digits at the end of the experiment's name, null without. Null metrics are left out."""
+    date = F.to_date(F.nullif(F.regexp_extract(experiment, r"_(\d{8})$", 1), F.lit("")), "yyyyMMdd")
+    wide = stats.select(F.col(experiment).alias("experiment"), date.alias("date"), F.col(well).alias("well"), *[F.col(m).cast("double").alias(m) for m in metrics])
+    return wide.unpivot(["experiment", "date", "well"], metrics, "metric", "value").where("value IS NOT NULL")
