@@ -391,3 +391,82 @@ def over_time(stats: DataFrame, metrics: list[str], experiment: str = "experimen
     date = F.to_date(F.nullif(F.regexp_extract(experiment, r"_(\d{8})$", 1), F.lit("")), "yyyyMMdd")
     wide = stats.select(F.col(experiment).alias("experiment"), date.alias("date"), F.col(well).alias("well"), *[F.col(m).cast("double").alias(m) for m in metrics])
     return wide.unpivot(["experiment", "date", "well"], metrics, "metric", "value").where("value IS NOT NULL")
+
+
+def spiked(codebook: DataFrame, ratio: str = "ratio", barcode: str = "barcode") -> DataFrame:
+    """(barcode): codes with a ratio above the codebook's least one: controls that are frequent by design. None without ratios."""
+    least = codebook.agg(F.min(ratio).alias("_least"))
+    return codebook.crossJoin(F.broadcast(least)).where(F.col(ratio) > F.col("_least")).select(F.col(barcode).alias("barcode")).distinct()
+
+
+def validated(matched: DataFrame, codebook: DataFrame, keys: Keys, total_guides: int, spikes: DataFrame | None = None, reference: DataFrame | None = None, baseline: DataFrame | None = None, control: str = "-1") -> DataFrame:
+    """By key, the whole report on matched reads (barcode) against a codebook (barcode, gene): 16 values.
+
+    The columns of `match_validation`, with `correlation` and `notes`. Designed controls (`spikes`: barcode) count for barcodes, genes and
+    thresholds, but are left out of all bias checks. Without a reference, a key is valid if none of these holds: a round whose
+    bases have under 0.8 bits (over 500 reads), a barcode under 1 bit with over 15 % of more than 500 reads, over 5 % of more than
+    1,000 reads in barcodes under 1 bit, an entropy slope bias. With one (barcode, median_freq), none of these: a correlation
+    under the baseline's, a slope under -50 or negative with p < 0.05, a largest barcode over 10 times the median or over 1.2 times the
+    baseline's ratio. baseline: keys, correlation, top_guide_vs_median; 0 or missing checks nothing. Keys without reads have no row.
+    """
+    c = F.col
+    n_all = matched.dropna(subset=["barcode"]).groupBy(*keys, "barcode").agg(F.count("*").alias("_n"))
+    marked = n_all.withColumn("_spike", F.lit(False)) if spikes is None else n_all.join(spikes.select("barcode").distinct().withColumn("_s", F.lit(True)), "barcode", "left").withColumn("_spike", c("_s").isNotNull()).drop("_s")
+    total = marked.groupBy(*keys).agg(F.count("*").alias("unique_barcodes"), F.sum("_n").alias("reads"), F.coalesce(F.sum(F.when(c("_spike"), c("_n"))), F.lit(0)).alias("_excluded"), F.count_if("_spike").alias("_spikes"))
+    genes = codebook.groupBy("barcode").agg(F.max(c("gene").cast("string")).alias("_gene"))
+    g = n_all.join(genes, "barcode").where(c("_gene") != control).groupBy(*keys, "_gene").agg(F.sum("_n").alias("_n"))
+    g5 = g.withColumn("_k", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("_n"), "_gene")))
+    by_gene = g5.groupBy(*keys).agg(F.count("*").alias("unique_genes"), F.sum("_n").alias("_greads"), F.sum(F.when(c("_k") <= 5, c("_n"))).alias("_g5"), F.max("_n").alias("_gtop"), _half("_n").alias("_gmedian"))
+    n = marked.where(~c("_spike")).drop("_spike").withColumn("_h", entropy(c("barcode")))
+    top = n.withColumn("_k", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("_n"), "barcode"))).where("_k <= 5").groupBy(*keys).agg(F.max(F.when(c("_k") == 1, c("barcode"))).alias("top_barcode"), F.sum("_n").alias("_top5"))
+    own = n.groupBy(*keys).agg(
+        F.count("*").alias("_codes"), F.avg("_h").alias("avg_entropy"), (F.sum(c("_n") * c("_h")) / F.sum("_n")).alias("weighted_entropy"), F.max("_n").alias("top_barcode_count"), _half("_n").alias("_median"),
+        F.regr_slope(c("_n").cast("double"), c("_h")).alias("_slope"), corr(c("_n").cast("double"), c("_h")).alias("_r"), F.coalesce(F.sum(F.when(c("_h") < 1.0, c("_n"))), F.lit(0)).alias("_low"),
+    )
+    # bases by round: sums over barcodes
+    bases = n.select(*keys, "_n", F.posexplode(F.split("barcode", "")).alias("_round", "_base")).groupBy(*keys, "_round", "_base").agg(F.sum("_n").alias("_n"))
+    sums = bases.groupBy(*keys, "_round").agg(F.sum("_n").alias("_all"))
+    share = bases.join(sums, [*keys, "_round"]).withColumn("_p", c("_n") / c("_all"))
+    rounds = share.groupBy(*keys, "_round").agg(F.sum(-c("_p") * F.log2(c("_p") + 1e-9)).alias("_bits"))
+    collapse = rounds.where("_bits < 0.8").groupBy(*keys).agg(F.min("_round").alias("_collapsed"))
+    parts = [by_gene, top, own, collapse]
+    if reference is not None:
+        parts.append(reference_stats(matched, reference, keys).select(*keys, c("correlation_to_ref").alias("correlation")))
+    if baseline is not None:
+        parts.append(baseline.select(*keys, c("correlation").alias("_base_r"), c("top_guide_vs_median").alias("_base_ratio")))
+    out = _joined(parts, keys, total)
+    for name in ("correlation", "_base_r", "_base_ratio"):
+        if name not in out.columns:
+            out = out.withColumn(name, F.lit(0.0))
+    zero = lambda name: F.coalesce(c(name), F.lit(0.0))
+    enough = c("_codes") >= 10
+    out = out.fillna(0, subset=["unique_genes", "top_barcode_count", "_codes"]).withColumns({
+        "top_barcode": F.coalesce("top_barcode", F.lit("")), "top_barcode_entropy": F.coalesce(entropy(c("top_barcode")), F.lit(0.0)), "avg_entropy": zero("avg_entropy"), "weighted_entropy": zero("weighted_entropy"), "correlation": zero("correlation"),
+        "entropy_slope": F.when(enough, zero("_slope")).otherwise(0.0), "entropy_pvalue": F.when(enough, F.coalesce(correlation_p(c("_r"), c("_codes")), F.lit(1.0))).otherwise(1.0), "_ratio": F.coalesce(c("top_barcode_count") / F.greatest(c("_median"), F.lit(1.0)), F.lit(0.0)),
+    })
+    slope, p = c("entropy_slope"), c("entropy_pvalue")
+    if reference is None:
+        checks = [
+            ("round of low entropy", (c("reads") > 500) & c("_collapsed").isNotNull()),
+            ("low-entropy barcode dominates", (c("reads") > 500) & (100.0 * c("top_barcode_count") / c("reads") > 15) & (c("top_barcode_entropy") < 1.0)),
+            ("low-entropy barcodes", (c("reads") > 1000) & (100.0 * c("_low") / c("reads") > 5)),
+            ("entropy bias", F.coalesce(low_entropy_bias(slope, p, c("_codes")), F.lit(False))),
+        ]
+    else:
+        checks = [
+            ("correlation below baseline", (zero("_base_r") > 0) & (c("correlation") < c("_base_r"))), ("extreme entropy bias", slope < -50), ("entropy bias", (slope >= -50) & (slope < 0) & (p < 0.05)),
+            ("largest barcode over 10 times the median", c("_ratio") > 10), ("largest barcode over the baseline", (c("_ratio") <= 10) & (zero("_base_ratio") > 0) & (c("_ratio") > 1.2 * c("_base_ratio"))),
+        ]
+    distinct = codebook.agg(F.countDistinct("barcode").alias("_distinct"))
+    out = out.crossJoin(F.broadcast(distinct))
+    told = [F.when(c("_distinct") < total_guides, F.format_string("codebook collisions: %.1f %%", F.round(100.0 * (total_guides - c("_distinct")) / max(total_guides, 1), 1))), F.when(c("_excluded") > 0, F.format_string("left out: %d reads of %d spike-ins", c("_excluded"), c("_spikes")))]
+    told += [F.when(F.coalesce(bad, F.lit(False)), name) for name, bad in checks]
+    valid = F.lit(True)
+    for _, bad in checks:
+        valid = valid & ~F.coalesce(bad, F.lit(False))
+    return out.select(
+        *keys, "unique_barcodes", "unique_genes", (F.lit(100.0) * c("unique_genes") / total_guides if total_guides else F.lit(0.0)).alias("gene_coverage_pct"), _share(c("_g5"), c("_greads"), 6).alias("top5_concentration"),
+        "avg_entropy", "weighted_entropy", "top_barcode", "top_barcode_entropy", "top_barcode_count", "correlation", "entropy_slope", "entropy_pvalue",
+        F.when(c("unique_genes") > 1, c("_gtop") / F.greatest(c("_gmedian"), F.lit(1.0))).otherwise(0.0).alias("top_gene_vs_median"), F.when(c("_codes") >= 5, c("_top5") / F.greatest(c("_median"), F.lit(1.0))).otherwise(0.0).alias("top_guide_vs_median"),
+        valid.alias("is_valid"), F.array_join(F.array_compact(F.array(*told)), "; ").alias("notes"),
+    )

@@ -370,3 +370,43 @@ def track_tiles(t):
     p = _points(t).select(F.lit("A").alias("well"), F.col("id").alias("og_index"), "y", "x")
     o = plate.track_tiles(p, [[0.5, 0.0, 3.0], [0.0, 2.0, -1.0], [0.0, 0.0, 1.0]], g, 60.0, "pheno").drop("well")
     return o.withColumns({c: r(c) for c in ("y_pheno", "x_pheno", "y_local_pheno", "x_local_pheno")})
+
+
+# The whole validation: codes that several parts share are the designed controls
+
+_BITS = "b AS (SELECT g, i, s, sum(n) AS n FROM (SELECT g, barcode, n, unnest(range(1, length(barcode) + 1)) AS i FROM m) AS z, LATERAL (SELECT substr(z.barcode, z.i::INT, 1) AS s) GROUP BY ALL), bt AS (SELECT g, i, sum(n) AS t FROM b GROUP BY 1, 2), bc AS (SELECT g, min(i) AS i FROM (SELECT g, i, sum(-(n / t::DOUBLE) * log2(n / t::DOUBLE + 1e-9)) AS e FROM b JOIN bt USING (g, i) GROUP BY 1, 2) WHERE e < 0.8 GROUP BY 1)"
+_VALID = f"""
+WITH {_READS}, {_CHARS}, a AS (SELECT well % 5 AS g, barcode, gene, count(*) AS n FROM r WHERE hit GROUP BY ALL), sp AS (SELECT barcode FROM codes WHERE copies > (SELECT min(copies) FROM codes)),
+t AS (SELECT g, count(*) AS ub, sum(n)::BIGINT AS reads, sum(CASE WHEN sp.barcode IS NOT NULL THEN n ELSE 0 END)::BIGINT AS ex, count(sp.barcode) AS ns FROM a LEFT JOIN sp USING (barcode) GROUP BY 1),
+m AS (SELECT a.*, h FROM a JOIN h ON b = barcode WHERE barcode NOT IN (SELECT barcode FROM sp)), k AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY n DESC, barcode) AS k FROM m),
+o AS (SELECT g, count(*) AS nc, avg(h) AS ae, sum(n * h) / sum(n) AS we, max(n) AS tc, median(n) AS med, regr_slope(n, h) AS slope, corr(n, h) AS rho, sum(CASE WHEN h < 1 THEN n ELSE 0 END) AS low, sum(CASE WHEN k <= 5 THEN n END) AS t5, max(CASE WHEN k = 1 THEN barcode END) AS tb, max(CASE WHEN k = 1 THEN h END) AS th FROM k GROUP BY 1),
+e AS (SELECT g, gene, sum(n) AS n FROM a WHERE gene IS NOT NULL GROUP BY 1, 2), e5 AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY n DESC, gene) AS k FROM e), q AS (SELECT g, count(*) AS ug, sum(n) AS gr, sum(CASE WHEN k <= 5 THEN n END) AS g5, max(n) AS gt, median(n) AS gm FROM e5 GROUP BY 1),
+p AS (SELECT g, CASE WHEN nc >= 10 THEN {_student('rho', 'nc')} ELSE 1 END AS pv, CASE WHEN nc >= 10 THEN slope ELSE 0 END AS sl FROM o), {_BITS}, d AS (SELECT count(*) AS d FROM codes)"""
+_OUT = """g, ub AS unique_barcodes, coalesce(ug, 0) AS unique_genes, round(100.0 * coalesce(ug, 0) / 2000, 4) AS gene_coverage_pct, round(coalesce(100.0 * g5 / gr, 0), 4) AS top5_concentration, round(ae, 4) AS avg_entropy, round(we, 4) AS weighted_entropy, tb AS top_barcode, round(th, 4) AS top_barcode_entropy, tc AS top_barcode_count,
+  round(sl, 3) AS entropy_slope, round(pv, 4) AS entropy_pvalue, round(CASE WHEN ug > 1 THEN gt / greatest(gm, 1) ELSE 0 END, 4) AS top_gene_vs_median, round(CASE WHEN nc >= 5 THEN t5 / greatest(med, 1) ELSE 0 END, 4) AS top_guide_vs_median"""
+_TOLD = "CASE WHEN d < 2000 THEN printf('codebook collisions: %.1f %%', round(100.0 * (2000 - d) / 2000, 1)) END, CASE WHEN ex > 0 THEN printf('left out: %d reads of %d spike-ins', ex, ns) END"
+_FLAGS = "v AS (SELECT *, reads > 500 AND bc.i IS NOT NULL AS v1, reads > 500 AND 100.0 * tc / reads > 15 AND th < 1 AS v2, reads > 1000 AND 100.0 * low / reads > 5 AS v3, nc >= 10 AND (sl < -50 OR (sl < 0 AND pv < 0.05)) AS v4 FROM t JOIN o USING (g) LEFT JOIN q USING (g) JOIN p USING (g) LEFT JOIN bc USING (g), d)"
+
+
+def _rounded_validation(o):
+    places = {"gene_coverage_pct": 4, "top5_concentration": 4, "avg_entropy": 4, "weighted_entropy": 4, "top_barcode_entropy": 4, "correlation": 4, "entropy_slope": 3, "entropy_pvalue": 4, "top_gene_vs_median": 4, "top_guide_vs_median": 4}
+    return o.withColumns({c: r(c, p) for c, p in places.items()})
+
+
+@query(f"""{_VALID}, {_FLAGS}
+SELECT {_OUT}, 0.0 AS correlation, NOT (v1 OR v2 OR v3 OR v4) AS is_valid, concat_ws('; ', {_TOLD}, CASE WHEN v1 THEN 'round of low entropy' END, CASE WHEN v2 THEN 'low-entropy barcode dominates' END, CASE WHEN v3 THEN 'low-entropy barcodes' END, CASE WHEN v4 THEN 'entropy bias' END) AS notes FROM v""")
+def validated_matches(t):
+    codes = _codes(t)
+    return _rounded_validation(plate.validated(_matched(t).withColumn("g", F.col("well") % 5), codes, ["g"], 2000, plate.spiked(codes, "copies")))
+
+
+@query(f"""{_VALID}, ref AS (SELECT p_name || ' ' || p_type AS barcode, count(*) / (SELECT count(*) FROM part)::DOUBLE AS f FROM part GROUP BY 1),
+y AS (SELECT g, CASE WHEN count(f) < 50 THEN 0.0 ELSE round(corr(log2(n / s + 1e-9), log2(f + 1e-9)), 4) END AS cr FROM (SELECT g, barcode, n, sum(n) OVER (PARTITION BY g)::DOUBLE AS s FROM a) LEFT JOIN ref USING (barcode) GROUP BY 1),
+v AS (SELECT *, tc / greatest(med, 1) AS ra, cr < 0.2 AS v1, sl < -50 AS v2, sl >= -50 AND sl < 0 AND pv < 0.05 AS v3 FROM t JOIN o USING (g) LEFT JOIN q USING (g) JOIN p USING (g) JOIN y USING (g), d)
+SELECT {_OUT}, cr AS correlation, NOT (v1 OR v2 OR v3 OR ra > 10 OR ra > 1.2 * (g + 1)) AS is_valid, concat_ws('; ', {_TOLD}, CASE WHEN v1 THEN 'correlation below baseline' END, CASE WHEN v2 THEN 'extreme entropy bias' END, CASE WHEN v3 THEN 'entropy bias' END, CASE WHEN ra > 10 THEN 'largest barcode over 10 times the median' WHEN ra > 1.2 * (g + 1) THEN 'largest barcode over the baseline' END) AS notes FROM v""")
+def validated_against_reference(t):
+    n = t.part.groupBy(_code().alias("barcode")).agg(F.count("*").alias("n"))
+    ref = n.crossJoin(F.broadcast(t.part.agg(F.count("*").alias("all")))).select("barcode", (F.col("n") / F.col("all")).alias("median_freq"))
+    base = t.spark.range(5).select(F.col("id").alias("g"), F.lit(0.2).alias("correlation"), (F.col("id") + 1.0).alias("top_guide_vs_median"))
+    codes = _codes(t)
+    return _rounded_validation(plate.validated(_matched(t).withColumn("g", F.col("well") % 5), codes, ["g"], 2000, plate.spiked(codes, "copies"), ref, base))

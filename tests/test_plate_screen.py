@@ -343,3 +343,27 @@ def test_track_links(spark):
     long = spark.createDataFrame([("A", 0, 1, 1.0, 3.5), ("A", 0, 2, 7.0, 4.0), ("A", 1, 1, 50.0, 50.0)], "well string, og_index int, t int, y double, x double")
     got = {r["og_index"]: tuple(r)[2:] for r in plate.track_times(long, boxes, [1, 2], 4.0).collect()}
     assert got == {0: ("t0", 3, 1, "t1", 1, 7), 1: (None,) * 6}
+
+
+def test_validation_leaves_designed_controls_out(spark):
+    import random
+
+    r = random.Random(5)
+    codes = sorted({"".join(r.choices("ACGT", k=10)) for _ in range(40)})
+    book = spark.createDataFrame([(c, f"g{k % 9}", 1.0) for k, c in enumerate(codes)] + [("A" * 10, "-1", 5.0)], "barcode string, gene string, ratio double")
+    rows = [("w", c) for k, c in enumerate(codes) for _ in range(20 + k % 5)] + [("w", "A" * 10)] * 400
+    reads = spark.createDataFrame(rows, "well string, barcode string")
+    spikes = plate.spiked(book)
+    assert [x.barcode for x in spikes.collect()] == ["A" * 10]
+    (good,) = plate.validated(reads, book, ["well"], 41, spikes).collect()
+    (bad,) = plate.validated(reads, book, ["well"], 41).collect()
+    assert good.is_valid and good.unique_barcodes == 41 and good.top_barcode != "A" * 10 and good.notes == "left out: 400 reads of 1 spike-ins"
+    assert not bad.is_valid and "low-entropy barcode dominates" in bad.notes and bad.top_barcode == "A" * 10
+    fixed = reads.withColumn("barcode", F.concat(F.lit("A"), F.substring("barcode", 2, 9)))
+    (collapsed,) = plate.validated(fixed, book.withColumn("barcode", F.concat(F.lit("A"), F.substring("barcode", 2, 9))), ["well"], 41).collect()
+    assert "round of low entropy" in collapsed.notes
+    ref = spark.createDataFrame([(c, 1 / 41) for c in codes], "barcode string, median_freq double")
+    base = spark.createDataFrame([("w", 0.9, 1.0)], "well string, correlation double, top_guide_vs_median double")
+    (against,) = plate.validated(reads, book, ["well"], 41, spikes, ref, base).collect()
+    assert not against.is_valid and against.correlation == 0 and "correlation below baseline" in against.notes  # under 50 common barcodes
+    assert not plate.validated(reads.limit(0), book, ["well"], 41, spikes).collect()
