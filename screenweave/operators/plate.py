@@ -470,3 +470,34 @@ def validated(matched: DataFrame, codebook: DataFrame, keys: Keys, total_guides:
         F.when(c("unique_genes") > 1, c("_gtop") / F.greatest(c("_gmedian"), F.lit(1.0))).otherwise(0.0).alias("top_gene_vs_median"), F.when(c("_codes") >= 5, c("_top5") / F.greatest(c("_median"), F.lit(1.0))).otherwise(0.0).alias("top_guide_vs_median"),
         valid.alias("is_valid"), F.array_join(F.array_compact(F.array(*told)), "; ").alias("notes"),
     )
+
+
+# Cell sizes
+
+#: Pixels of either side from which a cell is large.
+LARGE = 300
+
+
+def cell_sizes(linked: DataFrame, box: str = "bbox", keep: Keys = (), large: float = LARGE) -> DataFrame:
+    """Linked cells with bbox_height, bbox_width, bbox_area, bbox_aspect_ratio and is_large, from the text of their bounding box; cells without four numbers are left out."""
+    from screenweave.functions.expressions import bounding_box, box_shape
+
+    rows = linked.select(*keep, bounding_box(F.col(box)).alias("_b")).where("_b IS NOT NULL").withColumn("_s", box_shape(F.col("_b"), large))
+    return rows.select(*keep, F.col("_s.height").alias("bbox_height"), F.col("_s.width").alias("bbox_width"), F.col("_s.area").cast("long").alias("bbox_area"), F.col("_s.aspect").alias("bbox_aspect_ratio"), F.col("_s.is_large").alias("is_large"))
+
+
+def cell_size_summary(cells: DataFrame, well: str = "well", pooled: bool = True) -> DataFrame:
+    """By well, and pooled as `ALL`: the number of cells, mean, median, least, largest and deviation of each shape, and the number and share in percent of large cells."""
+    from screenweave.operators.keyed import with_pooled
+
+    aggs = [F.count("*").alias("cell_count")]
+    for c in ("bbox_height", "bbox_width", "bbox_area", "bbox_aspect_ratio"):
+        v = F.col(c).cast("double")
+        aggs += [F.avg(v).alias(f"{c}_mean"), F.percentile(v, F.lit(0.5)).alias(f"{c}_median"), F.min(v).alias(f"{c}_min"), F.max(v).alias(f"{c}_max"), F.stddev_samp(v).alias(f"{c}_std")]
+    aggs += [F.count_if("is_large").alias("large_cell_count"), (100.0 * F.count_if("is_large") / F.count("*")).alias("large_cell_pct")]
+    return with_pooled(cells, well, aggs) if pooled else cells.groupBy(well).agg(*aggs)
+
+
+def report(base: DataFrame, parts: list[DataFrame], key: str = "well") -> DataFrame:
+    """One row for each well with all parts' columns side by side: the plate's whole statistics."""
+    return _joined(parts, [key], base)

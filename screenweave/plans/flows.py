@@ -75,13 +75,13 @@ def told_wells(t):
 
 @query("""
 WITH s AS (SELECT 'ops' || lpad(month(o_orderdate)::VARCHAR, 4, '0') || '_' || strftime(max(o_orderdate) OVER (PARTITION BY year(o_orderdate), month(o_orderdate)), '%Y%m%d') AS experiment, o_orderpriority AS well, o_totalprice, o_custkey FROM orders),
-a AS (SELECT experiment, well, count(*)::DOUBLE AS cells, avg(o_totalprice) AS price, count(DISTINCT o_custkey)::DOUBLE AS guides FROM s GROUP BY 1, 2)
-SELECT experiment, strftime(strptime(right(experiment, 8), '%Y%m%d'), '%Y-%m-%d') AS date, well, metric, round(value, 4) AS value FROM a UNPIVOT (value FOR metric IN (cells, price, guides))""")
+a AS (SELECT experiment, well, count(*)::DOUBLE AS cells, sum(o_totalprice) AS price, count(DISTINCT o_custkey)::DOUBLE AS guides FROM s GROUP BY 1, 2)
+SELECT experiment, strftime(strptime(right(experiment, 8), '%Y%m%d'), '%Y-%m-%d') AS date, well, metric, round(value, 2) AS value FROM a UNPIVOT (value FOR metric IN (cells, price, guides))""")
 def metrics_over_time(t):
     """All experiments' metrics, long, with the date in the experiment's name."""
     month = [F.year("o_orderdate"), F.month("o_orderdate")]
     last = t.orders.groupBy(*[c.alias(n) for c, n in zip(month, "ym")]).agg(F.max("o_orderdate").alias("last"))
     name = F.concat(F.lit("ops"), F.lpad(F.col("m").cast("string"), 4, "0"), F.lit("_"), F.date_format("last", "yyyyMMdd"))
     o = t.orders.withColumns(dict(zip("ym", month))).join(F.broadcast(last), ["y", "m"]).withColumn("experiment", name)
-    stats = o.groupBy("experiment", F.col("o_orderpriority").alias("well")).agg(F.count("*").alias("cells"), F.avg("o_totalprice").alias("price"), F.countDistinct("o_custkey").alias("guides"))
-    return plate.over_time(stats, ["cells", "price", "guides"]).withColumns({"date": F.col("date").cast("string"), "value": r("value")})
+    stats = o.groupBy("experiment", F.col("o_orderpriority").alias("well")).agg(F.count("*").alias("cells"), F.sum("o_totalprice").alias("price"), F.countDistinct("o_custkey").alias("guides"))
+    return plate.over_time(stats, ["cells", "price", "guides"]).withColumns({"date": F.col("date").cast("string"), "value": r("value", 2)})

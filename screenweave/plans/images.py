@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from screenweave.operators import basecalling, rasters
+from screenweave.operators import basecalling, rasters, signals
 from screenweave.operators.scratch import shared
 from screenweave.plans.registry import _RC, _raster, long, query, r
 from screenweave.sources import zarr_sink
@@ -36,10 +36,10 @@ def spot_boxes(t):
 _PLANE = "SELECT l_linenumber AS cycle, substr('ACGT', (l_suppkey % 4 + 1)::INT, 1) AS channel, l_partkey % 60 AS y, l_orderkey % 60 AS x, max(l_extendedprice) AS v FROM lineitem GROUP BY ALL"
 
 
-def _planes(t):
+def _planes(t, size: int = 60):
     channel = F.substring(F.lit("ACGT"), (F.col("l_suppkey") % 4 + 1).cast("int"), F.lit(1))
     pixels = t.lineitem.groupBy(F.col("l_linenumber").alias("cycle"), channel.alias("channel"), (F.col("l_partkey") % 60).alias("y"), (F.col("l_orderkey") % 60).alias("x")).agg(F.max("l_extendedprice").alias("v"))
-    return rasters.packed(pixels, ["cycle", "channel"], 60, "v", "<f8", full=True)
+    return rasters.packed(pixels, ["cycle", "channel"], size, "v", "<f8", full=True)
 
 
 @query(f"""
@@ -67,3 +67,23 @@ def stored_labels(t):
     zarr_sink.written(tiles, f"{path}/a", [60, 60], [8, 8], "<i8", [16, 32])
     zarr_sink.resharded(t.spark, f"{path}/a", f"{path}/b", [20, 20], [60, 20])
     return rasters.label_stats(zarr_sink.tiles_of(t.spark, f"{path}/b")).select("label", r("y").alias("y"), r("x").alias("x"), "area")
+
+
+@query()
+def tile_signals(t):
+    """Signal and background of each tile, cycle and channel, from planes and spots."""
+    out = signals.tile_stats(_spots(t, 60), _planes(t, 30), size=30, radius=1, width=2)
+    return out.select("y0", "x0", long("cycle").alias("cycle"), "channel", "type", *[r(c, 3).alias(c) for c in ("mean", "median", "std")], "count", r("median_top", 3).alias("median_top"))
+
+
+@query()
+def tile_snrs(t):
+    out = signals.tile_snr(signals.tile_stats(_spots(t, 60), _planes(t, 30), size=30, radius=1, width=2))
+    return out.select("y0", "x0", long("cycle").alias("cycle"), "channel", r("snr").alias("snr"))
+
+
+@query()
+def snr_by_round(t):
+    """Signal to noise around sampled spots by cycle and channel."""
+    out = signals.snr_by_round(_spots(t, 60), _planes(t, 30), size=30, samples=50, near=2, around=12)
+    return out.select(long("cycle").alias("cycle"), "channel", "spots", r("snr").alias("snr"))

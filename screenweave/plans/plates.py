@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from screenweave.operators import plate, stats
-from screenweave.plans.registry import _P, _points, long, query, r
+from screenweave.plans.registry import _P, ORACLES, _points, long, query, r
 
 _READS = """
 reads AS (SELECT l_suppkey AS well, CASE WHEN l_discount > 0.02 THEN l_orderkey ELSE 0 END AS cell, p_name || ' ' || p_type AS barcode FROM lineitem JOIN part ON p_partkey = l_partkey),
@@ -410,3 +410,47 @@ def validated_against_reference(t):
     base = t.spark.range(5).select(F.col("id").alias("g"), F.lit(0.2).alias("correlation"), (F.col("id") + 1.0).alias("top_guide_vs_median"))
     codes = _codes(t)
     return _rounded_validation(plate.validated(_matched(t).withColumn("g", F.col("well") % 5), codes, ["g"], 2000, plate.spiked(codes, "copies"), ref, base))
+
+
+# Cell sizes and the whole report: boxes are texts made of a line's numbers
+
+_BOXES = "SELECT *, '(' || l_linenumber || ', ' || (l_partkey % 50) || ', ' || (l_linenumber + l_quantity::INT) || ', ' || (l_partkey % 50 + l_suppkey % 30) || ')' AS bbox FROM lineitem"
+_SIDES = f"SELECT l_suppkey AS well, b[3] - b[1] AS bbox_height, b[4] - b[2] AS bbox_width, (b[3] - b[1]) * (b[4] - b[2]) AS bbox_area, (b[3] - b[1]) / nullif(b[4] - b[2], 0)::DOUBLE AS bbox_aspect_ratio FROM (SELECT *, [x::BIGINT FOR x IN regexp_extract_all(bbox, '\\d+')] AS b FROM ({_BOXES}))"
+_SIZES = ", ".join(
+    ["count(*) AS cell_count", *[f"round(avg({c})::DOUBLE, 4) AS {c}_mean, round(median({c})::DOUBLE, 4) AS {c}_median, round(min({c})::DOUBLE, 4) AS {c}_min, round(max({c})::DOUBLE, 4) AS {c}_max, round(stddev_samp({c}), 4) AS {c}_std" for c in ("bbox_height", "bbox_width", "bbox_area", "bbox_aspect_ratio")],
+     "count_if(bbox_height >= 20 AND bbox_width >= 20)::BIGINT AS large_cell_count, round(100.0 * count_if(bbox_height >= 20 AND bbox_width >= 20) / count(*), 4) AS large_cell_pct"]
+)
+
+
+def _sizes(t):
+    li = t.lineitem
+    text = F.concat(F.lit("("), F.concat_ws(", ", F.col("l_linenumber").cast("string"), (F.col("l_partkey") % 50).cast("string"), (F.col("l_linenumber") + F.col("l_quantity").cast("int")).cast("string"), (F.col("l_partkey") % 50 + F.col("l_suppkey") % 30).cast("string")), F.lit(")"))
+    return plate.cell_sizes(li.select(F.col("l_suppkey").alias("well"), text.alias("bbox")), keep=["well"], large=20)
+
+
+def _rounded_sizes(o):
+    return o.select(*[r(c).alias(c) if c.startswith("bbox_") or c.endswith("_pct") else c for c in o.columns])
+
+
+@query(f"WITH s AS ({_SIDES}) SELECT CASE WHEN grouping(well) = 1 THEN 'ALL' ELSE well::VARCHAR END AS well, {_SIZES} FROM s GROUP BY GROUPING SETS ((well), ())")
+def cell_size_report(t):
+    return _rounded_sizes(plate.cell_size_summary(_sizes(t)))
+
+
+_GROWTH = """
+WITH j AS (SELECT l_suppkey AS g, p_retailprice / 1000 - 1.25 AS x, count(*)::DOUBLE AS y FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_suppkey, l_partkey, p_retailprice),
+e AS (SELECT g, min(x) AS lo, max(x) AS hi, nullif((max(x) - min(x)) / 9, 0) AS w FROM j GROUP BY 1), b AS (SELECT g, least(8, ceil((x - lo) / w) - 1) AS bin, lo, w, y FROM j JOIN e USING (g) WHERE x > lo),
+m AS (SELECT g, bin, any_value(lo + (bin + 0.5) * w) AS c, median(y) AS m FROM b GROUP BY 1, 2), f AS (SELECT g, count(*) AS n, regr_slope(m, c) AS s, regr_intercept(m, c) AS i, regr_r2(m, c) AS r2, min(c) AS a, max(c) AS b FROM m WHERE c <= 0.5 GROUP BY 1)
+SELECT g AS well, coalesce(round(CASE WHEN n > 1 THEN s END, 1), 0) AS growth_effect_slope, coalesce(round(CASE WHEN n > 1 THEN r2 END, 2), 0) AS growth_effect_r2, coalesce(round(CASE WHEN n > 1 THEN (i + s * b) / nullif(i + s * a, 0) END, 2), 0) AS growth_effect_fold_change FROM e LEFT JOIN f USING (g)"""
+
+
+@query(f"""
+WITH a AS ({ORACLES["plate_metrics"]}), b AS ({ORACLES["reference_agreement"]}), c AS (SELECT well, {_SIZES} FROM ({_SIDES}) GROUP BY 1), d AS ({_GROWTH})
+SELECT * FROM a LEFT JOIN b USING (well) LEFT JOIN c USING (well) LEFT JOIN d USING (well)""")
+def plate_report(t):
+    """The whole statistics of each well: reads, cells, guides, genes, quality, reference, cell sizes, growth effect."""
+    n = t.part.groupBy(_code().alias("barcode")).agg(F.count("*").alias("n"))
+    ref = n.crossJoin(F.broadcast(t.part.agg(F.count("*").alias("all")))).select("barcode", (F.col("n") / F.col("all")).alias("median_freq"))
+    growth = t.lineitem.groupBy(F.col("l_suppkey").alias("well"), F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("n")).join(t.part, "p_partkey").select("well", (F.col("p_retailprice") / 1000 - 1.25).alias("x"), "n")
+    parts = [plate.reference_stats(_matched(t), ref, ["well"]), _rounded_sizes(plate.cell_size_summary(_sizes(t), pooled=False)), plate.growth_effect(growth, ["well"], "x", "n")]
+    return plate.report(plate_metrics(t), parts)

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from screenweave.operators import basecalling, rasters
+from screenweave.operators import basecalling, rasters, signals
 from screenweave.plans import images
 
 SF = "/root/testdata/sf0.001"
@@ -119,3 +119,47 @@ def test_base_calls(spark):
             assert got[read].tile == tile and got[read].cell == cell
             assert got[read].barcode == "".join("ACGT"[k] for k in values.argmax(axis=1))
     assert len(got) == len(spots)
+
+
+def test_tile_signals(spark):
+    r = np.random.default_rng(11)
+    cube = {(c, ch): r.uniform(0, 100, (40, 30)).astype(np.float32) for c in (1, 2) for ch in "GT"}
+    t = tiles_of(spark, cube, 20, "cycle string, channel string").withColumn("cycle", rasters.F.col("cycle").cast("int"))
+    y, x = r.uniform(-2, 41, 60), r.uniform(-2, 31, 60)
+    spots = spark.createDataFrame([(k, float(a), float(b)) for k, (a, b) in enumerate(zip(y, x))] + [(99, None, 1.0)], "id long, y double, x double")
+    got = {(q.y0, q.x0, q.cycle, q.channel, q.type): q for q in signals.tile_stats(spots, t, size=20, radius=3, width=4).collect()}
+    snr = {(q.y0, q.x0, q.cycle, q.channel): q.snr for q in signals.tile_snr(signals.tile_stats(spots, t, size=20, radius=3, width=4)).collect()}
+    for (c, ch), plane in cube.items():
+        for y0 in (0, 20):
+            for x0 in (0, 20):
+                tile = plane[y0 : y0 + 20, x0 : x0 + 20].astype(float)
+                a, b = np.round(y).astype(int) - y0, np.round(x).astype(int) - x0
+                ok = (a >= 0) & (b >= 0) & (a < tile.shape[0]) & (b < tile.shape[1])
+                a, b = a[ok], b[ok]
+                wide = np.array([[tile[max(i - 2, 0) : i + 2, max(j - 2, 0) : j + 2].max() for j in range(tile.shape[1])] for i in range(tile.shape[0])])
+                sig = wide[a, b]
+                i, j = np.indices(tile.shape)
+                back = tile[np.all([(i - p) ** 2 + (j - q) ** 2 > 9 for p, q in zip(a, b)], axis=0)]
+                k = max(1, len(sig) // 10)
+                s, n = got[(y0, x0, c, ch, "Signal")], got[(y0, x0, c, ch, "Background")]
+                assert np.allclose([s.mean, s.median, s.std, s["count"], s.median_top], [sig.mean(), np.median(sig), sig.std(), len(sig), np.median(np.sort(sig)[-k:])])
+                assert np.allclose([n.mean, n.median, n.std, n["count"]], [back.mean(), np.median(back), back.std(), len(back)]) and n.median_top is None
+                assert snr[(y0, x0, c, ch)] == pytest.approx(max(0, (sig.mean() - back.mean()) / back.std()))
+
+
+def test_snr_by_round_across_tiles(spark):
+    r = np.random.default_rng(12)
+    cube = {(c, ch): r.gamma(2, 50, (50, 50)).astype(np.float32) for c in (1, 2) for ch in "GT"}
+    t = tiles_of(spark, cube, 16, "cycle string, channel string").withColumn("cycle", rasters.F.col("cycle").cast("int"))
+    at = [(k, float(a), float(b)) for k, (a, b) in enumerate(r.uniform(0, 50, (30, 2)))]
+    got = {(q.cycle, q.channel): q for q in signals.snr_by_round(spark.createDataFrame(at, "id long, y double, x double"), t, size=16, samples=100, near=3, around=9).collect()}
+    for key, plane in cube.items():
+        ratio = []
+        for _, a, b in at:
+            i, j = int(a), int(b)
+            crop = plane[max(i - 9, 0) : i + 9, max(j - 9, 0) : j + 9].astype(float)
+            low = crop[crop < np.percentile(crop, 80)]
+            ratio.append(plane[max(i - 3, 0) : i + 3, max(j - 3, 0) : j + 3].max() / low.std())
+        assert got[key].spots == 30 and got[key].snr == pytest.approx(np.mean(ratio))
+    few = signals.snr_by_round(spark.createDataFrame(at, "id long, y double, x double"), t, size=16, samples=7, near=3, around=9)
+    assert {q.spots for q in few.collect()} == {7}
