@@ -23,7 +23,7 @@ from screenweave.operators.scratch import saved
 
 #: Edges of a component that one task solves whole.
 WHOLE = 100_000
-#: Conjugate gradients end when the residual is so much of the right side, or after so many steps.
+#: Conjugate gradients end when the residual is so much of the right side; those over tables fail after so many steps.
 PRECISION, STEPS = 1e-10, 2000
 _EDGE = ["a", "b", "dy", "dx", "weight"]
 
@@ -35,7 +35,7 @@ def gradients(a: np.ndarray, b: np.ndarray, shift: np.ndarray, weight: np.ndarra
     rest = scatter(weight[:, None] * shift)
     way, size = rest.copy(), (rest**2).sum(axis=0)
     enough = PRECISION**2 * np.maximum(size, 1e-300)
-    for _ in range(min(STEPS, 10 * n + 10)):
+    for _ in range(10 * n + 100):
         if (size <= enough).all():
             break
         image = scatter(weight[:, None] * (way[b] - way[a]))
@@ -43,6 +43,8 @@ def gradients(a: np.ndarray, b: np.ndarray, shift: np.ndarray, weight: np.ndarra
         place, rest = place + step * way, rest - step * image
         now = (rest**2).sum(axis=0)
         way, size = rest + now / np.maximum(size, 1e-300) * way, now
+    else:
+        raise RuntimeError("the conjugate gradients haven't converged")
     return place - place.mean(axis=0)
 
 

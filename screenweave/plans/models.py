@@ -48,8 +48,9 @@ def mixture_signal(t):
 # Tiles are customers on a plane, neighbouring tiles' shifts have noise; spots of two sides; embeddings are cells
 
 
-def _grid(t, wide: int = 20):
+def _grid(t):
     """Edges between grid neighbours: a tile for each customer, 100 apart, with noise from the balance and a bad edge now and then."""
+    wide = max(2, int(t.customer.count() ** 0.5))
     place = t.customer.select(F.col("c_custkey").alias("k"), "c_acctbal")
     noise = F.col("c_acctbal") % 3 - 1
     bad = F.when(F.col("k") % 29 == 0, 40.0).otherwise(0.0)
@@ -80,11 +81,11 @@ def track_assignment(t):
 @query()
 def relaxed_matches(t):
     """Points of orders matched with their moved copies among others, by their neighbourhoods."""
-    p = t.orders.select(F.col("o_orderkey").alias("id"), (F.xxhash64("o_orderkey") % 40000 / 10).alias("y"), (F.xxhash64("o_orderkey", F.lit(1)) % 40000 / 10).alias("x"))
+    p = t.orders.select(F.floor(F.col("o_orderkey") / 20_000).alias("well"), F.col("o_orderkey").alias("id"), (F.xxhash64("o_orderkey") % 40000 / 10).alias("y"), (F.xxhash64("o_orderkey", F.lit(1)) % 40000 / 10).alias("x"))
     moved = p.withColumns({"y": F.col("y") + 4 + F.col("id") % 3 * 0.3, "x": F.col("x") - 3})
     other = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(10)) < 3
     b = moved.where(~other).unionByName(moved.where(other).withColumns({"y": F.col("y") + F.xxhash64("id", F.lit(3)) % 300 / 10, "x": F.col("x") + F.xxhash64("id", F.lit(4)) % 300 / 10}))
-    return relaxation.matched(p, b, 12.0, 150.0, k=6, tolerance=2.0).select("id_a", "id_b", r("distance").alias("distance"), r("score").alias("score"))
+    return relaxation.matched(p, b, 12.0, 150.0, k=6, tolerance=2.0, keys=["well"]).select("well", "id_a", "id_b", r("distance").alias("distance"), r("score").alias("score"))
 
 
 def _cells(t):
