@@ -10,8 +10,8 @@ are in tiles. As tiles may lie in any order, passages whose parts were moved are
 A benchmark of up to `block_words` words goes to all tasks as one index, and no document is moved. A larger one is joined
 by its seeds, in one scan of the documents more: a bit table of bounded size (BITS) tells which of a document's seeds may
 be in the benchmark; those join the items' seeds by hash. A match needs a certain number of an item's seed places, so
-each item leaves out its most frequent seeds, one place fewer than it needs; pairs that share too few of the others
-drop out in the aggregation. Only the texts of the pairs that are left meet, to be tiled. Both ways give the same rows.
+each item leaves out its most frequent seeds, one place fewer than it needs; pairs that share none of the others can't
+match. Only the texts of the pairs that are left meet, to be tiled. Both ways give the same rows.
 
 Defined results: null texts and texts without words, on either side, match nothing. Items of fewer than `seed` words
 have one seed, their whole sequence. Repeated item rows (same id and text) count once; equal texts under several ids
