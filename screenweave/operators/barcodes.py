@@ -140,3 +140,28 @@ def spiked_out(codes: DataFrame, ratio: str = "ratio") -> DataFrame:
     """Codes without spike-ins: those at the least ratio."""
     least = codes.agg(F.min(ratio).alias("_least"))
     return codes.crossJoin(F.broadcast(least)).where(~(F.col(ratio) > F.col("_least"))).drop("_least")
+
+
+def near_codes(reads: DataFrame, codes: DataFrame, most: int, read: str = "barcode", code: str = "sgRNA") -> DataFrame:
+    """Each distinct read, its rows, the least number of mismatches to a code of its length (null over `most`), and how many codes have it.
+
+    A codebook of any size: of `most` + 1 segments of a read that has no more mismatches one is the code's at its place, so
+    reads and codes meet by (length, segment, its bases) and only these pairs are compared. Each pair counts at its first
+    common segment.
+    """
+    parts = most + 1
+    begin = lambda k, n: F.floor(n * k / parts)
+
+    def cut(text: Column) -> Column:
+        n = F.length(text)
+        return F.transform(F.sequence(F.lit(0), F.lit(most)), lambda k: F.substring(text, (begin(k, n) + 1).cast("int"), (begin(k + 1, n) - begin(k, n)).cast("int")))
+
+    own = reads.dropna(subset=[read]).groupBy(F.col(read).alias("_read")).agg(F.count("*").alias("rows"))
+    book = codes.select(F.col(code).alias("_code")).dropna().distinct()
+    left = own.select("_read", F.length("_read").alias("_len"), cut(F.col("_read")).alias("_all")).select("_read", "_len", "_all", F.posexplode("_all").alias("_at", "_part"))
+    right = book.select("_code", F.length("_code").alias("_len"), cut(F.col("_code")).alias("_other")).select("_code", "_len", "_other", F.posexplode("_other").alias("_at", "_part"))
+    first = F.array_position(F.zip_with("_all", "_other", lambda a, b: a == b), True) == F.col("_at") + 1
+    pairs = left.join(right, ["_len", "_at", "_part"]).where(first).select("_read", mismatches(F.col("_read"), F.col("_code")).alias("distance")).where(F.col("distance") <= most)
+    least = pairs.groupBy("_read").agg(F.min("distance").alias("distance"), F.count_if(F.col("distance") == 0).alias("_c0"), *[F.count_if(F.col("distance") == k).alias(f"_c{k}") for k in range(1, parts)])
+    many = F.element_at(F.array(*[F.col(f"_c{k}") for k in range(parts)]), F.col("distance") + 1)
+    return own.join(least, "_read", "left").select(F.col("_read").alias(read), "rows", "distance", F.coalesce(many, F.lit(0)).alias("codes"))

@@ -199,10 +199,10 @@ def overridden(configs: DataFrame, overrides: DataFrame, key: str, settings: str
 
 
 def combined(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Every item of one list with every item of another: work lists are small, both are held against a bound."""
-    for d in (a, b):
-        if d.limit(100_001).count() > 100_000:
-            raise ValueError("a work list has at most 100,000 items")
+    """Every item of one list with every item of another: work lists are small, the number of pairs is held against a bound."""
+    n = [d.limit(100_001).count() for d in (a, b)]
+    if max(n) > 100_000 or n[0] * n[1] > 1_000_000:
+        raise ValueError("a work list has at most 100,000 items, two together at most a million pairs")
     return a.crossJoin(b)
 
 

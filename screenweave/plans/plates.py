@@ -454,3 +454,15 @@ def plate_report(t):
     growth = t.lineitem.groupBy(F.col("l_suppkey").alias("well"), F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("n")).join(t.part, "p_partkey").select("well", (F.col("p_retailprice") / 1000 - 1.25).alias("x"), "n")
     parts = [plate.reference_stats(_matched(t), ref, ["well"]), _rounded_sizes(plate.cell_size_summary(_sizes(t), pooled=False)), plate.growth_effect(growth, ["well"], "x", "n")]
     return plate.report(plate_metrics(t), parts)
+
+
+@query(f"""
+WITH {_READS}, {_CHARS}, sp AS (SELECT barcode FROM codes WHERE copies > (SELECT min(copies) FROM codes)), a AS (SELECT well % 5 AS g, barcode, gene, count(*)::DOUBLE AS n FROM r WHERE hit AND barcode NOT IN (SELECT barcode FROM sp) GROUP BY ALL), m AS (SELECT a.*, h FROM a JOIN h ON b = barcode),
+o AS (SELECT g, sum(n)::BIGINT AS reads, count(*) AS nb, regr_slope(n, h) AS sl, corr(n, h) AS rho, avg(n) AS mean FROM m GROUP BY 1), p AS (SELECT g, {_student('rho', 'nb')} AS pv FROM o),
+t AS (SELECT g, barcode AS tb, n AS tn FROM m QUALIFY row_number() OVER (PARTITION BY g ORDER BY n DESC, barcode) = 1), e AS (SELECT g, gene, sum(n) AS n FROM m WHERE gene IS NOT NULL GROUP BY 1, 2), q AS (SELECT g, gene, n, avg(n) OVER (PARTITION BY g) AS gm FROM e QUALIFY row_number() OVER (PARTITION BY g ORDER BY n DESC, gene) = 1)
+SELECT g, reads, nb AS unique_barcodes, round(sl, 3) AS slope, round(rho * rho, 5) AS r2, round(pv, 5) AS p_value, CASE WHEN pv < 0.05 AND sl < -50 THEN 'strong negative' WHEN pv < 0.05 AND sl < 0 THEN 'negative' WHEN pv < 0.05 AND sl > 50 THEN 'positive' WHEN pv < 0.05 THEN 'weak' ELSE 'none' END AS bias,
+  tb AS top_barcode, tn::BIGINT AS top_count, round(tn / greatest(mean, 1), 4) AS top_guide_ratio, gene AS top_gene, round(n / greatest(gm, 1), 4) AS top_gene_ratio FROM o JOIN p USING (g) JOIN t USING (g) JOIN q USING (g)""")
+def entropy_report(t):
+    codes = _codes(t)
+    o = plate.entropy_report(_matched(t).withColumn("g", F.col("well") % 5), codes, ["g"], plate.spiked(codes, "copies"))
+    return o.withColumns({"slope": r("slope", 3), "r2": r("r2", 5), "p_value": r("p_value", 5), "top_guide_ratio": r("top_guide_ratio"), "top_gene_ratio": r("top_gene_ratio")})

@@ -638,3 +638,15 @@ def tumbling_windows(t):
     e = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
     o = e.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("s"))
     return o.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("begin"), "event_type", "n", r("s", 3).alias("total"))
+
+
+_CODE8 = "translate(lpad(({0} * 7919 % 65536)::INT::VARCHAR, 5, '0'), '0123456789', 'ACGTACGTAC')"
+
+
+@query(f"""
+WITH a AS (SELECT {_CODE8.format('o_custkey')} AS a, count(*) AS rows FROM orders GROUP BY 1), b AS (SELECT DISTINCT {_CODE8.format('p_partkey')} AS b FROM part),
+d AS (SELECT a, len([1 FOR i IN range(1, 6) IF a[i] <> b[i]]) AS d FROM a, b), m AS (SELECT a, min(d) AS distance FROM d GROUP BY 1)
+SELECT a AS barcode, rows, CASE WHEN distance <= 1 THEN distance::INT END AS distance, CASE WHEN distance <= 1 THEN (SELECT count(*) FROM d WHERE d.a = m.a AND d.d = m.distance) ELSE 0 END AS codes FROM a JOIN m USING (a)""")
+def near_codes(t):
+    code = lambda c: F.translate(F.lpad((F.col(c) * 7919 % 65536).cast("string"), 5, "0"), "0123456789", "ACGTACGTAC")
+    return barcodes.near_codes(t.orders.select(code("o_custkey").alias("barcode")), t.part.select(code("p_partkey").alias("sgRNA")), 1)

@@ -301,3 +301,22 @@ def test_samples_are_exact(spark):
 def test_bias_rule(spark):
     df = spark.createDataFrame([(-60.0, 0.5, 20), (-1.0, 0.01, 20), (-1.0, 0.5, 20), (-60.0, 0.0, 5)], "s double, p double, n int")
     assert [r[0] for r in df.select(stats.low_entropy_bias(F.col("s"), F.col("p"), F.col("n"))).collect()] == [True, True, False, None]
+
+
+def test_near_codes_against_all_pairs(spark):
+    import random
+
+    r = random.Random(4)
+    word = lambda n: "".join(r.choices("ACGT", k=n))
+    codes = [word(10) for _ in range(40)] + [word(7) for _ in range(5)] + [None, ""]
+    reads = [c for c in codes[:20]] + ["".join(x if r.random() > 0.15 else r.choice("ACGT") for x in c) for c in codes[:40] for _ in range(4)] + [word(10) for _ in range(40)] + [None, "", "A"]
+    a, b = spark.createDataFrame([(x,) for x in reads], "barcode string"), spark.createDataFrame([(x,) for x in codes], "sgRNA string")
+    off = lambda x, y: sum(p != q for p, q in zip(x, y))
+    for most in (0, 1, 2, 3):
+        got = {x.barcode: (x.rows, x.distance, x.codes) for x in barcodes.near_codes(a, b, most).collect()}
+        want = {}
+        for x in {x for x in reads if x is not None}:
+            d = [off(x, c) for c in {c for c in codes if c is not None} if len(c) == len(x)]
+            least = min(d, default=99)
+            want[x] = (reads.count(x), least, d.count(least)) if least <= most else (reads.count(x), None, 0)
+        assert got == want
