@@ -149,3 +149,13 @@ def funnel(stages: list[tuple[str, DataFrame]], counted: str) -> DataFrame:
         row = df.agg(F.countDistinct(counted).alias("n")).select(F.lit(k).alias("step"), F.lit(name).alias("stage"), "n")
         out = row if out is None else out.unionAll(row)
     return out.withColumn("kept_pct", 100 * F.col("n") / F.lag("n").over(W.orderBy("step")))
+
+
+def members(df: DataFrame, among: DataFrame, columns: Keys, among_columns: Keys | None = None) -> DataFrame:
+    """The rows whose columns together are a row's of another table: a semi-join on a digest of the columns, so that long keys don't move.
+
+    The columns are joined as texts by a character that ends them, and told apart by SHA-256. A null matches nothing.
+    """
+    digest = lambda cs: F.unhex(F.sha2(F.concat(*[x for c in cs for x in (F.regexp_replace(F.col(c).cast("string"), "[\\\\\\x00]", "\\\\\\\\$0"), F.lit("\x00"))]), 256))
+    keys = among.select(digest(among_columns or columns).alias("_key")).dropna().distinct()
+    return df.withColumn("_key", digest(columns)).join(keys, "_key", "left_semi").drop("_key")

@@ -650,3 +650,9 @@ SELECT a AS barcode, rows, CASE WHEN distance <= 1 THEN distance::INT END AS dis
 def near_codes(t):
     code = lambda c: F.translate(F.lpad((F.col(c) * 7919 % 65536).cast("string"), 5, "0"), "0123456789", "ACGTACGTAC")
     return barcodes.near_codes(t.orders.select(code("o_custkey").alias("barcode")), t.part.select(code("p_partkey").alias("sgRNA")), 1)
+
+
+@query("SELECT l_orderkey, l_linenumber::BIGINT AS line FROM lineitem WHERE l_partkey || '_' || l_returnflag IN (SELECT l_partkey || '_' || l_returnflag FROM lineitem WHERE l_quantity >= 49)")
+def members_of_pairs(t):
+    li = t.lineitem.select("l_orderkey", long("l_linenumber").alias("line"), "l_partkey", "l_returnflag", "l_quantity")
+    return keyed.members(li, li.where("l_quantity >= 49"), ["l_partkey", "l_returnflag"]).select("l_orderkey", "line")

@@ -320,3 +320,11 @@ def test_near_codes_against_all_pairs(spark):
             least = min(d, default=99)
             want[x] = (reads.count(x), least, d.count(least)) if least <= most else (reads.count(x), None, 0)
         assert got == want
+
+
+def test_members_by_digest(spark):
+    rows = [("a", "b"), ("a\x00", "b"), ("a", "\x00b"), ("a\\", "b"), ("", "ab"), ("ab", ""), (None, "b"), ("a", None), ("a", "b")]
+    df = spark.createDataFrame([(k, *x) for k, x in enumerate(rows)], "k int, x string, y string")
+    for k, pair in enumerate(rows):
+        got = sorted(r.k for r in keyed.members(df, df.where(df["k"] == k), ["x", "y"]).collect())
+        assert got == ([] if None in pair else [j for j, x in enumerate(rows) if x == pair])
