@@ -438,7 +438,7 @@ def cell_size_report(t):
 
 
 _GROWTH = """
-WITH j AS (SELECT l_suppkey AS g, p_retailprice / 1000 - 1.25 AS x, count(*)::DOUBLE AS y FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_suppkey, l_partkey, p_retailprice),
+WITH j AS (SELECT l_suppkey AS g, p_retailprice / 1000 - 1.25 AS x, sum(l_quantity)::DOUBLE AS y FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_suppkey, l_partkey, p_retailprice),
 e AS (SELECT g, min(x) AS lo, max(x) AS hi, nullif((max(x) - min(x)) / 9, 0) AS w FROM j GROUP BY 1), b AS (SELECT g, least(8, ceil((x - lo) / w) - 1) AS bin, lo, w, y FROM j JOIN e USING (g) WHERE x > lo),
 m AS (SELECT g, bin, any_value(lo + (bin + 0.5) * w) AS c, median(y) AS m FROM b GROUP BY 1, 2), f AS (SELECT g, count(*) AS n, regr_slope(m, c) AS s, regr_intercept(m, c) AS i, regr_r2(m, c) AS r2, min(c) AS a, max(c) AS b FROM m WHERE c <= 0.5 GROUP BY 1)
 SELECT g AS well, coalesce(round(CASE WHEN n > 1 THEN s END, 1), 0) AS growth_effect_slope, coalesce(round(CASE WHEN n > 1 THEN r2 END, 2), 0) AS growth_effect_r2, coalesce(round(CASE WHEN n > 1 THEN (i + s * b) / nullif(i + s * a, 0) END, 2), 0) AS growth_effect_fold_change FROM e LEFT JOIN f USING (g)"""
@@ -451,7 +451,7 @@ def plate_report(t):
     """The whole statistics of each well: reads, cells, guides, genes, quality, reference, cell sizes, growth effect."""
     n = t.part.groupBy(_code().alias("barcode")).agg(F.count("*").alias("n"))
     ref = n.crossJoin(F.broadcast(t.part.agg(F.count("*").alias("all")))).select("barcode", (F.col("n") / F.col("all")).alias("median_freq"))
-    growth = t.lineitem.groupBy(F.col("l_suppkey").alias("well"), F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("n")).join(t.part, "p_partkey").select("well", (F.col("p_retailprice") / 1000 - 1.25).alias("x"), "n")
+    growth = t.lineitem.groupBy(F.col("l_suppkey").alias("well"), F.col("l_partkey").alias("p_partkey")).agg(F.sum("l_quantity").alias("n")).join(t.part, "p_partkey").select("well", (F.col("p_retailprice") / 1000 - 1.25).alias("x"), "n")
     parts = [plate.reference_stats(_matched(t), ref, ["well"]), _rounded_sizes(plate.cell_size_summary(_sizes(t), pooled=False)), plate.growth_effect(growth, ["well"], "x", "n")]
     return plate.report(plate_metrics(t), parts)
 
