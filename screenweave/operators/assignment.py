@@ -5,9 +5,10 @@ appearance`, so the gain is that less the cost; links without a gain are never t
 offers its best target so much that it would be indifferent to its second best one, and EPSILON more; a target takes the highest bid
 (ties: the smaller source) and frees the source that it had. It ends when each source has a target or nothing to gain.
 
-Components (found by joins) of up to WHOLE candidates are solved each in one task; of larger ones a round of bids is a few joins and
-aggregations over the candidates, prices being a small table. Either way the sum is within EPSILON times the number of linked
-sources of the largest one; with gains that are multiples of a unit above that product it is the largest.
+Components (found by joins) of up to WHOLE candidates are solved each in one task, those of up to DENSE sources and targets exactly, by
+shortest augmenting paths; of larger ones a round of bids is a few joins and aggregations over the candidates, prices
+being a small table. An auction's sum is within EPSILON times the number of linked sources of the largest one; with
+gains that are multiples of a unit above that product it is the largest.
 
 Defined results: null ends or costs are left out; of repeated candidates the cheapest counts. No candidates give no links.
 """
@@ -24,9 +25,41 @@ from screenweave.operators.labels import merged
 from screenweave.operators.scratch import saved
 
 WHOLE = 200_000
+DENSE = 300
 EPSILON = 1e-4
 
 
+def exact(src: np.ndarray, dst: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """Places of the candidates with the largest sum of gains; sources and targets are numbered from 0. A column of its own lets each source stay unlinked."""
+    n, m = (int(x.max()) + 1 if len(x) else 0 for x in (src, dst))
+    cost = np.full((n, m + n), np.inf)
+    cost[:, m:][np.diag_indices(n)] = 0.0
+    cost[src, dst] = -gain
+    row, column, holds = np.zeros(n), np.zeros(m + n), np.full(m + n, -1)  # holds: the source that has a column
+    for s in range(n):
+        least, before, closed = np.full(m + n, np.inf), np.full(m + n, -1), np.zeros(m + n, bool)
+        at, far, last = s, 0.0, -1
+        while True:
+            step = far + cost[at] - row[at] - column
+            nearer = ~closed & (step < least)
+            least[nearer], before[nearer] = step[nearer], last
+            last = int(np.argmin(np.where(closed, np.inf, least)))
+            far = least[last]
+            if holds[last] < 0:
+                break
+            closed[last] = True
+            at = holds[last]
+        done = np.flatnonzero(closed)
+        row[s] += far
+        row[holds[done]] += far - least[done]
+        column[done] -= far - least[done]
+        while last >= 0:  # the path's sources move one column on
+            holds[last] = holds[before[last]] if before[last] >= 0 else s
+            last = before[last]
+    taken = {(int(holds[t]), t) for t in range(m) if holds[t] >= 0}
+    return np.array([k for k, x in enumerate(zip(src.tolist(), dst.tolist())) if x in taken], dtype=int)
+
+
 def auction(src: np.ndarray, dst: np.ndarray, gain: np.ndarray, epsilon: float) -> np.ndarray:
     """Places of the chosen candidates; sources and targets are numbered from 0, candidates sorted by source and target."""
     n, m = (int(x.max()) + 1 if len(x) else 0 for x in (src, dst))
@@ -54,7 +87,9 @@ def _whole(candidates: DataFrame, kinds: tuple[str, str], epsilon: float) -> Dat
     def solve(df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values(["src", "dst"], ignore_index=True)
         s, t = (np.unique(df[c], return_inverse=True)[1] for c in ("src", "dst"))
-        return df.loc[auction(s, t, df["gain"].to_numpy(float), epsilon), ["src", "dst", "cost", "gain"]]
+        gain = df["gain"].to_numpy(float)
+        chosen = exact(s, t, gain) if max(s.max(), t.max()) < DENSE else auction(s, t, gain, epsilon)
+        return df.loc[chosen, ["src", "dst", "cost", "gain"]]
 
     return candidates.groupBy("component").applyInPandas(solve, f"src {kinds[0]}, dst {kinds[1]}, cost double, gain double")
 

@@ -137,6 +137,16 @@ def test_assignment_is_the_best(spark, monkeypatch):
     assert len({x.src for x in got}) == len({x.dst for x in got}) == len(got)
     for g, w in enumerate(want):
         assert sum(x.gain for x in got if x.src // 100 == g) == pytest.approx(w, abs=5e-3)
+    for g in range(200):
+        n = r.integers(1, 13)
+        s, t = (np.unique(x, return_inverse=True)[1] for x in np.unique(r.integers(0, 5, (2, n)), axis=1))
+        gain = np.round(r.uniform(0, 1, len(s)), 2) + 0.01
+        want_ = best_sum(list(zip(s.tolist(), t.tolist(), (1 - gain).tolist())))
+        assert gain[assignment.exact(s, t, gain)].sum() == pytest.approx(want_)
+        order = np.lexsort((t, s))
+        assert gain[order][assignment.auction(s[order], t[order], gain[order], 1e-4)].sum() == pytest.approx(want_, abs=1e-3)
+    monkeypatch.setattr(assignment, "DENSE", 0)
+    assert sum(x.gain for x in assignment.linked(df).collect()) == pytest.approx(sum(want), abs=5e-3)
     monkeypatch.setattr(assignment, "WHOLE", 6)
     few = spark.createDataFrame(groups[0] + groups[1], "src long, dst long, cost double")
     large = assignment.linked(few, epsilon=0.01).collect()
