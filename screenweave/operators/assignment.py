@@ -26,6 +26,8 @@ from screenweave.operators.scratch import saved
 
 WHOLE = 200_000
 DENSE = 300
+#: Candidates that one task solves, about.
+TASK_ROWS = 5_000
 EPSILON = 1e-4
 
 
@@ -84,14 +86,24 @@ def auction(src: np.ndarray, dst: np.ndarray, gain: np.ndarray, epsilon: float)
 
 
 def _whole(candidates: DataFrame, kinds: tuple[str, str], epsilon: float) -> DataFrame:
-    def solve(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["src", "dst"], ignore_index=True)
-        s, t = (np.unique(df[c], return_inverse=True)[1] for c in ("src", "dst"))
-        gain = df["gain"].to_numpy(float)
-        chosen = exact(s, t, gain) if max(s.max(), t.max()) < DENSE else auction(s, t, gain, epsilon)
-        return df.loc[chosen, ["src", "dst", "cost", "gain"]]
+    """Links of whole components; a task takes many small ones."""
 
-    return candidates.groupBy("component").applyInPandas(solve, f"src {kinds[0]}, dst {kinds[1]}, cost double, gain double")
+    def solve(df: pd.DataFrame) -> pd.DataFrame:
+        df = df.sort_values(["component", "src", "dst"], ignore_index=True)
+        component, src, dst, gain = (df[c].to_numpy() for c in ("component", "src", "dst", "gain"))
+        cut = np.flatnonzero(np.concatenate([[True], component[1:] != component[:-1], [True]]))
+        chosen = []
+        for i, j in zip(cut[:-1], cut[1:]):
+            if j - i == 1:
+                chosen.append([i])
+                continue
+            s, t = (np.unique(x[i:j], return_inverse=True)[1] for x in (src, dst))
+            chosen.append(i + (exact(s, t, gain[i:j]) if max(s.max(), t.max()) < DENSE else auction(s, t, gain[i:j], epsilon)))
+        return df.loc[np.concatenate(chosen), ["src", "dst", "cost", "gain"]]
+
+    tasks = max(1, -(-candidates.count() // TASK_ROWS))
+    dealt = candidates.withColumn("_task", F.pmod(F.xxhash64("component"), F.lit(tasks)))
+    return dealt.groupBy("_task").applyInPandas(solve, f"src {kinds[0]}, dst {kinds[1]}, cost double, gain double")
 
 
 def _rounds(candidates: DataFrame, epsilon: float) -> DataFrame:

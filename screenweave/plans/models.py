@@ -67,9 +67,11 @@ def tile_positions(t):
 
 
 def _candidates(t):
-    """Candidate links between two frames: events of a user on a day and on the next, the nearer in value the cheaper."""
+    """Candidate links between two frames: events of a user on a day and on the next with values under 5 apart, the nearer the cheaper."""
     day = t.events.select("event_id", "user_id", "value", F.to_date("ts").alias("d"))
-    return day.alias("a").join(day.alias("b"), (F.col("a.user_id") == F.col("b.user_id")) & (F.date_add("a.d", 1) == F.col("b.d"))).select(F.col("a.event_id").alias("src"), F.col("b.event_id").alias("dst"), F.round(F.abs(F.col("a.value") - F.col("b.value")) / 100, 2).alias("cost"))
+    off = F.abs(F.col("a.value") - F.col("b.value"))
+    near = (F.col("a.user_id") == F.col("b.user_id")) & (F.date_add("a.d", 1) == F.col("b.d")) & (off < 5)
+    return day.alias("a").join(day.alias("b"), near).select(F.col("a.event_id").alias("src"), F.col("b.event_id").alias("dst"), F.round(off / 5, 2).alias("cost"))
 
 
 @query()
