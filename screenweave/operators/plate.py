@@ -503,11 +503,17 @@ def report(base: DataFrame, parts: list[DataFrame], key: str = "well") -> DataFr
     return _joined(parts, [key], base)
 
 
-def entropy_report(matched: DataFrame, codebook: DataFrame, keys: Keys, spikes: DataFrame | None = None, control: str = "-1") -> DataFrame:
+def slope_bias(slope: Column, p: Column) -> Column:
+    """`strong negative` (slope under -50), `negative`, `positive` (over 50) or `weak` with p < 0.05, else `none`; null without p. NaN counts as larger than any number."""
+    clear = p < 0.05
+    return F.when(clear & (slope < -50), "strong negative").when(clear & (slope < 0), "negative").when(clear & (slope > 50), "positive").when(clear, "weak").when(p.isNotNull(), "none")
+
+
+def entropy_report(matched: DataFrame, codebook: DataFrame, keys: Keys, spikes: DataFrame | None = None, control: str = "-1", least: int = 3) -> DataFrame:
     """By key, how a barcode's count depends on its entropy, designed controls (`spikes`) left out: reads, barcodes, slope, r2, p_value, bias, the largest barcode and gene (ties: the first by name) with their counts over the mean.
 
-    bias: `strong negative`, `negative`, `positive` (slope over 50) or `weak` with p < 0.05, else `none`; null with fewer than three
-    barcodes, as are slope, r2 and p. codebook: barcode, gene.
+    bias: see `slope_bias`; null with fewer than `least` barcodes, as are slope, r2 and p. Each of the three is null, too, where it isn't
+    defined: a slope of one place, the r2 of one count, p of under three barcodes. codebook: barcode, gene.
     """
     c = F.col
     n = matched.dropna(subset=["barcode"]).groupBy(*keys, "barcode").agg(F.count("*").alias("_n"))
@@ -518,12 +524,10 @@ def entropy_report(matched: DataFrame, codebook: DataFrame, keys: Keys, spikes:
     genes = codebook.groupBy("barcode").agg(F.max(c("gene").cast("string")).alias("_gene"))
     g = n.join(genes, "barcode").where(c("_gene") != control).groupBy(*keys, "_gene").agg(F.sum("_n").alias("_n"))
     by_gene = g.groupBy(*keys).agg(F.min(F.struct((-c("_n")).alias("_n"), "_gene")).alias("_gtop"), F.avg("_n").alias("_gmean"))
-    some = c("unique_barcodes") >= 3
+    some = c("unique_barcodes") >= least
     out = _joined([by_gene], keys, own).withColumns({"slope": F.when(some, c("_slope")), "r2": F.when(some, c("_r") ** 2), "p_value": F.when(some, correlation_p(c("_r"), c("unique_barcodes")))})
-    clear = c("p_value") < 0.05
-    bias = F.when(clear & (c("slope") < -50), "strong negative").when(clear & (c("slope") < 0), "negative").when(clear & (c("slope") > 50), "positive").when(clear, "weak").when(c("p_value").isNotNull(), "none")
     ratio = lambda top, mean: -c(top) / F.greatest(c(mean), F.lit(1.0))
     return out.select(
-        *keys, "reads", "unique_barcodes", "slope", "r2", "p_value", bias.alias("bias"), c("_top.barcode").alias("top_barcode"), (-c("_top._n")).cast("long").alias("top_count"), ratio("_top._n", "_mean").alias("top_guide_ratio"),
+        *keys, "reads", "unique_barcodes", "slope", "r2", "p_value", slope_bias(c("slope"), c("p_value")).alias("bias"), c("_top.barcode").alias("top_barcode"), (-c("_top._n")).cast("long").alias("top_count"), ratio("_top._n", "_mean").alias("top_guide_ratio"),
         c("_gtop._gene").alias("top_gene"), ratio("_gtop._n", "_gmean").alias("top_gene_ratio"),
     )
