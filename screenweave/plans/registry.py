@@ -566,7 +566,7 @@ w(id, root) AS (SELECT a, a FROM e UNION SELECT e.b, w.root FROM w JOIN e ON e.a
 SELECT id AS label, min(root) AS root FROM w GROUP BY 1""")
 def merged_labels(t):
     p = _points(t).select("id", "y", "x")
-    return labels.merged(spatial.within(p, p, 6.0).where("id_a < id_b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
+    return labels.merged(spatial.connections(p, 6.0))
 
 
 # Track graphs: a user's events are a track, frames are the days of the week
