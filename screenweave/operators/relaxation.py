@@ -4,7 +4,8 @@ Points of two sides that lie within a radius are candidate pairs. A pair (a, b)
 neighbours, q one of b's, and the offsets a to p and b to q agree within the tolerance. In each round a pair's score is multiplied by a
 floor plus the mean score of its supporters (the best one for each neighbour p), and the scores of a point's pairs are scaled to sum 1
 together with a share for having no partner. The support table is made once, by joins on neighbours; a round is a join and two
-aggregations over it. Pairs that are their points' best on both sides and hold `least` of the share are the matches.
+aggregations over it. The tables of points and pairs grow with the input, so their joins are by sort and merge: stored sizes, by which
+Spark would choose to broadcast one, are small beside what it takes in the driver's memory. Pairs that are their points' best on both sides and hold `least` of the share are the matches.
 
 Defined results: points without coordinates have no pairs; with fewer than k others all of them are neighbours. Ties go to the nearer
 pair, then to the smaller ids. Ids are unique by key on each side.
@@ -26,18 +27,19 @@ def _neighbours(points: DataFrame, radius: float, k: int, keys: list[str], s: st
     near = nearest(p, p, radius, keys, k + 1).where("id_a <> id_b")
     ranked = near.withColumn("_n", F.row_number().over(W.partitionBy(*keys, "id_a").orderBy("distance", "id_b"))).where(F.col("_n") <= k)
     rows = ranked.select(*keys, F.col("id_a").alias(f"id_{s}"), F.col("id_b").alias(f"to_{s}"), (F.col("y_b") - F.col("y_a")).alias(f"dy_{s}"), (F.col("x_b") - F.col("x_a")).alias(f"dx_{s}"))
-    return rows.join(rows.groupBy(*keys, f"id_{s}").agg(F.count("*").alias(f"n_{s}")), [*keys, f"id_{s}"])
+    rows = saved(rows, "neighbours")
+    return rows.join(rows.groupBy(*keys, f"id_{s}").agg(F.count("*").alias(f"n_{s}")).hint("merge"), [*keys, f"id_{s}"])
 
 
 def supports(a: DataFrame, b: DataFrame, pairs: DataFrame, reach: float, k: int, tolerance: float, keys: list[str]) -> DataFrame:
     """(id_a, id_b, to_a, to_b, fit): the pairs that support a pair, and how well their offsets agree (1 exactly, 0 at the tolerance)."""
     of = saved(pairs.select(*keys, "id_a", "id_b"), "pairs")
     na, nb = _neighbours(a, reach, k, keys, "a"), _neighbours(b, reach, k, keys, "b")
-    both = of.join(na, [*keys, "id_a"]).join(nb, [*keys, "id_b"])
+    both = of.hint("merge").join(na, [*keys, "id_a"]).join(nb.hint("merge"), [*keys, "id_b"])
     off = F.hypot(F.col("dy_a") - F.col("dy_b"), F.col("dx_a") - F.col("dx_b"))
     fits = both.withColumn("fit", 1 - off / tolerance).where("fit > 0").select(*keys, "id_a", "id_b", "to_a", "to_b", "fit", "n_a")
     there = of.select(*keys, F.col("id_a").alias("to_a"), F.col("id_b").alias("to_b"))
-    return fits.join(there, [*keys, "to_a", "to_b"])
+    return fits.join(there.hint("merge"), [*keys, "to_a", "to_b"])
 
 
 def matched(a: DataFrame, b: DataFrame, radius: float, reach: float, k: int = 8, tolerance: float = 3.0, rounds: int = 6, least: float = 0.5, floor: float = 0.05, keys: list[str] = ()) -> DataFrame:
@@ -46,16 +48,16 @@ def matched(a: DataFrame, b: DataFrame, radius: float, reach: float, k: int = 8,
     sides = [x.select(*keys, "id", "y", "x").dropna(subset=["y", "x"]) for x in (a, b)]
     pairs = within(*sides, radius, keys).select(*keys, "id_a", "id_b", "distance")
     many = pairs.groupBy(*keys, "id_a").agg(F.count("*").alias("_m"))
-    now = saved(pairs.join(many, [*keys, "id_a"]).withColumn("score", 1 / (F.col("_m") + 1)).drop("_m"), "relaxed")
+    now = saved(pairs.join(many.hint("merge"), [*keys, "id_a"]).withColumn("score", 1 / (F.col("_m") + 1)).drop("_m"), "relaxed")
     held = saved(supports(*sides, now, reach, k, tolerance, keys), "supports")
     for _ in range(rounds):
         voters = now.select(*keys, F.col("id_a").alias("to_a"), F.col("id_b").alias("to_b"), F.col("score").alias("_s"))
-        by_neighbour = held.join(voters, [*keys, "to_a", "to_b"]).groupBy(*keys, "id_a", "id_b", "to_a").agg(F.max(F.col("fit") * F.col("_s")).alias("_v"), F.max("n_a").alias("_n"))
+        by_neighbour = held.join(voters.hint("merge"), [*keys, "to_a", "to_b"]).groupBy(*keys, "id_a", "id_b", "to_a").agg(F.max(F.col("fit") * F.col("_s")).alias("_v"), F.max("n_a").alias("_n"))
         votes = by_neighbour.groupBy(*keys, "id_a", "id_b").agg((F.sum("_v") / F.max("_n")).alias("_v"))
-        raised = now.join(votes, [*keys, "id_a", "id_b"], "left").withColumn("_r", F.col("score") * (floor + F.coalesce("_v", F.lit(0.0))))
+        raised = now.join(votes.hint("merge"), [*keys, "id_a", "id_b"], "left").withColumn("_r", F.col("score") * (floor + F.coalesce("_v", F.lit(0.0))))
         # having no partner keeps what the scores left of 1, times the floor alone
         total = raised.groupBy(*keys, "id_a").agg((F.sum("_r") + F.greatest(1 - F.sum("score"), F.lit(0.0)) * floor).alias("_t"))
-        now = saved(raised.join(total, [*keys, "id_a"]).select(*keys, "id_a", "id_b", "distance", (F.col("_r") / F.col("_t")).alias("score")), "relaxed")
+        now = saved(raised.join(total.hint("merge"), [*keys, "id_a"]).select(*keys, "id_a", "id_b", "distance", (F.col("_r") / F.col("_t")).alias("score")), "relaxed")
 
     def best(df: DataFrame, side: str, other: str) -> DataFrame:
         order: list[Column | str] = [F.desc("score"), "distance", other]
