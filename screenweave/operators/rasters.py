@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from screenweave.operators.scratch import saved
 
 SIZE = 512
-#: Points of one tile that one task takes at once.
-POINTS = 500_000
+#: Points of one tile that one task takes at once: it gives a row for each of them and each plane.
+POINTS = 25_000
 TILE = ["y0", "x0", "h", "w", "dtype", "data"]
 
 

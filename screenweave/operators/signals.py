@@ -42,9 +42,16 @@ def far_from(y: np.ndarray, x: np.ndarray, shape: tuple[int, int], radius: int)
     return ~near
 
 
-def _row(kind: str, v: np.ndarray, top: bool) -> tuple:
-    k = max(1, len(v) // 10)
-    return kind, float(v.mean()), float(np.median(v)), float(v.std()), len(v), float(np.median(np.partition(v, -k)[-k:])) if top else None
+def _row(kind: str, v: np.ndarray, top: bool, times: np.ndarray | None = None) -> tuple:
+    """Figures of values that occur so many times each (once)."""
+    order = np.argsort(v, kind="stable")
+    times = np.ones(len(v), np.int64) if times is None else times
+    v, times = v[order], times[order]
+    end = np.cumsum(times)
+    n = int(end[-1])
+    middle = lambda lo: float((v[np.searchsorted(end, (lo + n - 1) // 2, "right")] + v[np.searchsorted(end, (lo + n) // 2, "right")]) / 2)  # noqa: E731 -- median of the places from lo on
+    mean = float((v * times).sum() / n)
+    return kind, mean, middle(0), float(np.sqrt((times * (v - mean) ** 2).sum() / n)), n, middle(n - max(1, n // 10)) if top else None
 
 
 def tile_stats(spots: DataFrame, tiles: DataFrame, keys: list[str] = (), size: int = SIZE, radius: int = 5, width: int = 10) -> DataFrame:
@@ -53,6 +60,7 @@ def tile_stats(spots: DataFrame, tiles: DataFrame, keys: list[str] = (), size: i
     place = [*keys, "_ty", "_tx"]
     at = spots.where("y IS NOT NULL AND x IS NOT NULL").select(*keys, F.bround("y").cast("long").alias("y"), F.bround("x").cast("long").alias("x"))
     at = at.withColumns({"_ty": F.floor(F.col("y") / size), "_tx": F.floor(F.col("x") / size)})
+    at = at.groupBy(*place, "y", "x").agg(F.count("*").alias("n"))  # a tile's pixels bound what a task holds, whatever the number of spots
     planes = tiles.select(*keys, "cycle", "channel", *TILE).withColumns({"_ty": F.floor(F.col("y0") / size), "_tx": F.floor(F.col("x0") / size)})
     names = [*keys, "y0", "x0", "cycle", "channel", *[p.split()[0] for p in _STATS.split(", ")]]
 
@@ -64,10 +72,10 @@ def tile_stats(spots: DataFrame, tiles: DataFrame, keys: list[str] = (), size: i
             ok = (y >= 0) & (x >= 0) & (y < plane.shape[0]) & (x < plane.shape[1])
             if not ok.any():
                 continue
-            y, x = y[ok], x[ok]
+            y, x, n = y[ok], x[ok], left["n"].to_numpy(np.int64)[ok]
             head = [*[row[k] for k in keys], row["y0"], row["x0"], row["cycle"], row["channel"]]
             back = plane[far_from(y, x, plane.shape, radius)]
-            out.append((*head, *_row("Signal", widened(plane, width)[y, x], True)))
+            out.append((*head, *_row("Signal", widened(plane, width)[y, x], True, n)))
             if len(back):
                 out.append((*head, *_row("Background", back, False)))
         return pd.DataFrame(out, columns=names)
