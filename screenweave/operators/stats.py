@@ -90,12 +90,14 @@ def _by(df: DataFrame, keys: Keys, aggs: list[Column]) -> DataFrame:
     return df.join(found, on).drop(*[f"_g{i}" for i in range(len(keys))])
 
 
-def outliers(df: DataFrame, keys: Keys, value: str, z: float = 2.5, modified: float = 3.5, fence: float = 1.5) -> DataFrame:
-    """Votes of three methods (z-score, modified z-score by median deviation, quartile fences), consensus of two, and direction."""
+def outliers(df: DataFrame, keys: Keys, value: str, z: float = 2.5, modified: float = 3.5, fence: float = 1.5, count: str | None = None) -> DataFrame:
+    """Votes of three methods (z-score, modified z-score by median deviation, quartile fences), consensus of two, and direction. count: a column with how many rows a row stands for."""
     v = F.col(value)
-    one = _by(df, keys, [F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"), F.percentile(value, F.lit(0.5)).alias("_md"), F.percentile(value, F.lit(0.25)).alias("_q1"), F.percentile(value, F.lit(0.75)).alias("_q3")])
+    n = F.when(v.isNotNull(), F.col(count) if count else F.lit(1))
+    half = lambda c, q: F.percentile(c, F.lit(q), F.col(count)) if count else F.percentile(c, F.lit(q))
+    one = _by(df, keys, [(F.sum(n * v) / F.sum(n)).alias("_m"), half(value, 0.5).alias("_md"), half(value, 0.25).alias("_q1"), half(value, 0.75).alias("_q3")])
     one = one.withColumn("_dev", F.abs(v - F.col("_md")))
-    two = _by(one, keys, [F.percentile("_dev", F.lit(0.5)).alias("_mad"), F.avg("_dev").alias("_aad")])
+    two = _by(one, keys, [F.sqrt(F.sum(n * (v - F.col("_m")) ** 2) / F.nullif(F.sum(n) - 1, F.lit(0))).alias("_s"), half("_dev", 0.5).alias("_mad"), (F.sum(n * F.col("_dev")) / F.sum(n)).alias("_aad")])
     score = F.when(F.col("_mad") > 0, 0.6745 * (v - F.col("_md")) / F.col("_mad")).when(F.col("_aad") > 0, (v - F.col("_md")) / (1.253314 * F.col("_aad"))).otherwise(0.0)
     iqr = F.col("_q3") - F.col("_q1")
     votes = {"by_z": F.coalesce(F.abs(v - F.col("_m")) > z * F.nullif(F.col("_s"), F.lit(0.0)), F.lit(False)), "by_mad": F.abs(score) > modified, "by_iqr": (v < F.col("_q1") - fence * iqr) | (v > F.col("_q3") + fence * iqr)}

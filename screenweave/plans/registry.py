@@ -254,8 +254,9 @@ d AS (SELECT *, quantile_cont(abs(v - md), 0.5) OVER w AS mad FROM s WINDOW w AS
 o AS (SELECT *, (abs(v - m) > 2.0 * sd)::BIGINT + (abs(0.6745 * (v - md) / mad) > 1.2)::BIGINT + (v < q1 - 0.5 * (q3 - q1) OR v > q3 + 0.5 * (q3 - q1))::BIGINT AS votes FROM d)
 SELECT g, votes, CASE WHEN votes < 2 THEN 'NONE' WHEN v > md THEN 'HIGH' ELSE 'LOW' END AS direction, count(*) AS n FROM o GROUP BY ALL""")
 def outlier_consensus(t):
-    o = stats.outliers(_items(t), ["g"], "v", z=2.0, modified=1.2, fence=0.5)
-    return o.groupBy("g", long("votes").alias("votes"), "direction").agg(F.count("*").alias("n"))
+    items = _items(t).groupBy("g", "v").agg(F.count("*").alias("rows"))  # equal prices of a brand as one row
+    o = stats.outliers(items, ["g"], "v", z=2.0, modified=1.2, fence=0.5, count="rows")
+    return o.groupBy("g", long("votes").alias("votes"), "direction").agg(F.sum("rows").alias("n"))
 
 
 @query("""
