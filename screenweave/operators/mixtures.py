@@ -24,6 +24,8 @@ from screenweave.operators.scratch import saved
 
 #: Steps that one job takes.
 STEPS = 4
+#: Up to so many groups their parameters are sent to the rows; beyond, rows and parameters meet by a shuffle.
+SENT = 20_000
 _PARAMETERS = ["w", "m0", "s0", "m1", "s1", "ll", "rounds", "done"]
 
 
@@ -66,10 +68,11 @@ def fit(df: DataFrame, keys: list[str], value: str, tolerance: float = 1e-3, mos
     begin = rows.groupBy(*keys).agg(spread.alias("_s")).withColumn("_d", F.sqrt(F.col("_s") ** 2 + floor))
     now = begin.select(*keys, F.lit(0.5).alias("w"), (-F.col("_s")).alias("m0"), F.col("_d").alias("s0"), F.col("_s").alias("m1"), F.col("_d").alias("s1"), F.lit(None).cast("double").alias("ll"), F.lit(0).alias("rounds"), F.lit(False).alias("done"))
     now, taken = saved(now, "mixture"), 0
+    near = F.broadcast if now.count() <= SENT else lambda df: df  # else each step shuffles all rows, by as many keys as there are groups
     while taken < most and not now.where("not done").isEmpty():
         left = now.where("not done")
         for _ in range(min(STEPS, most - taken)):
-            left = _step(rows, left, keys, tolerance, floor)
+            left = _step(rows, near(left), keys, tolerance, floor)
         now, taken = saved(now.where("done").unionByName(left), "mixture"), taken + STEPS
     out = _matched(now, center, keys)
     swap = F.col("m0") > F.col("m1")
