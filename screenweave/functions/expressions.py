@@ -55,6 +55,11 @@ def bounding_box(text: Column) -> Column:
     return F.when(F.size(parts) == 4, F.struct(*[F.element_at(parts, k + 1).alias(n) for k, n in enumerate(names)]))
 
 
+def numbers(text: Column) -> Column:
+    """The runs of digits in a text as an array of texts; one empty text if there are none."""
+    return F.split(F.trim(F.regexp_replace(text, "[^0-9]+", " ")), " ")
+
+
 def box_shape(box: Column, large: float) -> Column:
     """height, width, area, aspect (null for width 0) and whether both sides are at least `large`."""
     h, w = box["max_row"] - box["min_row"], box["max_col"] - box["min_col"]

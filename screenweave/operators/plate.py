@@ -41,18 +41,25 @@ def well_statistics(reads: DataFrame, codebook: DataFrame, cells: DataFrame, spo
     spots: well, num_spots. A read matches if its barcode is in the codebook; cells have positive numbers. `extras` are
     further tables with a row for each well, joined as they are.
     """
-    codes = codebook.groupBy("barcode").agg(F.min("gene").alias("_gene"), F.lit(True).alias("_hit"))
-    n_codes = codebook.agg(F.count("*").alias("num_codes"))
-    rows = reads.join(codes, "barcode", "left").withColumn("_cell", F.when(F.col("cell") > 0, F.col("cell")))
-    hit = F.col("_hit").isNotNull()
-    # counts by (well, cell, barcode) first: all distinct counts below are sums over them
-    fine = rows.groupBy("well", "cell", "_cell", "barcode", "_gene", "_hit").agg(F.count("*").alias("_n"))
-    by_cell = fine.groupBy("well", "cell", "_cell").agg(F.max(hit.cast("int")).alias("_any"), F.sum(F.when(hit, F.col("_n"))).alias("_hits"), F.count(F.when(hit, 1)).alias("_codes"), F.sum("_n").alias("_n"))
+    codes = codebook.groupBy("barcode").agg(F.min("gene").alias("gene"), F.lit(True).alias("_hit"))
+    rows = reads.join(codes, "barcode", "left").withColumn("hit", F.col("_hit").isNotNull())
+    return coded_statistics(rows, code_counts(rows), codebook.agg(F.count("*").alias("num_codes")), cells, spots, extras)
+
+
+def code_counts(rows: DataFrame) -> DataFrame:
+    """(well, barcode, count) of the rows (well, barcode, hit) that match."""
+    return rows.where("hit").groupBy("well", "barcode").agg(F.count("*").alias("count"))
+
+
+def coded_statistics(rows: DataFrame, by_code: DataFrame, n_codes: DataFrame, cells: DataFrame, spots: DataFrame | None = None, extras: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """`well_statistics` of reads that know their code: rows: well, cell, barcode, gene, hit; by_code: their `code_counts`; n_codes: one row, num_codes. Barcodes may be numbers, which are faster than texts."""
+    hit, code = F.col("hit"), F.when(F.col("hit"), F.col("barcode"))
+    by_cell = rows.groupBy("well", "cell").agg(F.count_if(hit).alias("_hits"), F.min(code).alias("_lo"), F.max(code).alias("_hi"), F.count("*").alias("_n"))
+    real = F.col("cell") > 0
     # a group of exactly two matched rows with two barcodes
-    cell_stats = by_cell.groupBy("well").agg(F.count("_cell").alias("cells_with_reads"), F.count(F.when(F.col("_any") == 1, F.col("_cell"))).alias("cells_with_matched_reads"), F.count_if((F.col("_hits") == 2) & (F.col("_codes") == 2)).alias("_doublets"), F.sum("_n").alias("num_reads"), F.coalesce(F.sum("_hits"), F.lit(0)).alias("num_reads_matched"))
-    by_code = fine.where(hit).groupBy("well", "barcode").agg(F.sum("_n").alias("count"))
+    cell_stats = by_cell.groupBy("well").agg(F.count_if(real).alias("cells_with_reads"), F.count_if(real & (F.col("_hits") > 0)).alias("cells_with_matched_reads"), F.count_if((F.col("_hits") == 2) & (F.col("_lo") != F.col("_hi"))).alias("_doublets"), F.sum("_n").alias("num_reads"), F.sum("_hits").alias("num_reads_matched"))
     code_stats = by_code.groupBy("well").agg(F.count("*").alias("num_unique_reads"), F.avg("count").alias("_coverage"), F.sum("count").alias("_sum"))
-    by_gene = fine.where(hit & F.col("_gene").isNotNull()).select("well", "_gene", "cell").distinct().groupBy("well", "_gene").agg(F.count("cell").alias("_c"))
+    by_gene = rows.where(hit & F.col("gene").isNotNull()).select("well", "gene", "cell").distinct().groupBy("well", "gene").agg(F.count("cell").alias("_c"))
     gene_stats = by_gene.groupBy("well").agg(F.round(F.avg("_c"), 2).alias("iss_mean_cells_per_gene"), F.round(_half("_c"), 2).alias("iss_median_cells_per_gene"), F.max("_c").alias("iss_max_cells_per_gene"), F.min("_c").alias("iss_min_cells_per_gene"))
     out = _joined([cell_stats, code_stats, gene_stats, *([spots] if spots is not None else [])], ["well"], cells).crossJoin(F.broadcast(n_codes))
     counts = ["cells_with_reads", "cells_with_matched_reads", "num_reads", "num_reads_matched", "num_unique_reads", "iss_max_cells_per_gene", "iss_min_cells_per_gene", *(["num_spots"] if spots is not None else [])]
@@ -71,9 +78,19 @@ def well_statistics(reads: DataFrame, codebook: DataFrame, cells: DataFrame, spo
     return _joined(list(extras), ["well"], out.drop("_doublets", "_coverage", "_sum"))
 
 
-def entropy_stats(matched: DataFrame, keys: Keys, barcode: str = "barcode") -> DataFrame:
-    """By key: regression of a barcode's count on its entropy (slope, r2, p_value), the largest count over the median one, mean entropy, unique barcodes. Keys of fewer than three barcodes are left out."""
-    n = matched.dropna(subset=[barcode]).groupBy(*keys, barcode).agg(F.count("*").alias("_n")).withColumn("_h", entropy(F.col(barcode)))
+def _counted(matched: DataFrame, keys: Keys, barcode: str, count: str | None) -> DataFrame:
+    rows = matched.dropna(subset=[barcode])
+    return rows.select(*keys, barcode, F.col(count).alias("_n")) if count else rows.groupBy(*keys, barcode).agg(F.count("*").alias("_n"))
+
+
+def entropy_stats(matched: DataFrame, keys: Keys, barcode: str = "barcode", count: str | None = None, texts: DataFrame | None = None) -> DataFrame:
+    """By key: regression of a barcode's count on its entropy (slope, r2, p_value), the largest count over the median one, mean entropy, unique barcodes. Keys of fewer than three barcodes are left out.
+
+    count: a column with the rows of a key and barcode, which are then one row. texts (barcode, text): what barcodes that are
+    numbers stand for; a text's entropy is then worked out once, not for each key.
+    """
+    n = _counted(matched, keys, barcode, count)
+    n = n.withColumn("_h", entropy(F.col(barcode))) if texts is None else n.join(texts.select(F.col("barcode").alias(barcode), entropy(F.col("text")).alias("_h")), barcode)
     n = n.withColumns({"_n": F.col("_n").cast("double")})
     aggs = [F.count("*").alias("unique_barcodes"), F.regr_slope("_n", "_h").alias("_slope"), corr("_n", "_h").alias("_r"), F.max("_n").alias("_top"), _half("_n").alias("_median"), F.avg("_h").alias("_mean")]
     s = n.groupBy(*keys).agg(*aggs).where("unique_barcodes >= 3")
@@ -83,9 +100,9 @@ def entropy_stats(matched: DataFrame, keys: Keys, barcode: str = "barcode") -> D
     )
 
 
-def reference_stats(matched: DataFrame, reference: DataFrame, keys: Keys, barcode: str = "barcode", least: int = 50) -> DataFrame:
-    """By key: correlation of log2 frequencies with a reference (barcode, median_freq), 0 under `least` common barcodes; the number and the share in percent of the reference's barcodes that are common."""
-    n = matched.dropna(subset=[barcode]).groupBy(*keys, F.col(barcode).alias("_b")).agg(F.count("*").alias("_n"))
+def reference_stats(matched: DataFrame, reference: DataFrame, keys: Keys, barcode: str = "barcode", least: int = 50, count: str | None = None) -> DataFrame:
+    """By key: correlation of log2 frequencies with a reference (barcode, median_freq), 0 under `least` common barcodes; the number and the share in percent of the reference's barcodes that are common. count: as in `entropy_stats`."""
+    n = _counted(matched, keys, barcode, count).withColumnRenamed(barcode, "_b")
     totals = n.groupBy(*keys).agg(F.sum("_n").alias("_all"))
     own = n.join(totals, keys) if keys else n.crossJoin(F.broadcast(totals))
     ref = reference.groupBy(F.col("barcode").alias("_b")).agg(F.sum("median_freq").alias("_f"))
@@ -480,9 +497,12 @@ LARGE = 300
 
 def cell_sizes(linked: DataFrame, box: str = "bbox", keep: Keys = (), large: float = LARGE) -> DataFrame:
     """Linked cells with bbox_height, bbox_width, bbox_area, bbox_aspect_ratio and is_large, from the text of their bounding box; cells without four numbers are left out."""
-    from screenweave.functions.expressions import bounding_box, box_shape
+    from screenweave.functions.expressions import box_shape, numbers
 
-    rows = linked.select(*keep, bounding_box(F.col(box)).alias("_b")).where("_b IS NOT NULL").withColumn("_s", box_shape(F.col("_b"), large))
+    # a generator, so that a text is read once: a filter on the box, and each of its sides, would read it again
+    sides = F.struct(*[F.element_at("_p", k + 1).cast("int").alias(n) for k, n in enumerate(("min_row", "min_col", "max_row", "max_col"))])
+    boxes = linked.select(*keep, numbers(F.col(box)).alias("_p")).select(*keep, F.explode(F.when(F.size("_p") == 4, F.array(sides))).alias("_b"))
+    rows = boxes.withColumn("_s", box_shape(F.col("_b"), large))
     return rows.select(*keep, F.col("_s.height").alias("bbox_height"), F.col("_s.width").alias("bbox_width"), F.col("_s.area").cast("long").alias("bbox_area"), F.col("_s.aspect").alias("bbox_aspect_ratio"), F.col("_s.is_large").alias("is_large"))
 
 
