@@ -169,10 +169,12 @@ def signal_summary(table: DataFrame, keys: Keys, cycle: str = "cycle", middle: s
     """By key: means (or medians, for bimodal tables) of a signal table's metrics, and the slopes of the cycles' mean snr and sbr, 0 for one cycle."""
     of = {"mean": F.avg, "median": _half}[middle]
     names = {"snr": 1, "sbr": 1, "lld": 3, "z_prime": 3, "signal_mean": 1, "median_top": 1, "background_mean": 1, "background_std": 1}
-    means = table.groupBy(*keys).agg(*[F.round(of(c), p).alias(f"{middle}_{c}") for c, p in names.items()])
-    cycles = table.groupBy(*keys, cycle).agg(F.avg("snr").alias("_snr"), F.avg("sbr").alias("_sbr"))
-    slopes = cycles.groupBy(*keys).agg(*[F.coalesce(F.round(F.regr_slope(f"_{c}", cycle), 2), F.lit(0.0)).alias(f"{c}_slope") for c in ("snr", "sbr")])
-    return means.join(slopes, keys) if keys else means.crossJoin(F.broadcast(slopes))
+    # one reading of the table: a cycle's mean snr and sbr stand in its first row
+    w = W.partitionBy(*keys, cycle)
+    first = F.row_number().over(w.orderBy(cycle)) == 1
+    rows = (table.dropna(subset=keys) if keys else table).withColumns({f"_{c}": F.when(first, F.avg(c).over(w)) for c in ("snr", "sbr")})
+    slopes = [F.coalesce(F.round(F.regr_slope(f"_{c}", cycle), 2), F.lit(0.0)).alias(f"{c}_slope") for c in ("snr", "sbr")]
+    return rows.groupBy(*keys).agg(*[F.round(of(c), p).alias(f"{middle}_{c}") for c, p in names.items()], *slopes)
 
 
 def channel_summary(table: DataFrame, channel: str = "channel", channels: tuple[str, ...] = ()) -> DataFrame:

@@ -8,7 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from screenweave.operators.scratch import saved
+
 Keys = list[str]
+#: Up to so many buckets are sent to the rows.
+SENT = 20_000
 
 
 def corr(x: Column | str, y: Column | str) -> Column:
@@ -143,10 +147,10 @@ def average_ranks(df: DataFrame, value: str, keys: Keys = (), name: str = "rank"
     return df.join(ranks, on, "left").drop("_v", *[f"_k{i}" for i in range(len(keys))])
 
 
-def _bucket(value: Column) -> Column:
-    """A whole number that never falls as the value rises: 256 buckets for each power of two, on both sides of 0."""
+def _bucket(value: Column, buckets: int = 256) -> Column:
+    """A whole number that never falls as the value rises: so many buckets for each power of two, on both sides of 0."""
     x = value.cast("double")
-    at = F.floor(F.least(F.log2(F.abs(x)), F.lit(1025.0)) * 256) + 400_000
+    at = F.floor(F.least(F.log2(F.abs(x)), F.lit(1025.0)) * buckets) + 400_000
     return F.when(F.isnan(x), 1_000_000).when(x == 0, 0).otherwise(F.signum(x) * at).cast("int")
 
 
@@ -238,14 +242,27 @@ def two_level_noise(df: DataFrame, keys: Keys, kind: str, mean: str, std: str) -
 
 
 def top_decile_median(df: DataFrame, keys: Keys, value: str, share: float = 0.1) -> DataFrame:
-    """Median of the largest max(1, floor(share n)) values of a key."""
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    # from above: the number of rows with larger values tells how many of these the top takes
-    placed = _by(_positions(counts.where(F.col(value).isNotNull()), value, keys), keys, [F.sum("_n").alias("_all")])
-    top = F.greatest(F.lit(1), F.floor(share * F.col("_all")))
-    larger = F.col("_all") - F.col("_before") - F.col("_n")
-    taken = placed.withColumn("_take", F.least(F.col("_n"), top - larger)).where("_take > 0")
-    return taken.groupBy(*keys).agg(F.percentile(value, F.lit(0.5), F.col("_take")).alias("median_top"))
+    """Median of the largest max(1, floor(share n)) values of a key.
+
+    Rows are counted by buckets of values first; only those in the bucket or two that hold the median are counted by value.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"), _bucket(F.col(value), 32).alias("_b"))
+    above = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sums = rows.groupBy(*keys, "_b").agg(F.count("*").alias("_n")).withColumns({"_larger": above(W.partitionBy(*keys).orderBy(F.desc("_b"))), "_all": F.sum("_n").over(W.partitionBy(*keys))})
+    # the places of the two middle values, from above
+    top = F.greatest(F.lit(1).cast("long"), F.floor(share * F.col("_all")))
+    middle = sums.withColumns({"_i": F.floor((top - 1) / 2), "_j": F.ceil((top - 1) / 2)}).where("_larger <= _j AND _larger + _n > _i")
+    names = {k: f"_g{i}" for i, k in enumerate(keys)} | {"_b": "_h"}
+    middle = saved(middle.select(*[F.col(k).alias(n) for k, n in names.items()], "_larger", "_i", "_j"), "middle")
+    on = F.lit(True)
+    for k, n in names.items():
+        on = on & F.col(k).eqNullSafe(F.col(n))
+    # few buckets go to the rows; many are met by a shuffle
+    inside = rows.join(F.broadcast(middle) if middle.count() <= SENT else middle, on)
+    counts = inside.groupBy(*keys, "_b", "_larger", "_i", "_j", "_v").agg(F.count("*").alias("_n"))
+    larger = F.col("_larger") + above(W.partitionBy(*keys, "_b").orderBy(F.desc("_v")))
+    at = lambda place: F.max(F.when((F.col("_before") <= F.col(place)) & (F.col("_before") + F.col("_n") > F.col(place)), F.col("_v")))
+    return counts.withColumn("_before", larger).groupBy(*keys).agg((0.5 * at("_i") + 0.5 * at("_j")).alias("median_top"))
 
 
 def crosstalk(df: DataFrame, read: Keys, channel: str, value: str, channels: list[str]) -> DataFrame:
