@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 CHUNK_CHARS = 500_000
 #: Bytes of an Arrow batch between the JVM and Python: a batch is held on both sides, and once more as strings.
 BATCH_BYTES = 8 << 20
+#: Spark's setting for deleting a query's shuffle files when it ends; else they stay until the driver happens to collect its garbage.
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def bounded(spark: SparkSession) -> None:
@@ -61,10 +63,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """The frame as a table in the shared folder, read again: cuts lineage and survives lost executors."""
+    """The frame as a table in the shared folder, read again: cuts lineage and survives lost executors. The shuffle files that it took are deleted."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    before = spark.conf.get(CLEANED, "false")
+    spark.conf.set(CLEANED, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(CLEANED, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -20,7 +20,8 @@ PERCENT * union.
    below the bound are discarded. A product emits each class's number of links, and a spanning forest of the links.
 5. Components of the links give component_id, and sums give n_links; both go from classes to their documents.
 
-Copies cost one row of each table after step 1, however many there are.
+Copies cost one row of each table after step 1, however many there are. The large tables, posts and what is kept of them, are deleted once
+the candidates are written, before the sets are packed.
 
 Defined results: null texts and texts without words have no shingles, no links and themselves as component. Fewer words
 than a shingle has: the whole sequence is the one shingle. Equal sets always link. Repeated rows and repeated ids are
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from screenweave.llm.common import bounded, chunks, fresh, table, tidy, written
+from screenweave.llm.common import bounded, chunks, dropped, fresh, table, tidy, written
 from screenweave.llm.graph import components
 from screenweave.llm.textarrays import mix64, shingles
 
@@ -47,8 +48,8 @@ ORDERED = 50_000
 #: Sets of ids up to this size are sent to all tasks as a hash table; larger ones are joined by a shuffle.
 SENT_IDS = 500_000
 GROUP, BLOCK = 2048, 256
-#: Candidate rows that one task handles, about.
-TASK_ROWS = 20_000
+#: Candidate rows that one task handles, about; posts that one chunk is counted over.
+TASK_ROWS, COUNTED = 20_000, 2_000_000
 #: Other half of the fingerprints.
 SECOND = 0x3C6EF372FE94F82B
 _U = np.uint64
@@ -150,9 +151,9 @@ def profile(docs: DataFrame, words_: int) -> DataFrame:
 
 
 def _of(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
-    """The documents that represent the chosen classes (columns first, hash)."""
-    small = chosen.select(F.col("first").alias("doc_id"), "hash")
-    return docs.join(F.broadcast(small) if n <= SENT_IDS else small, ["doc_id", "hash"], "left_semi")
+    """(id, text, of1, of2) of the documents that represent the chosen classes (columns id, first, hash, f1, f2)."""
+    small = chosen.select(F.col("first").alias("doc_id"), "hash", "id", F.col("f1").alias("of1"), F.col("f2").alias("of2"))
+    return docs.join(F.broadcast(small) if n <= SENT_IDS else small, ["doc_id", "hash"]).select("id", "text", "of1", "of2")
 
 
 def _unseen(seen: set, f1: np.ndarray, f2: np.ndarray) -> np.ndarray:
@@ -204,6 +205,38 @@ def prefixes(docs: DataFrame, frequent: pd.DataFrame, words_: int, percent: int)
     return docs.mapInPandas(run, "shingle long, f1 long, f2 long, n long, place int, sketch binary")
 
 
+def very_frequent(posts: DataFrame) -> DataFrame:
+    """(shingle) of more than GROUP posts. One of some chunks of the posts must hold its share of them, so that only a few shingles are counted over tasks."""
+    every = posts.select("shingle")
+    parts = every.rdd.getNumPartitions() + every.count() // COUNTED  # a part's last chunk may be short
+    least = GROUP // max(1, parts) + 1
+    if least > 1:
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            waiting, n = [], 0
+
+            def often() -> pd.DataFrame:
+                u, c = np.unique(np.concatenate(waiting), return_counts=True)
+                return pd.DataFrame({"shingle": u[c >= least]})
+
+            for b in batches:
+                values = b["shingle"].to_numpy()
+                while n + len(values) >= COUNTED:
+                    waiting.append(values[: COUNTED - n])
+                    yield often()
+                    values, waiting, n = values[COUNTED - n :], [], 0
+                waiting.append(values)
+                n += len(values)
+            if n:
+                yield often()
+            waiting.clear()
+            tidy()
+
+        some = written(every.mapInPandas(run, "shingle long").distinct(), "often")
+        every = every.join(F.broadcast(some) if some.count() <= SENT_IDS else some, "shingle", "left_semi")
+    return every.groupBy("shingle").agg(F.count("*").alias("rows")).where(F.col("rows") > GROUP).select("shingle")
+
+
 def band(n: Column, percent: int) -> Column:
     """Sets that may link are in the same band or in neighbouring ones."""
     return F.floor(F.log(n) / F.log(F.lit(100.5 / percent))).cast("int")
@@ -256,7 +289,7 @@ def _hot(posts: DataFrame, percent: int) -> DataFrame:
 
 
 def candidates(posts: DataFrame, classes: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b), numbers of classes, of spanning forests of the candidates in each cell. hot: the shingles that are very frequent."""
+    """Edges (a, b), numbers of classes, of spanning forests of the candidates in each cell, written: the posts aren't read again. hot: the shingles that are very frequent."""
     rows = posts.select("shingle", "f1", "f2", "n", "place")
     n_hot = hot.count()
     hot = F.broadcast(hot) if n_hot <= SENT_IDS else hot
@@ -318,7 +351,9 @@ def candidates(posts: DataFrame, classes: DataFrame, hot: DataFrame, percent: in
         tidy()
         return pd.DataFrame({"a": own[e[:, 0]], "b": own[e[:, 1]]})
 
-    return tiled.groupBy("task").applyInPandas(run, "a long, b long")
+    edges = written(tiled.groupBy("task").applyInPandas(run, "a long, b long"), "candidates")
+    dropped(kept)
+    return edges
 
 
 def product(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -390,22 +425,24 @@ def links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
 
 def packed(docs: DataFrame, words_: int) -> DataFrame:
-    """(f1, f2, data): each class among the documents, and its sorted shingles as a binary."""
+    """(id, data): each class with its sorted shingles as a binary, of documents by _of()."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set = set()
         for b in batches:
-            texts = b["text"].tolist()
+            ids, texts, of1, of2 = b["id"].to_numpy(), b["text"].tolist(), b["of1"].to_numpy(), b["of2"].to_numpy()
             for part in chunks(texts):
                 doc, value = shingles(texts[part], words_)
                 at = _slices(doc, len(texts[part]))
-                f1, f2 = fingerprints(value, at), fingerprints(value, at, SECOND)
-                new = np.flatnonzero(_unseen(seen, f1, f2))
-                yield pd.DataFrame({"f1": f1[new], "f2": f2[new], "data": [value[at[k] : at[k + 1]].tobytes() for k in new]})
+                # texts of one id and hash may be of several classes
+                own = (fingerprints(value, at) == of1[part]) & (fingerprints(value, at, SECOND) == of2[part])
+                new = {i: k for k, i in enumerate(ids[part].tolist()) if own[k] and i not in seen}
+                seen.update(new)
+                yield pd.DataFrame({"id": pd.array(list(new), dtype="Int64"), "data": [value[at[k] : at[k + 1]].tobytes() for k in new.values()]})
             tidy()
 
     # a repeated row may be met by several tasks
-    return docs.mapInPandas(run, "f1 long, f2 long, data binary").dropDuplicates(["f1", "f2"])
+    return docs.mapInPandas(run, "id long, data binary").dropDuplicates(["id"])
 
 
 def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int = 4, percent: int = 85, named: bool = False) -> DataFrame:
@@ -421,10 +458,12 @@ def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", words_: int
     classes = rows.where("n > 0 and id is not null").groupBy("n", "f1", "f2").agg(F.min("id").alias("first"), F.min_by("hash", F.struct("id", "hash")).alias("hash"), F.count("*").alias("of"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     posts = written(prefixes(texts.where("doc_id is not null"), ordered, words_, percent), "posts")
-    hot = written(posts.groupBy("shingle").agg(F.count("*").alias("rows")).where(F.col("rows") > GROUP).select("shingle"), "hot")
-    near = components(candidates(posts, classes, hot, percent)).withColumnRenamed("component", "cluster")
+    hot = written(very_frequent(posts), "hot")
+    near = candidates(posts, classes, hot, percent)
+    dropped(posts)
+    near = components(near).withColumnRenamed("component", "cluster")
     members = written(near.join(classes, "node").select(F.col("node").alias("id"), "cluster", "n", "f1", "f2", "of", "first", "hash"), "members")
-    sets = packed(_of(texts, members, members.count()), words_).join(members.select("f1", "f2", "id"), ["f1", "f2"]).select("id", "data")
+    sets = packed(_of(texts, members, members.count()), words_)
     out = written(links(sets, members.select("id", "cluster", "n", "of"), percent), "links")
     groups = components(out.where("b is not null").select("a", "b"))
     counts = out.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
@@ -463,10 +502,12 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keys = written(found.groupBy("component", "doc_id", "hash").agg(F.count("*").alias("of")), "keys")
     own = F.struct("doc_id", "hash")
     first = keys.groupBy("component").agg(F.min(own).alias("first"), F.count("*").alias("keys")).where("keys > 1").drop("keys")
-    gone = keys.join(first, "component").where(own != F.col("first"))
+    gone = written(keys.join(first, "component").where(own != F.col("first")).select("doc_id", "hash"), "gone")
+    n = gone.count()
     i, h = fresh(docs, "id_as_long", "text_hash")
     named = lambda rows: rows.select(F.col("doc_id").alias(i), F.col("hash").alias(h))
-    kept = docs.withColumns({i: F.col("doc_id").cast("long"), h: F.xxhash64(F.col("text").cast("string"))}).join(named(gone), [i, h], "left_anti")
+    gone = F.broadcast(named(gone)) if n <= SENT_IDS else named(gone)
+    kept = docs.withColumns({i: F.col("doc_id").cast("long"), h: F.xxhash64(F.col("text").cast("string"))}).join(gone, [i, h], "left_anti")
     equal = named(keys.where("of > 1"))
     if equal.isEmpty():
         return kept.select(*docs.columns)

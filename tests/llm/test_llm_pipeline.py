@@ -1,7 +1,10 @@
 """The pipeline and the registered queries on small tables, stage by stage against brute force."""
 
 import collections
+import glob
 import hashlib
+import os
+import time
 
 import duckdb
 import pytest
@@ -10,7 +13,7 @@ from test_llm_operators import AWKWARD, documents, join_by_hand, near_copies, pr
 
 import __spark_entry__
 import corpus_pipeline
-from screenweave.llm import context_tree, language_id, ngram_join, string_tiling, toxicity
+from screenweave.llm import common, context_tree, language_id, ngram_join, string_tiling, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -71,6 +74,49 @@ def test_near_duplicates_of_repeated_ids(spark):
     assert [(r["doc_id"], r["text"], r["block"]) for r in again] == [(5, z, 7)]
 
 
+def shuffled(spark):
+    """Shuffle files on disk."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+
+def test_near_duplicates_leave_no_large_files(spark, monkeypatch, tmp_path):
+    """Neither shuffle files of written tables nor posts stay once they are read; documents don't move for the few that go."""
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    before = shuffled(spark)
+    common.written(spark.range(1000).repartition(3, "id"), "dealt").count()
+    texts = [*near_copies(5, 60, 1, 9), *(prose(k, 30) for k in range(40))]
+    out = ngram_join.stage(spark, documents(spark, texts), "")
+    for _ in range(20):  # files are deleted a little later
+        if not (stay := shuffled(spark) - before):
+            break
+        time.sleep(0.5)
+    assert sum(os.path.getsize(f) for f in stay) < 5000  # of counts that are collected only
+    left = {p.name.rsplit("-", 5)[0] for p in tmp_path.iterdir()}
+    assert "profile" in left and not left & {"posts", "kept"}
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == len({root for _, _, root in join_by_hand(texts, 5, 80)})
+
+
+@pytest.mark.parametrize("group,counted", [(3, 7), (40, 7), (40, 1000), (700, 50)])
+def test_very_frequent_shingles_are_counted_in_full(spark, monkeypatch, group, counted):
+    monkeypatch.setattr(ngram_join, "GROUP", group)
+    monkeypatch.setattr(ngram_join, "COUNTED", counted)
+    values = [k % 50 if k % 3 else k % 4 for k in range(1500)]
+    posts = spark.createDataFrame([(v,) for v in values], "shingle long").repartition(5)
+    want = {v for v, n in collections.Counter(values).items() if n > group}
+    assert {r["shingle"] for r in ngram_join.very_frequent(posts).collect()} == want
+    assert ngram_join.very_frequent(posts.limit(0)).count() == 0
+
+
+def test_run_keeps_the_last_table_only(spark, folder, monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, lambda spark, docs, _, k=k: docs.where(f"doc_id % 7 <> {k}")) for k, n in enumerate(("first", "second", "third"))])
+    out = corpus_pipeline.run(spark, folder)
+    assert [p.name[:5] for p in tmp_path.iterdir()] == ["third"]
+    assert out.count() == spark.read.parquet(f"{folder}/documents.parquet").where("doc_id % 7 > 2").count()
+
+
 def test_run_and_empty(spark, folder, tmp_path):
     out = corpus_pipeline.run(spark, folder)
     assert out.count() > 0 and "doc_id" in out.columns
